@@ -11,6 +11,7 @@ last token of the shorter prefix; one pass over the bytes fills the table.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,7 +29,9 @@ LIMIT = 512
 #: Units longer than this are counted but not remembered.
 LONG_UNIT = 64
 #: Remembered units per Python worker; the memory is emptied when it is full.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+#: The state after this many bytes of a piece is remembered apart.
+HEAD = 5
 
 UNIT = (
     r"(?:[\p{White_Space}]*[^\P{White_Space} ])?'(?:s|t|re|ve|m|ll|d)"
@@ -112,31 +115,61 @@ class PrefixCounter:
         self.ranks = ranks
         self.longest = max(map(len, ranks))
         self.split = Splitter(public_tokenizers.path(f"{path}.json"))
-        self._valid: dict[tuple[bytes, bytes], bool] = {}
+        self._valid: dict[bytes, dict[bytes, bool]] = {}
+        self._pairs = 0
+        self._heads: dict[bytes, tuple[list[int], list[bytes]]] = {}
         self._units: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def may_follow(self, left: bytes, right: bytes) -> bool:
         """Whether the text left + right is encoded as exactly these two tokens."""
-        got = self._valid.get((left, right))
+        after = self._valid.get(left)
+        if after is None:
+            after = self._valid[left] = {}
+        got = after.get(right)
         if got is None:
-            if len(self._valid) >= REMEMBERED:
+            if self._pairs >= REMEMBERED:
                 self._valid.clear()
-            got = self._valid[left, right] = self._pair(left + right) == [self.ranks[left], self.ranks[right]]
+                self._pairs = 0
+                after = self._valid[left] = {}
+            self._pairs += 1
+            got = after[right] = self._pair(left + right) == [self.ranks[left], self.ranks[right]]
         return got
 
     def piece_counts(self, b: bytes) -> list[int]:
-        """Counts of the prefixes of one piece, by bytes; counts[0] is 0."""
-        n, ranks, longest, valid, may_follow = len(b), self.ranks, self.longest, self._valid, self.may_follow
-        counts, last = [0] * (n + 1), [b""] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(i - longest if i > longest else 0, i):
+        """Counts of the prefixes of one piece, by bytes; counts[0] is 0.
+
+        Exactly one vocabulary entry is the last token of a prefix, so the order in
+        which entries are tried is free: first the one before grown by a byte, then a
+        new one, then the rest."""
+        head = b[:HEAD]
+        known = self._heads.get(head)
+        if known is None:
+            if len(self._heads) >= REMEMBERED // 4:
+                self._heads.clear()
+            known = self._heads[head] = self._extend(head, [0], [b""])
+        if len(b) <= HEAD:
+            return known[0]
+        return self._extend(b, known[0][:], known[1][:])[0]
+
+    def _extend(self, b: bytes, counts: list[int], last: list[bytes]) -> tuple[list[int], list[bytes]]:
+        ranks, longest, may_follow = self.ranks, self.longest, self.may_follow
+        for i in range(len(counts), len(b) + 1):
+            j = grown = i - 1 - len(last[i - 1])
+            t = b[j:i]
+            if not (t in ranks and (j == 0 or may_follow(last[j], t))):
+                j = i - 1
                 t = b[j:i]
-                if t in ranks and (not j or (ok if (ok := valid.get((last[j], t))) is not None else may_follow(last[j], t))):
-                    last[i], counts[i] = t, counts[j] + 1
-                    break
-            else:  # no vocabulary lacks a byte
-                raise ValueError("the vocabulary does not cover all bytes")
-        return counts
+                if j and not may_follow(last[j], t):
+                    for j in range(i - 2, max(-1, i - longest - 1), -1):
+                        t = b[j:i]
+                        if t in ranks and j != grown and (j == 0 or may_follow(last[j], t)):
+                            break
+                    else:
+                        raise ValueError("the vocabulary does not cover this text")
+            last.append(t)
+            counts.append(counts[j] + 1)
+        return counts, last
 
     def _unit(self, u: str) -> bytes:
         """Deltas of one unit as little-endian 16-bit integers."""
@@ -184,16 +217,17 @@ class PrefixCounter:
         return [0, *(counts[i] for i in ends)]
 
     def _plain(self, text: str) -> bytes:
-        known, out = self._units, []
-        for u in self.split.units(text):
-            d = known.get(u)
-            if d is None:
-                d = self._unit(u)
-                if len(u) <= LONG_UNIT:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[u] = d
-            out.append(d)
+        units = self.split.units(text)
+        out = [*map(self._units.get, units)]
+        if None in out:
+            for k, d in enumerate(out):
+                if d is None:
+                    u = units[k]
+                    out[k] = self._older.get(u) or self._units.get(u) or self._unit(u)
+                    if len(u) <= LONG_UNIT:
+                        if len(self._units) >= REMEMBERED:
+                            self._older, self._units = self._units, {}
+                        self._units[u] = out[k]
         return b"".join(out)
 
     def deltas(self, text: str) -> np.ndarray:
@@ -289,7 +323,6 @@ class Encoder:
         import os
 
         import public_tokenizers
-        import regex
         import tiktoken
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -300,11 +333,11 @@ class Encoder:
         fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._fast = fast._core_bpe.encode_to_tiktoken_buffer
         self._exact = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-        self._unsettled = regex.compile(SETTLED + r"|\s{300}|\S{2000}").search
+        self._unsettled, self._long = re.compile(SETTLED).search, re.compile(r"\S{2000}|\s{2000}").search
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if SPECIAL in text or self._unsettled(text):
+        if SPECIAL in text or self._unsettled(text) or len(text) > 2000 and self._long(text):
             return np.array(self._exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return bytes(self._fast(text, set()))
 
