@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding, tokens
+from . import packing, quality, sharding, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": tokens.op2_token_counts,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
+    "op6_quality": quality.op6_quality,
     "op9_sharding": sharding.op9_sharding,
 }
 

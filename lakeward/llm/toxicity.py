@@ -25,7 +25,7 @@ from .common import table
 
 #: Labelled rows that the model is fitted on, at most, of either label.
 TOXIC_ROWS, CLEAN_ROWS = 900, 1600
-LANDMARKS = 40
+LANDMARKS = 32
 DECAY = 0.6
 #: Kernel values below this share of a landmark's own count as none.
 FLOOR = 0.4
@@ -33,7 +33,7 @@ THRESHOLD = 0.7
 #: Longer words are read in windows of this many characters, half overlapping.
 WINDOW = 24
 #: Weight of the squared norm against the loss of a row.
-RIDGE = 1e-3
+RIDGE = 1e-2
 #: Remembered words per Python worker.
 REMEMBERED = 300_000
 
@@ -50,12 +50,12 @@ def words_of(text: str) -> set[str]:
 
 
 def normal(word: str) -> str:
-    """Without inner signs, digits read as the letters they resemble."""
+    """Without inner signs, digits read as the letters they resemble, ends marked."""
     if not word.isalpha():
         word = INNER.sub("", word)
         if not word.isdigit():
             word = word.translate(DIGITS)
-    return word
+    return f"^{word}$"
 
 
 def windows(word: str) -> list[str]:
@@ -113,7 +113,8 @@ class Model:
     own: tuple[float, ...] = field(default=())
 
     def features(self, words: list[str]) -> np.ndarray:
-        """Per word the kernel value against each landmark, as a share of the landmark's own."""
+        """Per word the kernel value against each landmark as a share of the landmark's
+        own; what exceeds FLOOR counts, squared."""
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
         own = np.array(self.own, np.float32)
         parts = [(w, k) for k, word in enumerate(words) for w in windows(word)]
@@ -121,7 +122,7 @@ class Model:
         for at in range(0, len(parts), 512):
             some = parts[at : at + 512]
             got = np.minimum(kernel([w for w, _ in some], list(self.landmarks)) / own, 1)
-            np.maximum.at(out, [k for _, k in some], np.where(got < FLOOR, 0, got))
+            np.maximum.at(out, [k for _, k in some], np.square(np.maximum(0, (got - FLOOR) / (1 - FLOOR))))
         return out
 
     def score(self, feature: np.ndarray) -> float:
@@ -152,27 +153,31 @@ class Scorer:
                 once |= mask
         return False
 
-    def feature(self, text: str) -> np.ndarray:
+    def features(self, texts: list[str]) -> np.ndarray:
+        """Per text the largest value of its words against each landmark."""
         known, model = self.known, self.model
-        out = np.zeros(len(model.landmarks), np.float32)
-        words = words_of(text)
-        new = [w for w in words if w not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = [*words]
-            plain = {w: normal(w) for w in new}
-            known.update(dict.fromkeys(new))
-            close = [w for w in new if any(self.resembles(x) for x in windows(plain[w]))]
-            if close:
-                for w, f in zip(close, model.features([plain[w] for w in close]), strict=True):
-                    if f.any():
-                        known[w] = f
-        hits = [f for w in words if (f := known[w]) is not None]
-        return np.maximum.reduce(hits) if hits else out
-
-    def score(self, text: str) -> float:
-        return self.model.score(self.feature(text)) if self.model.landmarks else 0.0
+        out = np.zeros((len(texts), len(model.landmarks)), np.float32)
+        words = [words_of(t) for t in texts]
+        new = [*{w for some in words for w in some if w not in known}]
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = [*set().union(*words)]
+        known.update(dict.fromkeys(new))
+        plain = [(w, normal(w)) for w in new]
+        close = [x for x in plain if any(map(self.resembles, windows(x[1])))]
+        for (w, _), f in zip(close, model.features([x for _, x in close]), strict=True):
+            if f.any():
+                known[w] = f
+        for k, some in enumerate(words):
+            hits = [f for w in some if (f := known[w]) is not None]
+            if hits:
+                out[k] = np.maximum.reduce(hits)
+        return out
+
+    def scores(self, texts: list[str], block: int = 64) -> list[float]:
+        if not self.model.landmarks:
+            return [0.0] * len(texts)
+        return [self.model.score(f) for at in range(0, len(texts), block) for f in self.features(texts[at : at + block])]
 
 
 @lru_cache(maxsize=2)
@@ -182,14 +187,14 @@ def scorer(model: Model) -> Scorer:
 
 
 def _parts(word: str) -> set[str]:
-    return {word[i : i + n] for n in (4, 5, 6, 7, 8) for i in range(len(word) - n + 1)}
+    return {word[i : i + n] for n in (5, 6, 7, 8, 9) for i in range(len(word) - n + 1)}
 
 
 def pick_landmarks(toxic: list[str], clean: list[str], most: int = LANDMARKS) -> list[str]:
-    """Substrings of 4 to 8 characters that toxic texts have and others hardly do. They are
+    """Substrings of 5 to 9 characters, ends of words included, that toxic texts have and others hardly do. They are
     chosen one by one; a toxic text counts less for every landmark it already has."""
     docs = [{normal(w) for w in words_of(t)} for t in toxic]
-    bad = Counter(w for d in docs for w in d if 4 <= len(w) <= 40)
+    bad = Counter(w for d in docs for w in d if 5 <= len(w) <= 40)
     good = Counter(w for t in clean for w in {normal(w) for w in words_of(t)})
     other: Counter[str] = Counter()
     mine: Counter[str] = Counter()
@@ -207,18 +212,18 @@ def pick_landmarks(toxic: list[str], clean: list[str], most: int = LANDMARKS) ->
         for w in d:
             for x in inside.get(w, ()):
                 ids.setdefault(x, set()).add(k)
-    ids = {x: i for x, i in ids.items() if len(i) >= least}
+    ids = {x: np.array([*i]) for x, i in ids.items() if len(i) >= least}
     weight, out = np.ones(len(toxic)), []
     while ids and len(out) < most:
-        gain = {x: float(weight[[*i]].sum()) - 10 * other[x] * scale for x, i in ids.items()}
+        gain = {x: float(weight[i].sum()) - 10 * other[x] * scale for x, i in ids.items()}
         best = max(gain, key=lambda x: (gain[x], x))
         if gain[best] < least / 2:
             break
         full = max((x for x in ids if best in x and len(ids[x]) >= 0.97 * len(ids[best])), key=lambda x: (len(x), len(ids[x]), x))
         out.append(full)
-        weight[[*ids[best]]] *= 0.7
-        near = triples(full)
-        ids = {x: i for x, i in ids.items() if not (x in full or full in x or best in x) and 3 * len(triples(x) & near) <= len(triples(x))}
+        weight[ids[best]] *= 0.6
+        near = {full[i : i + 3] for i in range(len(full) - 2)}
+        ids = {x: i for x, i in ids.items() if sum(x[j : j + 3] in near for j in range(len(x) - 2)) < 2}
     return out
 
 
@@ -236,10 +241,10 @@ def train(toxic: list[str], clean: list[str], most: int = LANDMARKS) -> Model:
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     draft = Model(tuple(landmarks), own=tuple(own))
     reader = Scorer(draft)
-    bad = [f for t in toxic for s in SENTENCE.split(t) if (f := reader.feature(s)).any()]
+    bad = [f for f in reader.features([s for t in toxic for s in SENTENCE.split(t)]) if f.any()]
     if not bad:
         return Model()
-    good = [reader.feature(t) for t in clean]
+    good = [*reader.features(clean)]
     x = np.array(bad + good, float) @ root
     y = np.r_[np.ones(len(bad)), -np.ones(len(good))]
     per = np.where(y > 0, len(y) / (2 * len(bad)), len(y) / (2 * len(good)))
@@ -291,9 +296,9 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = scorer(model).score
+        read = scorer(model).scores
         for batch in batches:
-            scores = [read(t.as_py() or "") for t in batch.column(2)]
+            scores = read([t.as_py() or "" for t in batch.column(2)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"])
 
     return (
