@@ -28,7 +28,7 @@ ROUNDS = 100
 #: Relative distance from the lower bound at which the program counts as solved.
 GAP = 2e-4
 #: Pieces numbered in one window group.
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 
 
 def length_class(n: Column, capacity: int = CAPACITY) -> Column:

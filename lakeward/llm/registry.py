@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, sharding, tokens, toxicity
+from . import jaccard, packing, quality, sharding, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": tokens.op2_token_counts,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": packing.op4_packing,
     "op6_quality": quality.op6_quality,
     "op9_sharding": sharding.op9_sharding,
+    "op10_jaccard_join": jaccard.op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {}
