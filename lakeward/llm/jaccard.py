@@ -7,9 +7,9 @@ after the first counts. Two documents over the threshold then share a rare token
 two frequent tokens of one class, so single rare tokens and pairs of frequent ones are
 indexed. Candidates are bounded by token histograms and verified on whole sets.
 
-Equal sets are one node. A list of the index first links its members to its smallest
-one; only members that this leaves in different components are paired further, so a
-large group of near copies costs its size, not its square.
+Equal sets are one node. In a few rounds the members of each list are held against one
+of them; only members that this leaves in different components are paired further, so
+a large group of near copies costs little more than its size.
 """
 
 from __future__ import annotations
@@ -29,7 +29,9 @@ SKETCH, FILTER_BITS = 1 << 18, 1 << 23
 EXCESS, ROOTS = 48, 8
 #: Classes of frequent tokens; sets above LARGE index single tokens only.
 CLASSES, LARGE = 32, 8000
-HISTOGRAM = 128
+HISTOGRAM, COARSE = 128, 32
+#: Rounds in which a list's members are held against one of them.
+PIVOTS = 1
 REMEMBERED = 500_000
 
 MASK = (1 << 64) - 1
@@ -155,22 +157,24 @@ def index_sets(docs: DataFrame, width: int, percent: int, frequent: np.ndarray)
 
         prefixes = Prefixes(percent, np.unpackbits(sent.value, count=SKETCH).astype(bool))
         for batch in batches:
-            n, sig, signatures, histogram = [], [], [], []
+            n, sig, signatures, histogram, coarse = [], [], [], [], []
             for t in batch.column(1):
                 h = shingles(t.as_py(), width)
                 n.append(len(h))
                 sig.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
                 signatures.append(prefixes.of(h).view(np.int64))
-                histogram.append(np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=HISTOGRAM).astype("<u4").tobytes() if len(h) else None)
+                counts = np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=HISTOGRAM)
+                histogram.append(counts.astype("<u4").tobytes())
+                coarse.append(counts.reshape(COARSE, -1).sum(1).astype(np.int32))
             ends = np.cumsum([0, *map(len, signatures)]).astype(np.int32)
             flat = np.concatenate(signatures) if signatures else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(histogram, pa.binary())],
-                ["doc_id", "n", "sig", "signatures", "histogram"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(histogram, pa.binary()), pa.array(coarse, pa.list_(pa.int32()))],
+                ["doc_id", "n", "sig", "signatures", "histogram", "coarse"],
             )
 
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return text.mapInArrow(run, "doc_id bigint, n bigint, sig binary, signatures array<bigint>, histogram binary")
+    return text.mapInArrow(run, "doc_id bigint, n bigint, sig binary, signatures array<bigint>, histogram binary, coarse array<int>")
 
 
 def bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -190,10 +194,9 @@ def bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of staged pairs(a, b), those with 100 * intersection >= percent * union. Only the
-    sets of documents in a pair are computed; a bit filter of fixed size tells which."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def whole_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Table (doc_id, tokens) of the documents in ids(doc_id), nearly alone: a bit filter
+    of fixed size tells which texts to read."""
     word = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     bits = ids.groupBy((word / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))")).alias("m")).collect()
     mask = np.zeros(FILTER_BITS // 64, np.int64)
@@ -201,7 +204,7 @@ def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
         mask[r.w] = r.m
     sent = docs.sparkSession.sparkContext.broadcast(mask)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spot = batch.column(2).to_numpy()
             hit = np.flatnonzero((sent.value[spot // 64] >> (spot % 64)) & 1)
@@ -210,21 +213,25 @@ def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
                 tokens = pa.array([shingles(t.as_py(), width).tobytes() for t in some.column(1)], pa.binary())
                 yield pa.RecordBatch.from_arrays([some.column(0), tokens], ["doc_id", "tokens"])
 
-    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    named = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return stage(named.withColumn("spot", word).mapInArrow(run, "doc_id bigint, tokens binary"), "sets")
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs(a, b), those with 100 * intersection >= percent * union."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for s, t in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-                at = np.searchsorted(x, y)
-                common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+                common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    hashed = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = stage(hashed.withColumn("spot", word).mapInArrow(sets, "doc_id bigint, tokens binary").join(ids, "doc_id"), "sets")
-    first = found.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
-    second = found.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(same, "a bigint, b bigint")
+    first = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
+    second = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
 def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -240,32 +247,35 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     rows = stage(index_sets(docs, width, percent, frequent_buckets(docs, width)), "sets-index")
     named = rows.where("doc_id is not null and n > 0")
     groups = named.groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
-    reps = stage(named.join(groups, ["sig", "n"]).where("doc_id = rep").select("doc_id", "n", "signatures", "histogram"), "nodes")
+    reps = stage(named.join(groups, ["sig", "n"]).where("doc_id = rep").select("doc_id", "n", "signatures", "histogram", "coarse"), "nodes")
     post = reps.select(F.col("doc_id").alias("rep"), "n", F.explode("signatures").alias("s"))
-    lists = post.groupBy("s").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"), F.count("*").alias("c")).where("pivot < last")
-    shared = stage(post.join(lists.select("s", "pivot", "c"), "s").select("s", "rep", "n", "pivot", "c"), "lists")
+    lists = post.groupBy("s").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    open_ = stage(post.join(lists.select("s"), "s").select("s", "rep", "n", F.col("rep").alias("root")), "lists")
     sizes = reps.select("doc_id", "n", "histogram")
-    first = stage(bound(shared.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), sizes, percent), "pairs")
-    links = stage(verify(first, docs, width, percent), "links")
-    so_far = components(links)
-    placed = (
-        shared.where("c > 2")
-        .select("s", "rep", "n")
-        .join(so_far, F.col("rep") == F.col("node"), "left")
-        .select("s", "rep", "n", F.coalesce("root", "rep").alias("root"))
-    )
-    mixed = placed.groupBy("s").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("s")
-    open_ = stage(placed.join(mixed, "s"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (
-        x.join(y, F.expr(f"x.s = y.s and x.root < y.root and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
-        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-        .distinct()
-    )
-    second = stage(bound(rest, sizes, percent), "pairs")
-    if second.head(1):
-        links = links.unionByName(stage(verify(second, docs, width, percent), "links"))
-    linked = components(links)
+    sets = whole_sets(open_.select(F.col("rep").alias("doc_id")).distinct(), docs, width)
+    close = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    linked = None
+    for k in range(PIVOTS + 1):
+        if k < PIVOTS:  # each list's members with one of them
+            lot = F.struct(F.xxhash64("rep", F.pmod("s", F.lit(8)), F.lit(k)).alias("lot"), F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+            pivots = open_.groupBy("s").agg(F.min(lot).alias("p")).select("s", "p.b", "p.n_b", "p.root_b")
+            met = open_.join(pivots, "s").where("root <> root_b").selectExpr("rep as a", "b", "n as n_a", "n_b")
+        else:  # what is left, list by list
+            counted = open_.join(reps.selectExpr("doc_id as rep", "coarse"), "rep")
+            x, y = (counted.selectExpr("s", f"rep as {c}", f"n as n_{c}", f"root as root_{c}", *(f"coarse[{i}] as {c}{i}" for i in range(COARSE))) for c in "ab")
+            most = " + ".join(f"least(a{i}, b{i})" for i in range(COARSE))
+            met = x.join(y, "s").where(f"root_a < root_b and {close} and {100 + percent} * ({most}) >= {percent} * (n_a + n_b)")
+        pairs = met.where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = verify(bound(pairs, sizes, percent), sets, percent)
+        if linked is not None:
+            links = links.unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        linked = components(links)
+        if k < PIVOTS:
+            placed = open_.drop("root").join(linked, F.col("rep") == F.col("node"), "left").select("s", "rep", "n", F.coalesce("root", "rep").alias("root"))
+            mixed = placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c")).where("low < high and c > 2")
+            open_ = stage(placed.join(mixed.select("s"), "s"), "open")
+            if not open_.head(1):
+                break
     return (
         rows.select("doc_id", F.col("n").alias("n_shingles"), "sig", "n")
         .join(groups, ["sig", "n"], "left")
