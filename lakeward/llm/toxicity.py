@@ -35,7 +35,7 @@ WINDOW = 24
 #: Weight of the squared norm against the loss of a row.
 RIDGE = 1e-2
 #: Remembered words per Python worker.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 
 WORDS = re.compile(r"\b\w(?:\s\w){2,}\b|\w+(?:[^\w\s]+\w+)*")
 SENTENCE = re.compile(r"[.!?\n]+\s")
@@ -139,15 +139,18 @@ class Scorer:
         for k, x in enumerate(model.landmarks):
             for t in triples(x):
                 self.masks[t] = self.masks.get(t, 0) | 1 << k
-        self.known: dict[str, np.ndarray | None] = {}
+        self.keys = set(self.masks)
+        self.known: set[str] = set()
+        self.close: dict[str, np.ndarray] = {}
 
     def resembles(self, word: str) -> bool:
         """Whether two of its triples belong to one landmark; below that the kernel
         value is under FLOOR or the word too short to tell."""
-        once = 0
-        for t in triples(word):
-            mask = self.masks.get(t)
-            if mask:
+        shared = triples(word) & self.keys
+        if len(shared) > 1:
+            once = 0
+            for t in shared:
+                mask = self.masks[t]
                 if once & mask:
                     return True
                 once |= mask
@@ -155,23 +158,23 @@ class Scorer:
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Per text the largest value of its words against each landmark."""
-        known, model = self.known, self.model
+        known, close, model = self.known, self.close, self.model
         out = np.zeros((len(texts), len(model.landmarks)), np.float32)
         words = [words_of(t) for t in texts]
-        new = [*{w for some in words for w in some if w not in known}]
-        if len(known) + len(new) > REMEMBERED:
+        every = set().union(*words)
+        if len(known) > REMEMBERED:
             known.clear()
-            new = [*set().union(*words)]
-        known.update(dict.fromkeys(new))
+            close.clear()
+        new = every - known
+        known |= new
         plain = [(w, normal(w)) for w in new]
-        close = [x for x in plain if any(map(self.resembles, windows(x[1])))]
-        for (w, _), f in zip(close, model.features([x for _, x in close]), strict=True):
+        near = [x for x in plain if (self.resembles(x[1]) if len(x[1]) <= WINDOW else any(map(self.resembles, windows(x[1]))))]
+        for (w, _), f in zip(near, model.features([x for _, x in near]), strict=True):
             if f.any():
-                known[w] = f
+                close[w] = f
         for k, some in enumerate(words):
-            hits = [f for w in some if (f := known[w]) is not None]
-            if hits:
-                out[k] = np.maximum.reduce(hits)
+            if hits := some & close.keys():
+                out[k] = np.maximum.reduce([close[w] for w in hits])
         return out
 
     def scores(self, texts: list[str], block: int = 64) -> list[float]:
