@@ -252,7 +252,6 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     lists = post.groupBy("s").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     open_ = stage(post.join(lists.select("s"), "s").select("s", "rep", "n", F.col("rep").alias("root")), "lists")
     sizes = reps.select("doc_id", "n", "histogram")
-    sets = whole_sets(open_.select(F.col("rep").alias("doc_id")).distinct(), docs, width)
     close = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     linked = None
     for k in range(PIVOTS + 1):
@@ -266,8 +265,10 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
             most = " + ".join(f"least(a{i}, b{i})" for i in range(COARSE))
             met = x.join(y, "s").where(f"root_a < root_b and {close} and {100 + percent} * ({most}) >= {percent} * (n_a + n_b)")
         pairs = met.where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = verify(bound(pairs, sizes, percent), sets, percent)
-        if linked is not None:
+        likely = stage(bound(pairs, sizes, percent), "pairs")
+        sets = whole_sets(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, width)
+        links = verify(likely, sets, percent)
+        if linked is not None:  # smaller than all links so far, and as good
             links = links.unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
         linked = components(links)
         if k < PIVOTS:
