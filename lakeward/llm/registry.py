@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, packing, quality, sharding, tokens, toxicity
+from . import decontamination, jaccard, packing, pii, quality, sharding, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_personal_data": pii.op1_personal_data,
     "op2_token_counts": tokens.op2_token_counts,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
     "op6_quality": quality.op6_quality,
+    "op8_decontamination": decontamination.op8_decontamination,
     "op9_sharding": sharding.op9_sharding,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_decontamination": decontamination.OP8_SQL}
