@@ -39,7 +39,7 @@ PROPOSED = {
     ),
     "ip": (r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", (":",)),
     "card": (r"(?<![0-9])[0-9](?:[ ./-]?[0-9]){12,18}(?![0-9])", ()),
-    "phone": (r"(?<![0-9+(.-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])", ()),
+    "phone": (r"(?<![0-9+(.-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![.-]?[0-9])", ()),
 }
 
 #: Characters before a candidate in which a hint may stand.
@@ -259,8 +259,8 @@ def examples(seed: int = 5, n: int = 1600) -> list[tuple[int, str, str, int]]:
         hint, against = "", ""
         if kind == "email":
             if label:
-                at, dot = r.choice([("(at)", "(dot)"), ("[at]", "[dot]"), (" at ", " dot "), ("@", "[dot]"), ("(at)", ".")])
-                x = f"{name()}{r.choice(['', '.', '_'])}{name()}{at}{name()}{dot}{r.choice(['com', 'org', 'net'])}"
+                at, dot = r.choice([("(at)", "(dot)"), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" [at] ", " [dot] "), (" at ", " dot "), ("@", "[dot]"), ("(at)", ".")])
+                x = f"{r.choice(['', name() + '.', name() + '_'])}{name()}{at}{name()}{dot}{r.choice(['com', 'org', 'net'])}"
             else:
                 x = r.choice([f"{name()} at {name()}. {name()} (dot) ", f"{name()} at {name()}.{name()} a dot of {name()}", f"look at {name()}. a dot on {name()}"])
             hint = r.choice(["", "mail", "contact"]) if label else ""
