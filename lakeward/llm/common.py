@@ -78,3 +78,25 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
                 cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
         before = now
+
+
+#: Bits of the filter that spares most rows a shuffle; it has at most 131,072 words.
+FILTER_BITS = 1 << 23
+
+
+def without(docs: DataFrame, bad: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """Rows of docs whose key values are not in bad; `keys` maps columns of bad to
+    expressions on docs. Nulls equal each other.
+
+    A bit filter of fixed size, made from bad and broadcast, lets through every row that
+    surely is not in it; only the others are joined, so texts are hardly shuffled.
+    """
+    names = [*keys]
+    spot = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(FILTER_BITS))
+    bad = bad.select(*(F.col(n).alias(f"__{n}") for n in names)).distinct()
+    own = bad.withColumn("__spot", spot([F.col(f"__{n}") for n in names]))
+    bits = own.groupBy(F.shiftright("__spot", 6).cast("int").alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__spot & 63 as int))")).alias("__mask"))
+    marked = docs.withColumn("__at", spot([*keys.values()])).join(F.broadcast(bits), F.shiftright("__at", 6).cast("int") == F.col("__word"), "left")
+    maybe = F.coalesce(F.expr("(shiftright(__mask, cast(__at & 63 as int)) & 1) = 1"), F.lit(False))
+    same = [e.eqNullSafe(F.col(f"__{n}")) for n, e in keys.items()]
+    return marked.where(~maybe).select(*docs.columns).unionByName(marked.where(maybe).select(*docs.columns).join(bad, same, "left_anti"))

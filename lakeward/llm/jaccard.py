@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, stage, table
+from .common import components, stage, table, without
 
 #: Buckets of the count sketch and of the filter for documents to verify.
 SKETCH, FILTER_BITS = 1 << 18, 1 << 23
@@ -29,7 +29,7 @@ SKETCH, FILTER_BITS = 1 << 18, 1 << 23
 EXCESS, ROOTS = 48, 8
 #: Classes of frequent tokens; sets above LARGE index single tokens only.
 CLASSES, LARGE = 32, 8000
-HISTOGRAM, COARSE = 128, 32
+HISTOGRAM, COARSE = 128, 64
 #: Rounds in which a list's members are held against one of them.
 PIVOTS = 1
 REMEMBERED = 500_000
@@ -286,10 +286,10 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each component, the one with the smallest id, and
-    one row of each id; rows with a null id stay."""
-    extra = link_documents(docs, width, percent).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(extra, "doc_id", "left_anti")
+    """`docs` with one document of each component, the one with the smallest id; rows
+    that repeat that id or have none stay, and so do all columns."""
+    extra = stage(link_documents(docs, width, percent).where("component_id < doc_id").select("doc_id"), "extra")
+    return without(docs, extra, {"doc_id": F.col("doc_id").cast("bigint")})
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
