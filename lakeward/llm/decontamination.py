@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, lower_ascii, stage, table
+from .common import LOWER, UPPER, lower_ascii, stage, table, without
 
 WINDOW = 10
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -91,10 +91,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, spans: bool = False) -> DataFrame:
     """`docs` without documents that hold a window or, with `spans`, without the hit
     words (their place keeps the signs around them). All columns are kept."""
-    found = find_windows(docs, benchmark, size).where("size(hit) > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "hit")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash"))
+    found = find_windows(docs, benchmark, size).where("size(hit) > 0")
     if not spans:
-        return docs.join(found.drop("hit"), same, "left_anti")
+        hits = stage(found.select("doc_id", "text_hash"), "hits")
+        return without(docs, hits, {"doc_id": F.col("doc_id"), "text_hash": F.xxhash64(F.col("text").cast("string"))})
+    found = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "hit")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__hash"))
     joined = docs.join(found.withColumnRenamed("hit", "__hit"), same, "left")
     own = F.regexp_extract_all("text", F.lit(CASED_WORD), F.lit(0))
     kept = F.zip_with(

@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, packing, pii, quality, sharding, tokens, toxicity
+from . import decontamination, embedding_dedup, jaccard, packing, pii, quality, revisits, sharding, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": pii.op1_personal_data,
     "op2_token_counts": tokens.op2_token_counts,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
+    "op5_revisits": revisits.op5_revisits,
     "op6_quality": quality.op6_quality,
+    "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_sharding": sharding.op9_sharding,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {"op8_decontamination": decontamination.OP8_SQL}
+ORACLES: dict[str, str] = {"op5_revisits": revisits.OP5_SQL, "op8_decontamination": decontamination.OP8_SQL}
