@@ -32,7 +32,7 @@ CLASSES, LARGE = 32, 8000
 HISTOGRAM, COARSE = 128, 64
 #: Rounds in which a list's members are held against one of them.
 PIVOTS = 1
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 MASK = (1 << 64) - 1
 
@@ -156,7 +156,7 @@ def index_sets(docs: DataFrame, width: int, percent: int, frequent: np.ndarray)
         import xxhash
 
         prefixes = Prefixes(percent, np.unpackbits(sent.value, count=SKETCH).astype(bool))
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
             n, sig, signatures, histogram, coarse = [], [], [], [], []
             for t in batch.column(1):
                 h = shingles(t.as_py(), width)
