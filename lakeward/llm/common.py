@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that go to a Python worker at once while a table is written; texts are long.
+BATCH_ROWS = 1000
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -31,7 +34,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     lost executors, and the lineage before it is cut."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, str(min(int(before), BATCH_ROWS)))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(rows, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

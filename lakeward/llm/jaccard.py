@@ -156,7 +156,7 @@ def index_sets(docs: DataFrame, width: int, percent: int, frequent: np.ndarray)
         import xxhash
 
         prefixes = Prefixes(percent, np.unpackbits(sent.value, count=SKETCH).astype(bool))
-        for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+        for batch in batches:
             n, sig, signatures, histogram, coarse = [], [], [], [], []
             for t in batch.column(1):
                 h = shingles(t.as_py(), width)
@@ -172,6 +172,7 @@ def index_sets(docs: DataFrame, width: int, percent: int, frequent: np.ndarray)
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(histogram, pa.binary()), pa.array(coarse, pa.list_(pa.int32()))],
                 ["doc_id", "n", "sig", "signatures", "histogram", "coarse"],
             )
+        pa.default_memory_pool().release_unused()
 
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return text.mapInArrow(run, "doc_id bigint, n bigint, sig binary, signatures array<bigint>, histogram binary, coarse array<int>")
@@ -281,7 +282,7 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         rows.select("doc_id", F.col("n").alias("n_shingles"), "sig", "n")
         .join(groups, ["sig", "n"], "left")
         .join(linked, F.col("rep") == F.col("node"), "left")
-        .select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id")).alias("component_id"))
     )
 
 
