@@ -32,7 +32,6 @@ CLASSES, LARGE = 32, 8000
 HISTOGRAM, COARSE = 128, 64
 #: Rounds in which a list's members are held against one of them.
 PIVOTS = 1
-REMEMBERED = 150_000
 
 MASK = (1 << 64) - 1
 
@@ -49,35 +48,59 @@ with np.errstate(over="ignore"):  # odd multipliers without a pattern among them
     ODD = [int(v) | 1 for v in mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
 
 
-class _Words(dict):
-    def __missing__(self, w: bytes) -> int:
-        import xxhash
-
-        if len(self) >= REMEMBERED:
-            self.clear()
-        h = self[w] = xxhash.xxh3_64_intdigest(w)
-        return h
+#: Bytes of text hashed at once, up to the next white space.
+CHUNK = 1 << 21
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+with np.errstate(over="ignore"):  # a value per byte (A-Z as a-z) and a multiplier per place
+    VALUES = mix(np.arange(1000, 1256, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    VALUES[65:91] = VALUES[97:123]
+    POWERS = np.cumprod(np.full(1 << 12, ODD[7], np.uint64))
 
 
-_words = None
+def _powers(n: int) -> np.ndarray:
+    """The first n places' multipliers."""
+    with np.errstate(over="ignore"):
+        return POWERS[:n] if n <= len(POWERS) else np.cumprod(np.full(n, ODD[7], np.uint64))
 
 
-def word_hashes() -> _Words:
-    """One per Python worker, kept from task to task."""
-    global _words
-    if _words is None:
-        _words = _Words()
-    return _words
+def _hash_words(b: np.ndarray) -> np.ndarray:
+    inside = ~SPACE[b]
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    starts = np.flatnonzero(begin)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    at = np.flatnonzero(inside)
+    first = np.searchsorted(at, starts)
+    lengths = np.diff(np.append(first, len(at)))
+    place = np.arange(len(at)) - np.repeat(first, lengths)
+    sums = np.add.reduceat(VALUES[b[at]] * _powers(int(lengths.max()))[place], first)
+    return mix(sums + lengths.astype(np.uint64) * np.uint64(ODD[9]))
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A hash per word, in order; words are what ASCII white space parts."""
+    b = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    if len(b) <= CHUNK:
+        return _hash_words(b)
+    out, at = [], 0
+    while at < len(b):
+        end = at + CHUNK
+        while end < len(b) and not SPACE[b[end : end + CHUNK]].any():
+            end += CHUNK
+        end += int(SPACE[b[end : end + CHUNK]].argmax()) if end < len(b) else 0
+        out.append(_hash_words(b[at:end]))
+        at = end
+    return np.concatenate(out)
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles, upper case A-Z read as lower case.
     Fewer words than `width` are one shingle; no words, none."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    known = word_hashes()
-    h = np.array([known[w] for w in words], np.uint64)
+    h = word_hashes(text or "")
+    if not len(h):
+        return h
     n, k = len(h), min(width, len(h))
     out = np.full(n - k + 1, (k * 0x632BE59BD9B4E019) & MASK, np.uint64)
     for i in range(k):
@@ -247,12 +270,16 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     """
     rows = stage(index_sets(docs, width, percent, frequent_buckets(docs, width)), "sets-index")
     named = rows.where("doc_id is not null and n > 0")
-    groups = named.groupBy("sig", "n").agg(F.min("doc_id").alias("rep"))
-    reps = stage(named.join(groups, ["sig", "n"]).where("doc_id = rep").select("doc_id", "n", "signatures", "histogram", "coarse"), "nodes")
-    post = reps.select(F.col("doc_id").alias("rep"), "n", F.explode("signatures").alias("s"))
+    groups = stage(named.groupBy("sig", "n").agg(F.min("doc_id").alias("rep")), "groups")
+    copies = stage(named.select("doc_id", "sig", "n").join(groups, ["sig", "n"]).where("doc_id <> rep").select("doc_id"), "copies")
+    reps = without(named, copies, {"doc_id": F.col("doc_id")})
+    # one exchange serves both the lists and their members; a document has many signatures, so
+    # even one that a third of all documents share is a small part of the rows
+    post = reps.select(F.explode("signatures").alias("s"), F.col("doc_id").alias("rep")).repartition("s")
     lists = post.groupBy("s").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    open_ = stage(post.join(lists.select("s"), "s").select("s", "rep", "n", F.col("rep").alias("root")), "lists")
     sizes = reps.select("doc_id", "n", "histogram")
+    shared = post.join(lists.select("s"), "s").join(reps.select(F.col("doc_id").alias("rep"), "n"), "rep")
+    open_ = stage(shared.select("s", "rep", "n", F.col("rep").alias("root")), "lists")
     close = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     linked = None
     for k in range(PIVOTS + 1):
