@@ -1,34 +1,25 @@
-"""Near copies among vectors by sorted projection passes.
+"""Near copies among vectors, exactly: every two vectors are compared.
 
-Each pass draws 64 random hyperplanes, orders the vectors by the signs of their
-projections read as one number, and compares every vector with its neighbours in a
-bounded window. Verified pairs of all passes are united; what a window leaves out of a
-large group is settled afterwards, as every component is compared within itself, block by
-block, so links are counted over the whole component.
+Vectors fall into chunks of bounded size by hash and every two chunks meet in a task of
+their own, which gives for each linked vector its number of links there and the smallest
+id it is joined with. Products are taken in single precision; those within its error of
+the threshold are taken again in double precision, so no link is lost or invented.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, stage, table
 
-PASSES, BITS = 16, 64
-#: A vector meets its own block of this many neighbours and the one before.
-BLOCK = 256
 COSINE = 0.95
-SEED = 11
-
-
-@lru_cache(maxsize=4)
-def planes(dim: int) -> np.ndarray:
-    return np.random.default_rng([SEED, dim]).standard_normal((PASSES * BITS, dim))
+#: Components of vectors in a chunk at most, chunks that few vectors are dealt over, and vectors of the least chunk.
+CHUNK, SPREAD, LEAST = 1 << 20, 8, 256
+#: Rows of a chunk that are compared at once.
+STRIPE = 256
 
 
 def unit(column: pa.Array) -> np.ndarray:
@@ -42,101 +33,67 @@ def _columns(t: pa.Table, *names: str) -> list[pa.Array]:
     return [t.column(n).combine_chunks() for n in names]
 
 
-def sort_keys(nodes: DataFrame) -> DataFrame:
-    """Rows (dim, pass, key, rep, v), PASSES per vector."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = (1 << np.arange(BITS - 1, -1, -1, dtype=np.uint64)).astype(np.uint64)
-        for batch in batches:
-            dims = batch.column(2).to_numpy()
-            for dim in np.unique(dims):
-                some = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                signs = (unit(some.column(1)) @ planes(int(dim)).T > 0).reshape(-1, PASSES, BITS)
-                keys = (signs * powers).sum(axis=2, dtype=np.uint64) ^ np.uint64(1 << 63)
-                n = some.num_rows
-                for p in range(PASSES):
-                    yield pa.RecordBatch.from_arrays(
-                        [some.column(2), pa.array(np.full(n, p, np.int32)), pa.array(keys[:, p].view(np.int64)), some.column(0), some.column(1)],
-                        ["dim", "pass", "key", "rep", "v"],
-                    )
-
-    return nodes.select("rep", "v", "dim").mapInArrow(run, "dim int, pass int, key bigint, rep bigint, v array<float>")
-
-
-def window_edges(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) that join what windows of neighbours found linked: for each block, its
-    linked vectors with the smallest of their group there, never all pairs."""
-    spark = nodes.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["dim", "pass", "key", "rep"]
-    ordered = stage(sort_keys(nodes).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("m", F.monotonically_increasing_id()), "passes")
-    part, nth = F.shiftright("m", 33), F.col("m").bitwiseAND((1 << 33) - 1)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    placed = ordered.withColumn("part", part).join(F.broadcast(offsets), "part")  # one row a partition
-    block = F.floor((F.col("offset") + nth) / BLOCK)
-    doubled = placed.select("dim", "pass", "rep", "v", F.explode(F.array(block, block + 1)).alias("block"))
-
-    def run(t: pa.Table) -> pa.Table:
-        rep, v = _columns(t, "rep", "v")
-        ids, x = rep.to_numpy(), unit(v)
-        near = x @ x.T >= COSINE
-        near[ids[:, None] == ids[None]] = False
-        label = ids.copy()
-        active = np.flatnonzero(near.any(axis=1))
-        if len(active):
-            sub = near[np.ix_(active, active)] | np.eye(len(active), dtype=bool)
-            own = ids[active]
-            while True:  # the smallest id of those linked, until it settles
-                new = np.where(sub, own[None], np.iinfo(np.int64).max).min(axis=1)
-                if (new == own).all():
-                    break
-                own = new
-            label[active] = own
-        keep = label != ids
-        return pa.table({"a": label[keep], "b": ids[keep]})
-
-    return doubled.groupBy("block", "dim").applyInArrow(run, "a bigint, b bigint").distinct()
-
-
-def count_links(nodes: DataFrame, linked: DataFrame) -> DataFrame:
-    """Per linked node the number of other vectors with COSINE or more, over its whole
-    component. Large components fall into chunks by hash and every two chunks meet in a
-    task of their own; small ones share tasks."""
-    sizes = linked.groupBy("root").agg(F.count("*").alias("size"))
-    total = linked.count()
-    chunks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.col("k")).cast("int")
+def near(x: np.ndarray, y: np.ndarray, x32: np.ndarray, y32: np.ndarray) -> np.ndarray:
+    """Which rows of x and y have COSINE or more; x32 and y32 are the same in single precision."""
+    error = (x.shape[1] + 8) * 2.0**-22  # of a product in single precision, with room
+    s = x32 @ y32.T
+    found = s >= COSINE + error
+    i, j = np.nonzero((s >= COSINE - error) & ~found)
+    for at in range(0, len(i), 4096):
+        p, q = i[at : at + 4096], j[at : at + 4096]
+        found[p, q] = (x[p] * y[q]).sum(axis=1) >= COSINE
+    return found
+
+
+def compare(ids: np.ndarray, mult: np.ndarray, x: np.ndarray, first: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the number of other vectors with COSINE or more and the smallest id it is
+    joined with. `first` marks the rows of one of two chunks that meet; rows of one chunk
+    alone (None) meet each other."""
+    n, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    rows, columns = (np.arange(len(ids)),) * 2 if first is None else (np.flatnonzero(first), np.flatnonzero(~first))
+    x32 = x.astype(np.float32)
+    y, y32, weight = x[columns], x32[columns], mult[columns]
+    for at in range(0, len(rows), STRIPE):
+        own = rows[at : at + STRIPE]
+        found = near(x[own], y, x32[own], y32)
+        if first is None:
+            found[np.arange(len(own)), own] = False
+        for k in np.flatnonzero(found.any(axis=1)):
+            others = np.flatnonzero(found[k])
+            n[own[k]] += weight[others].sum()
+            if first is not None:
+                n[columns[others]] += mult[own[k]]
+            joined = np.append(label[columns[others]], label[own[k]])
+            if joined.min() < joined.max():
+                into = np.arange(len(ids))
+                into[joined] = joined.min()
+                label = into[label]
+    low = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(low, label, ids)
+    return n, low[label]
+
+
+def links(nodes: DataFrame) -> DataFrame:
+    """Rows (rep, low, n) per linked vector and two chunks that meet: n others there with
+    COSINE or more, and low the smallest of those it is joined with."""
+    sizes = nodes.groupBy("dim").agg(F.count("*").alias("size"))
+    most = F.greatest(F.lit(LEAST), F.least(F.floor(F.lit(CHUNK) / F.col("dim")), F.ceil(F.col("size") / SPREAD)))
+    chunks = sizes.select("dim", F.ceil(F.col("size") / most).cast("int").alias("k"))
     each = (
-        linked.join(sizes, "root")
-        .join(nodes, F.col("node") == F.col("rep"))
-        .select("root", "rep", "v", "mult", chunks.alias("k"))
-        .withColumn("chunk", own)
+        nodes.join(F.broadcast(chunks), "dim")
+        .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select(
-            "root", "rep", "v", "mult", "chunk",
-            F.when(F.col("k") == 1, F.pmod(F.xxhash64("root"), F.lit(total // BLOCK + 1))).otherwise(F.col("root")).alias("g"),
-            F.when(F.col("k") == 1, -1).otherwise(F.least("chunk", "other")).alias("i"),
-            F.when(F.col("k") == 1, -1).otherwise(F.greatest("chunk", "other")).alias("j"),
-        )
-    )
+        .select("dim", "rep", "v", "mult", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    )
 
     def run(t: pa.Table) -> pa.Table:
-        root, rep, v, mult, chunk, i, j = _columns(t, "root", "rep", "v", "mult", "chunk", "i", "j")
-        root, ids, mult, chunk = root.to_numpy(), rep.to_numpy(), mult.to_numpy(), chunk.to_numpy()
-        lengths = v.value_lengths().to_numpy()
-        n = np.zeros(len(ids), np.int64)
-        for dim in np.unique(lengths):
-            at = np.flatnonzero(lengths == dim)
-            x = unit(v.take(pa.array(at)))
-            near = (x @ x.T >= COSINE) & (root[at][:, None] == root[at][None])
-            np.fill_diagonal(near, False)
-            if i[0].as_py() != j[0].as_py():  # rows of one chunk meet elsewhere
-                near &= chunk[at][:, None] != chunk[at][None]
-            n[at] = near @ mult[at]
-        return pa.table({"rep": ids, "n": n})
-
-    return each.groupBy("g", "i", "j").applyInArrow(run, "rep bigint, n bigint").groupBy("rep").agg(F.sum("n").alias("n"))
+        rep, v, mult, chunk, i, j = _columns(t, "rep", "v", "mult", "chunk", "i", "j")
+        ids, i, j = rep.to_numpy(), i[0].as_py(), j[0].as_py()
+        n, low = compare(ids, mult.to_numpy(), unit(v), None if i == j else chunk.to_numpy() == i)
+        keep = n > 0
+        return pa.table({"rep": ids[keep], "low": low[keep], "n": n[keep]})
+
+    return each.groupBy("dim", "i", "j").applyInArrow(run, "rep bigint, low bigint, n bigint")
 
 
 def link_vectors(rows: DataFrame) -> DataFrame:
@@ -153,8 +110,9 @@ def link_vectors(rows: DataFrame) -> DataFrame:
     valid = own.where(F.coalesce(sound, F.lit(False)) & F.col("vec_id").isNotNull())
     groups = valid.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"))
     nodes = stage(groups.withColumn("dim", F.size("v")), "vectors")
-    linked = stage(components(window_edges(nodes)), "components")
-    counts = count_links(nodes, linked)
+    found = stage(links(nodes), "links")
+    linked = components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct())
+    counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     told = (
         nodes.join(linked, F.col("rep") == F.col("node"), "left")
         .select("v", "rep", "mult", "root")

@@ -111,6 +111,32 @@ def test_vectors(spark):
     assert embedding_dedup.link_vectors(df.limit(0)).count() == 0
 
 
+def hot_cone(n, pairs, dim=64, inside=0.9, turned=0.31):
+    """Vectors of a cone of mutual cosine about `inside`; the last `pairs` of them nearly repeat the first."""
+    rng = np.random.default_rng(8)
+    off = rng.standard_normal((n, dim))
+    off[:, 0] = 0
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    x = np.sqrt(1 - inside) * off
+    x[:, 0] = np.sqrt(inside)
+    turn = rng.standard_normal((pairs, dim))
+    x[n - pairs :] = x[:pairs] + turn * (turned / np.linalg.norm(turn, axis=1, keepdims=True))
+    return x.astype(np.float32)
+
+
+def test_vectors_of_a_hot_cone(spark):
+    x = hot_cone(10000, 1000)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.link_vectors(df).collect()}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    groups = brute.Union(range(len(x)))
+    for a, b in zip(*np.nonzero(near), strict=True):
+        groups.join(int(a), int(b))
+    assert near.sum() >= 2 * 1000 and got == {i: (near[i].sum(), groups.find(i)) for i in range(len(x))}
+
+
 CAPTURES = "record_id long, url string, captured long, kind string, etag string, last_modified string, headers map<string,string>, digest string, outcome int"
 
 
