@@ -31,11 +31,11 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 
-#: What the generators propose, by kind, with the characters without which they find nothing.
+#: What the generators propose, by kind, with the characters (or a pattern) without which they find nothing.
 PROPOSED = {
     "email": (
         r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64} ?(?:[(\[{]at[)\]}]| at |@) ?[a-z0-9-]{1,64}(?: ?(?:[(\[{]dot[)\]}]| dot |\.) ?[a-z0-9-]{1,64}){1,4}",
-        ("(at)", "[at]", "{at}", " dot ", "(dot)", "[dot]"),
+        r"(?i)@|[(\[{]at[)\]}]| at ",
     ),
     "ip": (r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", (":",)),
     "card": (r"(?<![0-9])[0-9](?:[ ./-]?[0-9]){12,18}(?![0-9])", ()),
@@ -86,11 +86,12 @@ def prefix_sums(n: Column, values: Column, block: int = 256) -> Column:
 EMPTY = "array<struct<s:int,e:int,x:string>>"
 
 
-def matches(text: Column, pattern: str, needs: tuple[str, ...] = ()) -> Column:
+def matches(text: Column, pattern: str, needs: tuple[str, ...] | str = ()) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     if not needs:
         return found
-    return F.when(reduce(lambda a, b: a | b, (text.contains(x) for x in needs)), found).otherwise(F.array().cast("array<string>"))
+    some = text.rlike(needs) if isinstance(needs, str) else reduce(lambda a, b: a | b, (text.contains(x) for x in needs))
+    return F.when(some, found).otherwise(F.array().cast("array<string>"))
 
 
 def located(text: Column, found: Column, pattern: str) -> Column:

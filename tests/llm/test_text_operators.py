@@ -40,6 +40,18 @@ def test_added_spans_and_redaction(spark):
     assert got[4].text == docs[3][1] and got[5].text == docs[4][1] and got[5].spans == 5
 
 
+def test_spelled_out_addresses_of_any_case(spark):
+    docs = [
+        (1, "write to JANE (AT) MAIL (DOT) COM today"), (2, "write to jane [AT] mail [DOT] com today"), (3, "write to jane@mail {dot} com today"), (4, "write to JANE AT MAIL DOT COM today"),
+        (5, "we met at noon. then we left at dusk. it rained"), (6, "LOOK AT THE SUN. IT ROSE"), (7, "news at example.com today"),
+    ]
+    got = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(docs, DOCS)).collect()}
+    assert got[1] == got[2] == got[3] == "write to [REDACTED] today" and "JANE" not in got[4]
+    assert all(got[i] == t for i, t in docs if i > 4)
+    rows = pii.candidates(spark.createDataFrame([(1, "jane @mail.com"), (2, "jane (aT] mail.com"), (3, "at")], DOCS)).collect()
+    assert {r.doc_id: len(r.c_email) for r in rows} == {1: 1, 2: 1, 3: 0}
+
+
 # -- tokens
 
 
