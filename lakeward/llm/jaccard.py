@@ -271,8 +271,13 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     rows = stage(index_sets(docs, width, percent, frequent_buckets(docs, width)), "sets-index")
     named = rows.where("doc_id is not null and n > 0")
     groups = stage(named.groupBy("sig", "n").agg(F.min("doc_id").alias("rep")), "groups")
-    copies = stage(named.select("doc_id", "sig", "n").join(groups, ["sig", "n"]).where("doc_id <> rep").select("doc_id"), "copies")
-    reps = without(named, copies, {"doc_id": F.col("doc_id")})
+    copies = stage(named.select("doc_id", "sig", "n").join(groups, ["sig", "n"]).where("doc_id <> rep"), "copies")
+    reps = without(named, copies.select("doc_id", "sig", "n"), {c: F.col(c) for c in ("doc_id", "sig", "n")})
+    # an id with several sets, the empty one too, joins their groups
+    own = groups.selectExpr("rep as doc_id", "rep").unionByName(rows.where("doc_id is not null and n = 0").selectExpr("doc_id", "doc_id as rep"))
+    held = copies.select("doc_id", "rep").unionByName(own)
+    several = held.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("doc_id", "low")
+    same = stage(held.join(several, "doc_id").where("rep <> low").selectExpr("rep as a", "low as b").distinct(), "same-id")
     # one exchange serves both the lists and their members; a document has many signatures, so
     # even one that a third of all documents share is a small part of the rows
     post = reps.select(F.explode("signatures").alias("s"), F.col("doc_id").alias("rep")).repartition("s")
@@ -296,8 +301,8 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         likely = stage(bound(pairs, sizes, percent), "pairs")
         sets = whole_sets(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, width)
         links = verify(likely, sets, percent)
-        if linked is not None:  # smaller than all links so far, and as good
-            links = links.unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        # with the links so far as components, which are smaller and as good
+        links = links.unionByName(same if linked is None else linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
         linked = components(links)
         if k < PIVOTS:
             placed = open_.drop("root").join(linked, F.col("rep") == F.col("node"), "left").select("s", "rep", "n", F.coalesce("root", "rep").alias("root"))
@@ -308,7 +313,7 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     return (
         rows.select("doc_id", F.col("n").alias("n_shingles"), "sig", "n")
         .join(groups, ["sig", "n"], "left")
-        .join(linked, F.col("rep") == F.col("node"), "left")
+        .join(linked, F.coalesce("rep", "doc_id") == F.col("node"), "left")
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "rep", "doc_id")).alias("component_id"))
     )
 

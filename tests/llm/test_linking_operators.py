@@ -50,6 +50,16 @@ def test_jaccard_rows(spark):
     assert jaccard.link_documents(docs.limit(0)).count() == 0
 
 
+def test_jaccard_ids_with_two_texts(spark):
+    r = random.Random(6)
+    a, b, c = ([f"{x}{r.randrange(999)}" for _ in range(80)] for x in "abc")
+    text = " ".join
+    rows = [(1, text(a)), (5, text(a)), (5, text(b)), (9, text([*b, "end"])), (6, text(c)), (7, text(c)), (7, ""), (8, ""), (8, text([*c, "end"])), (20, ""), (20, "one")]
+    got = sorted((x.doc_id, x.component_id) for x in jaccard.link_documents(spark.createDataFrame(rows, DOCS), 3, 90).collect())
+    assert got == [(1, 1), (5, 1), (5, 1), (6, 6), (7, 6), (7, 6), (8, 6), (8, 6), (9, 1), (20, 20), (20, 20)]
+    assert {x.doc_id for x in jaccard.keep_one(spark.createDataFrame(rows, DOCS), 3, 90).collect()} == {1, 6, 20}
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90])
 def test_prefixes_of_similar_sets_meet(percent):
     rng = np.random.default_rng(3)
