@@ -209,6 +209,17 @@ def test_importance_resampling(spark):
     assert quality.resample(docs, labels, keep=100).where("kept").count() == 100
 
 
+def test_cut_does_not_follow_a_hot_id(spark):
+    ids = range(40)
+    labels = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    cut_ids = sorted(r.doc_id for r in quality.sampled_labels(labels, 1, quality.CUT_ROWS, for_cut=True).collect())
+    hot, low = cut_ids[0], cut_ids[-1]
+    rows = spark.range(2000).selectExpr(f"{hot}L as doc_id", "5.0D as log_weight", "cast(id as double) as key")
+    rest = [(i, 1.0 if i == low else 3.0, -float(i)) for i in ids if i != hot]
+    least = quality.least_key(rows.unionByName(spark.createDataFrame(rest, "doc_id long, log_weight double, key double")), labels)
+    assert len(cut_ids) > 2 and least == -39.0  # every labelled row passes the cut, so all are kept
+
+
 # -- decontamination
 
 
