@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .dimensions import unpivot
 
+SUFFIX = re.compile(r"\s+(jr|sr|ii|iii|iv)\.?$")
+
 
 def with_overrides(parsed: DataFrame, overrides: DataFrame, season: str = "season", keys: tuple[str, ...] = ("season", "team", "role")) -> DataFrame:
     """Parsed rows, those of an overridden key replaced by the overrides of seasons that were parsed;
@@ -30,15 +33,13 @@ def week_days(games: DataFrame) -> DataFrame:
 
 def likely_aliases(names: DataFrame, column: str = "name", strong: float = 0.8, weak: float = 0.6) -> DataFrame:
     """Pairs (a, b, ratio) of names that may be one person's: similar as a whole, or of one
-    last name and first initial and somewhat similar. Names are paired within last name or
-    first three letters, not each with all."""
+    last name and first initial and somewhat similar. Every two names are compared, without
+    suffixes such as Jr."""
     keyed = names.select(F.col(column).alias("name")).where("name is not null").distinct()
-    keyed = keyed.withColumn("key", F.explode(F.array_distinct(F.array(F.lower(F.element_at(F.split("name", r"\s+"), -1)), F.lower(F.substring("name", 1, 3))))))
-    a, b = keyed.select("key", F.col("name").alias("a")), keyed.select("key", F.col("name").alias("b"))
-    pairs = a.join(b, "key").where("a < b").select("a", "b").distinct()
+    pairs = keyed.select(F.col("name").alias("a")).crossJoin(keyed.select(F.col("name").alias("b"))).where("a < b")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        norm = lambda s: " ".join("".join(c for c in s.lower() if c.isalnum() or c == " ").split())
+        norm = lambda s: " ".join("".join(c for c in SUFFIX.sub("", s.lower().strip()) if c.isalnum() or c == " ").split())
         for frame in frames:
             rows = []
             for x, y in zip(frame["a"], frame["b"], strict=True):

@@ -240,3 +240,8 @@ def test_overrides(spark):
 def test_likely_aliases(spark):
     df = spark.createDataFrame([("Jon Smith",), ("John Smith",), ("Jane Doe",), ("Mary Smith",)], "name string")
     assert [(r.a, r.b) for r in staff.likely_aliases(df).collect()] == [("John Smith", "Jon Smith")]
+
+
+def test_likely_aliases_of_all_pairs(spark):
+    df = spark.createDataFrame([("Jon Smith",), ("John Smyth",), ("Geoff Schwarz",), ("Jeff Schwartz",), ("Al Ray Jr.",), ("Al Ray",)], "name string")
+    assert {(r.a, r.b) for r in staff.likely_aliases(df).collect()} == {("John Smyth", "Jon Smith"), ("Geoff Schwarz", "Jeff Schwartz"), ("Al Ray", "Al Ray Jr.")}
