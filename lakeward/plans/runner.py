@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import logging
 import time
 import urllib.request
-from collections import Counter
+import uuid
+from collections import Counter, deque
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from lakeward.sources.registry import Dataset, PeriodUnavailable
 
 log = logging.getLogger(__name__)
@@ -37,33 +43,52 @@ def make_plan(datasets: list[Dataset], start: int, end: int) -> list[Step]:
     return [Step(d.name, s) for d in datasets for s in (d.seasons(start, end) if d.partitioned else [None])]
 
 
+def tried(step: Step, load: Callable[[Step], int]) -> tuple[str, int, str | None]:
+    """(status, rows, error) of one try; status `again` says that another may help, which holds
+    for what comes from outside the machine."""
+    try:
+        return "success", load(step), None
+    except PeriodUnavailable as gone:
+        return "skipped", 0, str(gone)
+    except Exception as e:  # noqa: BLE001  a step's failure is its result
+        outside = isinstance(e, OSError) and not isinstance(e, LOCAL_ERRORS)
+        return "again" if outside else "failed", 0, str(e)
+
+
 def run_step(step: Step, load: Callable[[Step], int], retries: int, delay: float, sleep: Callable[[float], None]) -> Result:
-    """OSErrors other than local ones are tried again after a delay that doubles."""
-    for attempt in range(1, retries + 2):
-        try:
-            return Result(step, "success", load(step), attempt)
-        except PeriodUnavailable as e:
-            return Result(step, "skipped", 0, attempt, str(e))
-        except OSError as e:
-            if isinstance(e, LOCAL_ERRORS) or attempt > retries:
-                return Result(step, "failed", 0, attempt, str(e))
-            sleep(delay * 2 ** (attempt - 1))
-        except Exception as e:  # noqa: BLE001  a step's failure is its result
-            return Result(step, "failed", 0, attempt, str(e))
-    raise AssertionError
+    """Waits `delay`, then twice as long each time, `retries` times at most."""
+    pauses = [delay * 2**k for k in range(retries)]
+    status, rows, error = tried(step, load)
+    used = 0
+    while status == "again" and used < len(pauses):
+        sleep(pauses[used])
+        used += 1
+        status, rows, error = tried(step, load)
+    return Result(step, "failed" if status == "again" else status, rows, 1 + used, error)
 
 
 def run_plan(
     steps: list[Step], load: Callable[[Step], int], workers: int = 4, retries: int = 2, delay: float = 30, sleep: Callable[[float], None] = time.sleep
 ) -> list[Result]:
-    """Datasets side by side, the seasons of one in turn; results in the plan's order."""
-    groups: dict[str, list[Step]] = {}
-    for s in steps:
-        groups.setdefault(s.dataset, []).append(s)
-    work = lambda own: [run_step(s, load, retries, delay, sleep) for s in own]
+    """Each dataset is a queue: its next season is ready when the one before has ended, and a
+    free worker takes the ready step that stands first in the plan. Results are in its order."""
+    queues: dict[str, deque[int]] = {}
+    for at, s in enumerate(steps):
+        queues.setdefault(s.dataset, deque()).append(at)
+    ready = sorted(q.popleft() for q in queues.values())
+    results: list[Result | None] = [None] * len(steps)
     with ThreadPoolExecutor(max(1, workers)) as pool:
-        done = {r.step: r for part in pool.map(work, groups.values()) for r in part}
-    return [done[s] for s in steps]
+        running: dict[Future, int] = {}
+        while ready or running:
+            while ready and len(running) < max(1, workers):
+                at = heapq.heappop(ready)
+                running[pool.submit(run_step, steps[at], load, retries, delay, sleep)] = at
+            for ended in wait(running, return_when=FIRST_COMPLETED).done:
+                at = running.pop(ended)
+                results[at] = ended.result()
+                if queue := queues[steps[at].dataset]:
+                    heapq.heappush(ready, queue.popleft())
+    return results
 
 
 def summarise(results: list[Result]) -> dict[str, int]:
@@ -87,6 +112,40 @@ class History:
             log.exception("the run could not be recorded")
 
 
+class RunLog:
+    """Runs and steps as two tables under `path`. Each run adds its own files, so writers never
+    meet; `save` is what a History calls."""
+
+    RUNS = "run_id string, kind string, status string, args string, finished_at timestamp"
+    STEPS = "run_id string, position int, dataset string, season int, status string, n_rows bigint, attempts int, error string"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def save(self, run: dict) -> None:
+        run_id = uuid.uuid4().hex
+        steps = [(run_id, k, r["step"]["dataset"], r["step"]["season"], r["status"], r["rows"], r["attempts"], r["error"]) for k, r in enumerate(run["steps"])]
+        self._add("steps", self.spark.createDataFrame(steps, self.STEPS))
+        head = self.spark.createDataFrame([(run_id, run["kind"], run["status"], run["args"])], self.RUNS.rpartition(",")[0])
+        self._add("runs", head.withColumn("finished_at", F.current_timestamp()))
+
+    def _add(self, name: str, df: DataFrame) -> None:
+        df.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        except AnalysisException:
+            return self.spark.createDataFrame([], schema)
+
+    def runs(self) -> DataFrame:
+        return self._read("runs", self.RUNS)
+
+    def steps(self) -> DataFrame:
+        """Steps of recorded runs; those of a run that broke off in writing are left out."""
+        return self._read("steps", self.STEPS).join(self.runs().select("run_id"), "run_id", "left_semi")
+
+
 def notify(url: str | None, text: str, post: Callable[[str, bytes], None] | None = None) -> bool:
     """Posts to a webhook; never raises."""
     if not url:

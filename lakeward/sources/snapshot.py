@@ -2,70 +2,174 @@
 
 from __future__ import annotations
 
+import json
 import threading
+import urllib.parse
+import uuid
 from collections import defaultdict
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeward.functions.types import store_type, widened_type
 
-_locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
+#: Stands for null in the names of partitions.
+NULL_VALUE = "__null__"
+_locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
+
+
+class Conflict(Exception):
+    """Another writer was first; the write can be tried again on the new version."""
 
 
 class Table:
-    """A table under `path`: folders v=1, v=2 ... and the current one in a pointer file
-    that Spark writes last."""
+    """A table under `path`. Each version is a list of folders, one for each value of the
+    partition column or one for all rows, that is written last: readers keep their version,
+    a write touches the folders it replaces only, and of two drivers that write the same
+    version the file system lets one succeed."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, partition: str | None = None):
+        self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
 
     @property
-    def lock(self) -> threading.Lock:
+    def lock(self) -> threading.RLock:
         return _locks[self.path]
 
+    def _file(self, name: str):
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
+
+    def _names(self, folder: str) -> list[str]:
+        fs, path = self._file(folder)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
     def version(self) -> int:
-        try:
-            return self.spark.read.schema("version int").parquet(f"{self.path}/_pointer").agg(F.max("version")).first()[0] or 0
-        except AnalysisException:
-            return 0
+        return max((int(n[:-5]) for n in self._names("_versions") if n.endswith(".json")), default=0)
 
     def exists(self) -> bool:
         return self.version() > 0
 
+    def parts(self, version: int | None = None) -> dict[str, str]:
+        """Partition value, as text, to folder; `*` is the folder of a table without partitions."""
+        name = f"{self.path}/_versions/{version or self.version():09d}.json"
+        return json.loads(self.spark.read.text(name, wholetext=True).first()[0])["parts"]
+
     def read(self, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v={version or self.version()}")
+        known = json.loads(self.spark.read.text(f"{self.path}/_versions/{version or self.version():09d}.json", wholetext=True).first()[0])
+        schema = T.StructType.fromJson(known["schema"])
+        if not known["parts"]:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{f}" for f in known["parts"].values()))
 
     def schema(self) -> dict[str, str]:
         """Name to type; empty if the table does not exist."""
         return dict(self.read().dtypes) if self.exists() else {}
 
-    def write(self, df: DataFrame, partition: str | None = None) -> int:
-        """The next version. It is complete before the pointer names it, so a reader or a
-        failed write never sees half of it."""
-        version = self.version() + 1
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(partition) if partition else writer).parquet(f"{self.path}/v={version}")
-        self.spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(f"{self.path}/_pointer")
+    def _data(self, df: DataFrame) -> str:
+        folder = f"data/{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def _commit(self, version: int, parts: dict[str, str], schema: T.StructType) -> int:
+        """Publishes the version whole, by a rename that fails if it is there already."""
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        fs, draft = self._file(f"_drafts/{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        out.write(bytearray(json.dumps({"parts": parts, "schema": schema.jsonValue()}).encode()))
+        out.close()
+        _, final = self._file(f"_versions/{version:09d}.json")
+        fs.mkdirs(final.getParent())
+        option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(option, 1)
+        options[0] = option.NONE
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(final), options)
+        except Py4JJavaError as e:
+            fs.delete(draft, False)
+            if "FileAlreadyExists" in str(e.java_exception):
+                raise Conflict(f"another writer has published version {version} of {self.path}") from e
+            raise
         return version
 
-    def replace_all(self, df: DataFrame) -> int:
+    def _split(self, df: DataFrame) -> dict[str, str]:
+        """A folder for each value of the partition column: one write, told apart by folder names."""
+        if self.partition is None:
+            return {"*": self._data(df)}
+        folder = f"data/{uuid.uuid4().hex}"
+        shadow = f"__{self.partition}"
+        df.withColumn(shadow, F.coalesce(F.col(self.partition).cast("string"), F.lit(NULL_VALUE))).write.partitionBy(shadow).parquet(f"{self.path}/{folder}")
+        named = [n for n in self._names(folder) if n.startswith(f"{shadow}=")]
+        return {unescaped(n.partition("=")[2]): f"{folder}/{n}" for n in named}
+
+    def write(self, df: DataFrame) -> int:
+        """The next version, with these rows alone."""
         with self.lock:
-            return self.write(df)
+            version = self.version() + 1
+            return self._commit(version, self._split(df), df.schema)
+
+    def replace_all(self, df: DataFrame) -> int:
+        return self.write(df)
 
     def replace_partition(self, df: DataFrame, key: str, value) -> int:
-        """The rows of one partition are replaced; an empty frame clears it."""
+        """The rows of one partition are replaced; an empty frame clears it. A table that is
+        partitioned by `key` keeps its other folders, unless a column changes its type."""
         with self.lock:
             if not self.exists():
                 return self.write(df)
-            old, df = align(self.read(), df)
-            return self.write(old.where(~F.col(key).eqNullSafe(F.lit(value))).unionByName(df))
+            version = self.version()
+            stored = self.read(version)
+            old, df = align(stored, df)
+            if self.partition == key and all(old.schema[c].dataType == t.dataType for c, t in ((f.name, f) for f in stored.schema.fields)):
+                parts = self.parts(version)
+                parts.pop(NULL_VALUE if value is None else str(value), None)
+                return self._commit(version + 1, parts | self._split(df.where(F.col(key).eqNullSafe(F.lit(value)))), old.schema)
+            rest = old.where(~F.col(key).eqNullSafe(F.lit(value))).unionByName(df)
+            return self._commit(version + 1, self._split(rest), rest.schema)
+
+    def merge_partitions(self, df: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+        """change(stored, incoming) over the partitions that the incoming rows touch; the other
+        folders stay. Their number is the number of partitions, not of rows."""
+        with self.lock:
+            version = self.version()
+            stored = self.read(version)
+            if self.partition is None:
+                return self._commit(version + 1, self._split(change(stored, df)), stored.schema)
+            touched = {NULL_VALUE if r[0] is None else r[0] for r in df.select(F.col(self.partition).cast("string")).distinct().collect()}
+            parts = self.parts(version)
+            mine = [f for v, f in parts.items() if v in touched]
+            old = self.spark.read.schema(stored.schema).parquet(*(f"{self.path}/{f}" for f in mine)) if mine else stored.limit(0)
+            new = self._split(change(old, df.select(*stored.columns)))
+            return self._commit(version + 1, {v: f for v, f in parts.items() if v not in touched} | new, stored.schema)
 
     def truncate(self) -> int:
         with self.lock:
-            return self.write(self.read().limit(0))
+            version = self.version()
+            return self._commit(version + 1, {}, self.read(version).schema)
+
+    def clean_up(self, keep: int = 2) -> int:
+        """Forgets all versions but the last `keep` and deletes folders that none of those
+        names; returns how many folders went. Readers of older versions must have ended, and
+        no write may be under way."""
+        with self.lock:
+            now = self.version()
+            held = {f.split("/")[1] for v in range(max(1, now - keep + 1), now + 1) for f in self.parts(v).values()}
+            gone = [n for n in self._names("data") if n not in held]
+            for v in range(1, now - keep + 1):
+                fs, path = self._file(f"_versions/{v:09d}.json")
+                fs.delete(path, False)
+            for n in gone:
+                fs, path = self._file(f"data/{n}")
+                fs.delete(path, True)
+            return len(gone)
+
+
+def unescaped(name: str) -> str:
+    """A folder's name as the value it stands for."""
+    return urllib.parse.unquote(name)
 
 
 def align(stored: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
