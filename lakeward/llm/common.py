@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. The cluster names it in
-    spark.checkpoint.dir; a local session without one gets a temporary folder."""
+    """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
+    Only a session in one process may do without: it gets a temporary folder."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='lakeward-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -41,7 +43,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(rows, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete tables that `stage` wrote, once nothing reads them any more."""
+    for df in tables:
+        jvm, spark = df.sparkSession._jvm, df.sparkSession
+        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def lower_ascii(c: Column) -> Column:
@@ -49,6 +61,23 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+#: A node with more than this share of a graph's edge ends, or so many, is joined apart from the others.
+HUB_SHARE, HUB_EDGES = 1000, 64
+
+
+def _hung(edges: DataFrame, ends: int, down: bool) -> DataFrame:
+    """Rows (u, v, m) for edges(u, v): m is the smallest v of u and, with `down`, not above u.
+    At most HUB_SHARE nodes can be hubs; theirs are broadcast, so no task holds all
+    edges of a hub."""
+    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("d"))
+    if down:
+        low = low.withColumn("m", F.least("u", "m"))
+    hub = F.col("d") > max(HUB_EDGES, ends // HUB_SHARE)
+    marked = edges.join(F.broadcast(low.where(hub).select("u", F.col("m").alias("hub_m"))), "u", "left")
+    few = marked.where("hub_m is null").select("u", "v").join(low.where(~hub).select("u", "m"), "u")
+    return few.unionByName(marked.where("hub_m is not null").select("u", "v", F.col("hub_m").alias("m")))
+
+
 def components(edges: DataFrame, label: str = "cc") -> DataFrame:
     """Connected components of `edges(a, b)` as rows (node, root), root being the
     smallest node of the component. Nodes without an edge do not appear.
@@ -63,30 +92,27 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
         .distinct(),
         label,
     )
-    before = None
+    before, ends = None, 2 * cur.count()
     while True:
         # large star: every larger neighbour of u is hung on u's smallest neighbour
         both = cur.select("u", "v").unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        )
+        large = _hung(both, ends, True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: u and its smaller neighbours are hung on the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(least, "u")
+            _hung(large, ends, False)
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u <> v")
             .distinct()
         )
-        cur = stage(small, label)
+        last, cur = cur, stage(small, label)
+        unstage(last)
         now = tuple(cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        before = now
+        before, ends = now, 2 * now[0]
 
 
 #: Bits of the filter that spares most rows a shuffle; it has at most 131,072 words.

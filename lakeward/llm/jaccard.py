@@ -5,11 +5,12 @@ all documents. A document's prefix is extended until its mismatch budget is used
 twice over: rare tokens count singly, frequent ones fall into classes where each token
 after the first counts. Two documents over the threshold then share a rare token of their prefixes or
 two frequent tokens of one class, so single rare tokens and pairs of frequent ones are
-indexed. Candidates are bounded by token histograms and verified on whole sets.
+indexed. Candidates are bounded by parity bitmaps and verified on whole sets.
 
-Equal sets are one node. In a few rounds the members of each list are held against one
-of them; only members that this leaves in different components are paired further, so
-a large group of near copies costs little more than its size.
+Equal sets are one node, and lists with the same members are one list. First the members
+of each list are held against one of them, the one that meets the most others; only
+members that this leaves in different components are paired further, so a large group of
+near copies costs little more than its size.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, stage, table, without
+from .common import components, stage, table, unstage, without
 
 #: Buckets of the count sketch and of the filter for documents to verify.
 SKETCH, FILTER_BITS = 1 << 18, 1 << 23
@@ -29,14 +30,14 @@ SKETCH, FILTER_BITS = 1 << 18, 1 << 23
 EXCESS, ROOTS = 48, 8
 #: Classes of frequent tokens; sets above LARGE index single tokens only.
 CLASSES, LARGE = 32, 8000
-HISTOGRAM, COARSE = 128, 64
-#: Rounds in which a list's members are held against one of them.
-PIVOTS = 1
+#: Longs of the parity bitmap that every set has, and of a wider one for sets above a size.
+NARROW, WIDE = 16, ((8000, 256), (1000, 64))
+#: Steps of the order of tokens by their buckets' counts.
+LEVELS = 256
 
 MASK = (1 << 64) - 1
 
 
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values (a finaliser of two multiplications)."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -111,8 +112,9 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 class Prefixes:
     """Index signatures of token sets for one threshold (in percent)."""
 
-    def __init__(self, percent: int, frequent: np.ndarray):
-        self.percent, self.frequent = percent, frequent
+    def __init__(self, percent: int, frequent: np.ndarray, level: np.ndarray | None = None):
+        """`frequent` and `level` (the order) are by sketch bucket."""
+        self.percent, self.frequent, self.level = percent, frequent, level
         small = CLASSES + 1
         while not all(n - CLASSES >= self.budget(n) + 1 for n in range(small * percent // 100, small * percent // 100 + 200)):
             small += 1
@@ -127,7 +129,11 @@ class Prefixes:
         if not n:
             return h
         need = self.budget(n) + 1
-        often = self.frequent[(h % np.uint64(SKETCH)).astype(np.int64)]
+        bucket = (h % np.uint64(SKETCH)).astype(np.int64)
+        if self.level is not None:
+            order = np.argsort(self.level[bucket], kind="stable")
+            h, bucket = h[order], bucket[order]
+        often = self.frequent[bucket]
         rare, common = h[~often], h[often]
         out = []
         if n <= self.small or n >= LARGE * self.percent // 100:
@@ -149,9 +155,9 @@ class Prefixes:
         return np.unique(np.concatenate(out))
 
 
-def frequent_buckets(docs: DataFrame, width: int) -> np.ndarray:
-    """Which sketch buckets hold frequent tokens, from all rows. The counts stay in a
-    table; the driver gets the total and the few buckets that stand out."""
+def count_buckets(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which sketch buckets hold frequent tokens, and every bucket's place in the order
+    of counts, from all rows. The driver gets SKETCH numbers whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
@@ -163,59 +169,65 @@ def frequent_buckets(docs: DataFrame, width: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
     text = docs.select(F.col("text").cast("string").alias("text"))
-    counts = stage(text.mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")), "sketch")
-    mean = (counts.agg(F.sum("n")).first()[0] or 0) / SKETCH
-    out = np.zeros(SKETCH, bool)
-    for r in counts.where(F.col("n") > mean + max(EXCESS, ROOTS * mean**0.5)).select("bucket").collect():
-        out[r.bucket] = True
-    return out
+    found = text.mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SKETCH, np.int64)
+    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    mean = counts.sum() / SKETCH
+    place = np.empty(SKETCH, np.int64)
+    place[np.argsort(counts, kind="stable")] = np.arange(SKETCH)
+    return counts > mean + max(EXCESS, ROOTS * mean**0.5), (place * LEVELS // SKETCH).astype(np.uint8)
+
+
+def parity(h: np.ndarray, longs: int) -> np.ndarray:
+    """One bit per bucket, set if an odd number of tokens falls into it: bitmaps of two sets
+    differ in no more places than the sets do in tokens."""
+    bits = np.bincount(((h >> np.uint64(40)) % np.uint64(64 * longs)).astype(np.int64), minlength=64 * longs) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def index_sets(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Per row of docs: doc_id, n (set size), sig (digest of the set), signatures, histogram."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
+def index_sets(docs: DataFrame, width: int, percent: int, frequent: np.ndarray, level: np.ndarray) -> DataFrame:
+    """Per row of docs: doc_id, n (set size), sig (digest of the set), signatures, bitmaps."""
+    sent = docs.sparkSession.sparkContext.broadcast((np.packbits(frequent), level))
+
+    def longs(values: list[np.ndarray]) -> pa.Array:
+        ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        prefixes = Prefixes(percent, np.unpackbits(sent.value, count=SKETCH).astype(bool))
+        flags, order = sent.value
+        prefixes = Prefixes(percent, np.unpackbits(flags, count=SKETCH).astype(bool), order)
         for batch in batches:
-            n, sig, signatures, histogram, coarse = [], [], [], [], []
+            n, sig, signatures, narrow, wide = [], [], [], [], []
             for t in batch.column(1):
                 h = shingles(t.as_py(), width)
                 n.append(len(h))
                 sig.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
                 signatures.append(prefixes.of(h).view(np.int64))
-                counts = np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=HISTOGRAM)
-                histogram.append(counts.astype("<u4").tobytes())
-                coarse.append(counts.reshape(COARSE, -1).sum(1).astype(np.int32))
-            ends = np.cumsum([0, *map(len, signatures)]).astype(np.int32)
-            flat = np.concatenate(signatures) if signatures else np.zeros(0, np.int64)
+                narrow.append(parity(h, NARROW))
+                wide.append(parity(h, next((k for least, k in WIDE if len(h) > least), 0)) if len(h) > WIDE[-1][0] else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(histogram, pa.binary()), pa.array(coarse, pa.list_(pa.int32()))],
-                ["doc_id", "n", "sig", "signatures", "histogram", "coarse"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), longs(signatures), longs(narrow), longs(wide)],
+                ["doc_id", "n", "sig", "signatures", "narrow", "wide"],
             )
         pa.default_memory_pool().release_unused()
 
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return text.mapInArrow(run, "doc_id bigint, n bigint, sig binary, signatures array<bigint>, histogram binary, coarse array<int>")
+    return text.mapInArrow(run, "doc_id bigint, n bigint, sig binary, signatures array<bigint>, narrow array<bigint>, wide array<bigint>")
 
 
-def bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose histograms leave room for the threshold: a bound from above on the
-    intersection, so no link is lost."""
-    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("histogram").alias(f"h_{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b", "n_a", "n_b", "h_a", "h_b")
+def room(percent: int) -> tuple[str, str]:
+    """Conditions that every two sets over the threshold meet, sides named _a and _b: on
+    sizes and narrow bitmaps (x0_a, x1_a, ...), and on the wider ones."""
+    most = f"{100 - percent} * (n_a + n_b) >= {100 + percent} * "
+    narrow = " + ".join(f"bit_count(x{i}_a ^ x{i}_b)" for i in range(NARROW))
+    wide = "aggregate(zip_with(wide_a, wide_b, (p, q) -> bit_count(p ^ q)), 0, (t, v) -> t + v)"
+    return f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and {most} ({narrow})", f"(size(wide_a) <> size(wide_b) or {most} {wide})"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, HISTOGRAM) for k in (4, 5))
-            most = np.minimum(x, y).sum(1).astype(np.int64)
-            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            fits = pa.array(100 * most >= percent * (total - most))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(fits)
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+def side(info: DataFrame, name: str, *more: str) -> DataFrame:
+    return info.selectExpr(f"rep as {name}", f"n as n_{name}", f"wide as wide_{name}", *(f"narrow[{i}] as x{i}_{name}" for i in range(NARROW)), *(f"{c} as {c}_{name}" for c in more))
 
 
 def whole_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -241,8 +253,9 @@ def whole_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return stage(named.withColumn("spot", word).mapInArrow(run, "doc_id bigint, tokens binary"), "sets")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Of pairs(a, b), those with 100 * intersection >= percent * union."""
+    sets = whole_sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,7 +268,9 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    out = stage(pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links")
+    unstage(sets)
+    return out
 
 
 def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -268,7 +283,7 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     empty table gives an empty result; other columns are dropped. Very long texts take one
     set like any other; sets above LARGE index single tokens.
     """
-    rows = stage(index_sets(docs, width, percent, frequent_buckets(docs, width)), "sets-index")
+    rows = stage(index_sets(docs, width, percent, *count_buckets(docs, width)), "sets-index")
     named = rows.where("doc_id is not null and n > 0")
     groups = stage(named.groupBy("sig", "n").agg(F.min("doc_id").alias("rep")), "groups")
     copies = stage(named.select("doc_id", "sig", "n").join(groups, ["sig", "n"]).where("doc_id <> rep"), "copies")
@@ -278,38 +293,33 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     held = copies.select("doc_id", "rep").unionByName(own)
     several = held.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("doc_id", "low")
     same = stage(held.join(several, "doc_id").where("rep <> low").selectExpr("rep as a", "low as b").distinct(), "same-id")
-    # one exchange serves both the lists and their members; a document has many signatures, so
-    # even one that a third of all documents share is a small part of the rows
-    post = reps.select(F.explode("signatures").alias("s"), F.col("doc_id").alias("rep")).repartition("s")
-    lists = post.groupBy("s").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    sizes = reps.select("doc_id", "n", "histogram")
-    shared = post.join(lists.select("s"), "s").join(reps.select(F.col("doc_id").alias("rep"), "n"), "rep")
-    open_ = stage(shared.select("s", "rep", "n", F.col("rep").alias("root")), "lists")
-    close = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    linked = None
-    for k in range(PIVOTS + 1):
-        if k < PIVOTS:  # each list's members with one of them
-            lot = F.struct(F.xxhash64("rep", F.pmod("s", F.lit(8)), F.lit(k)).alias("lot"), F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-            pivots = open_.groupBy("s").agg(F.min(lot).alias("p")).select("s", "p.b", "p.n_b", "p.root_b")
-            met = open_.join(pivots, "s").where("root <> root_b").selectExpr("rep as a", "b", "n as n_a", "n_b")
-        else:  # what is left, list by list
-            counted = open_.join(reps.selectExpr("doc_id as rep", "coarse"), "rep")
-            x, y = (counted.selectExpr("s", f"rep as {c}", f"n as n_{c}", f"root as root_{c}", *(f"coarse[{i}] as {c}{i}" for i in range(COARSE))) for c in "ab")
-            most = " + ".join(f"least(a{i}, b{i})" for i in range(COARSE))
-            met = x.join(y, "s").where(f"root_a < root_b and {close} and {100 + percent} * ({most}) >= {percent} * (n_a + n_b)")
-        pairs = met.where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        likely = stage(bound(pairs, sizes, percent), "pairs")
-        sets = whole_sets(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, width)
-        links = verify(likely, sets, percent)
-        # with the links so far as components, which are smaller and as good
-        links = links.unionByName(same if linked is None else linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    # lists are found by counting, which tasks do for themselves first; the join with them can be split
+    post = reps.select(F.explode("signatures").alias("s"), F.col("doc_id").alias("rep"))
+    shared = stage(post.join(post.groupBy("s").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("s"), "s"), "shared")
+    members = F.struct(F.count("*").alias("c"), F.min("rep").alias("low"), F.max("rep").alias("high"), *(F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)))
+    lists = shared.distinct().groupBy("s").agg(members.alias("m")).groupBy("m").agg(F.min("s").alias("s")).select("s", "m.c")
+    listed = stage(shared.distinct().join(lists, "s"), "lists")
+    weights = listed.groupBy("rep").agg(F.sum("c").alias("weight"))
+    info = stage(reps.withColumnRenamed("doc_id", "rep").join(weights, "rep").select("rep", "n", "narrow", "wide", "weight", "sig").dropDuplicates(["rep", "sig"]), "info")
+    quick, slow = room(percent)
+    # each list's members with the one that meets the most others
+    lot = F.struct((-F.col("weight")).alias("w"), F.col("rep").alias("b"))
+    pivots = listed.join(info.groupBy("rep").agg(F.max("weight").alias("weight")), "rep").groupBy("s").agg(F.min(lot).alias("p")).select("s", "p.b")
+    met = listed.join(pivots, "s").where("rep <> b").select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
+    likely = stage(met.join(side(info, "a"), "a").join(side(info, "b"), "b").where(f"{quick} and {slow}").select("a", "b").distinct(), "pairs")
+    linked = components(verify(likely, docs, width, percent).unionByName(same))
+    # what is left, list by list
+    placed = listed.join(linked, F.col("rep") == F.col("node"), "left").select("s", "rep", F.coalesce("root", "rep").alias("root"))
+    mixed = placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c")).where("low < high and c > 2")
+    open_ = stage(placed.join(mixed.select("s"), "s").join(info, "rep").select("s", "root", "rep", "n", "narrow", "wide"), "open")
+    x, y = side(open_, "a", "s", "root").withColumnRenamed("s_a", "s"), side(open_, "b", "s", "root").withColumnRenamed("s_b", "s")
+    pairs = x.join(y, "s").where(f"root_a < root_b and {quick} and {slow}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = stage(pairs.join(likely, ["a", "b"], "left_anti"), "pairs")
+    # with the links so far as components, which are smaller and as good
+    if rest.head(1):
+        links = verify(rest, docs, width, percent).unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
         linked = components(links)
-        if k < PIVOTS:
-            placed = open_.drop("root").join(linked, F.col("rep") == F.col("node"), "left").select("s", "rep", "n", F.coalesce("root", "rep").alias("root"))
-            mixed = placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c")).where("low < high and c > 2")
-            open_ = stage(placed.join(mixed.select("s"), "s"), "open")
-            if not open_.head(1):
-                break
+    unstage(copies, same, shared, listed, info, likely, open_, rest)
     return (
         rows.select("doc_id", F.col("n").alias("n_shingles"), "sig", "n")
         .join(groups, ["sig", "n"], "left")

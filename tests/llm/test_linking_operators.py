@@ -92,6 +92,30 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_with_hubs(spark):
+    edges = [(5000, i) for i in range(400)] + [(6000, 700 + i) for i in range(300)] + [(399, 700)] + [(9000, 9001)]
+    got = {x.node: x.root for x in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert len(got) == 704 and {r for n, r in got.items() if n < 9000} == {0} and got[9001] == 9000
+
+
+def test_shared_folder(spark):
+    df = common.stage(spark.range(5), "t")
+    assert df.count() == 5 and df.staged_at.startswith(spark.conf.get("spark.checkpoint.dir"))
+    common.unstage(df)
+    assert not os.path.exists(df.staged_at.removeprefix("file://"))
+
+
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(2)
+    for n in (3, 200, 5000):
+        a = np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
+        for gone in (0, 1, n // 3, n):
+            b = np.union1d(a[gone:], rng.integers(1, 2**63, n // 5, dtype=np.uint64))
+            for longs in (jaccard.NARROW, 64, 256):
+                apart = np.bitwise_count((jaccard.parity(a, longs) ^ jaccard.parity(b, longs)).view(np.uint64)).sum()
+                assert apart <= len(np.setxor1d(a, b))
+
+
 def test_without(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "b")], DOCS)
     bad = spark.createDataFrame([(2,), (None,), (77,)], "doc_id long")
