@@ -1,24 +1,41 @@
-"""Near copies among vectors, exactly: every two vectors are compared.
-
-Vectors fall into chunks of bounded size by hash and every two chunks meet in a task of
-their own, which gives for each linked vector its number of links there and the smallest
-id it is joined with. Products are taken in single precision; those within its error of
-the threshold are taken again in double precision, so no link is lost or invented.
+"""Near copies among vectors by sorted projection passes.
+
+In each pass the vectors are ordered by a key of random hashes, the signs of projections on
+random directions; neighbours that share the key's first bits are a run, and a run's vectors
+are compared with one another, window by window. Verified pairs of all passes are joined to
+components. The number of bits follows from the sizes of the runs that a few passes give, and the
+number of passes from the bits, so that a pair at the threshold is missed by all passes with
+a chance of MISS at most. A run that is larger than a window, say of vectors in a hot region, is not
+cut off: every two of its windows meet in a task of their own.
+
+Products are taken in single precision; those within its error of the threshold are taken
+again in double precision, so no link is invented. A pair is counted in the first pass in
+which its vectors share a run, which either of them tells from its keys: no pairs are sent.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import components, stage, table
+from .common import components, stage, table, unstage
 
 COSINE = 0.95
-#: Components of vectors in a chunk at most, chunks that few vectors are dealt over, and vectors of the least chunk.
-CHUNK, SPREAD, LEAST = 1 << 20, 8, 256
-#: Rows of a chunk that are compared at once.
+#: Chance that all passes miss a pair whose cosine is COSINE; closer pairs are missed more rarely.
+MISS = 1e-6
+#: Passes that measure the runs, bits of their keys, and most passes.
+TRIALS, BITS, MOST_PASSES = 4, 24, 256
+#: Comparisons that take as long as sending a vector once.
+SENDING = 512
+#: Components of vectors in a window at most, windows that a large run is dealt over, and vectors of the least window.
+CHUNK, SPREAD, LEAST = 1 << 20, 8, 4096
+#: Rows of a window that are compared at once.
 STRIPE = 256
 
 
@@ -45,25 +62,31 @@ def near(x: np.ndarray, y: np.ndarray, x32: np.ndarray, y32: np.ndarray) -> np.n
     return found
 
 
-def compare(ids: np.ndarray, mult: np.ndarray, x: np.ndarray, first: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the number of other vectors with COSINE or more and the smallest id it is
-    joined with. `first` marks the rows of one of two chunks that meet; rows of one chunk
-    alone (None) meet each other."""
+def compare(ids: np.ndarray, mult: np.ndarray, x: np.ndarray, seen: np.ndarray, first: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the number of other vectors with COSINE or more that share no column of
+    `seen` with it, and the smallest id it is joined with. `first` marks the rows of one of
+    two windows that meet; rows of one window alone (None) meet each other."""
     n, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
     rows, columns = (np.arange(len(ids)),) * 2 if first is None else (np.flatnonzero(first), np.flatnonzero(~first))
     x32 = x.astype(np.float32)
-    y, y32, weight = x[columns], x32[columns], mult[columns]
+    y, y32 = x[columns], x32[columns]
     for at in range(0, len(rows), STRIPE):
         own = rows[at : at + STRIPE]
         found = near(x[own], y, x32[own], y32)
         if first is None:
             found[np.arange(len(own)), own] = False
-        for k in np.flatnonzero(found.any(axis=1)):
-            others = np.flatnonzero(found[k])
-            n[own[k]] += weight[others].sum()
-            if first is not None:
-                n[columns[others]] += mult[own[k]]
-            joined = np.append(label[columns[others]], label[own[k]])
+        i, j = np.nonzero(found)
+        if not len(i):
+            continue
+        i, j = own[i], columns[j]
+        new = np.ones(len(i), bool)
+        for q in range(seen.shape[1]):
+            new &= seen[i, q] != seen[j, q]
+        np.add.at(n, i[new], mult[j[new]])
+        if first is not None:
+            np.add.at(n, j[new], mult[i[new]])
+        for k in np.unique(i):
+            joined = np.append(label[j[i == k]], label[k])
             if joined.min() < joined.max():
                 into = np.arange(len(ids))
                 into[joined] = joined.min()
@@ -73,27 +96,110 @@ def compare(ids: np.ndarray, mult: np.ndarray, x: np.ndarray, first: np.ndarray
     return n, low[label]
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """Rows (rep, low, n) per linked vector and two chunks that meet: n others there with
+def passes_for(bits: int) -> int:
+    """Passes with keys of so many bits that miss a pair at COSINE with chance MISS."""
+    same = (1 - math.acos(COSINE) / math.pi) ** bits
+    return 1 if same == 1 else math.ceil(math.log(MISS) / math.log1p(-same))
+
+
+def keys_of(x: np.ndarray, passes: int, bits: int) -> np.ndarray:
+    """Per row and pass the signs of its projections on the pass's directions, as a number.
+    The directions follow from the length of the vectors, the pass and the bit."""
+    out = np.zeros((len(x), passes), np.int32)
+    for p in range(passes):
+        if bits:
+            directions = np.random.default_rng([x.shape[1], p]).standard_normal((BITS, x.shape[1]))[:bits]
+            out[:, p] = (x @ directions.T > 0) @ (1 << np.arange(bits)[::-1])
+    return out
+
+
+def with_keys(nodes: DataFrame, passes: int, bits: int) -> DataFrame:
+    """Adds to nodes(rep, v, mult, dim) keys, an array of one number a pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for d in np.unique(dims):
+                some = batch.filter(pa.array(dims == d))
+                keys = keys_of(unit(some.column("v")), passes, bits)
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * passes), pa.array(keys.ravel()))
+                yield pa.RecordBatch.from_arrays([*some.columns, flat], [*some.schema.names, "keys"])
+
+    return nodes.mapInArrow(run, T.StructType([*nodes.schema.fields, T.StructField("keys", T.ArrayType(T.IntegerType()))]))
+
+
+def bits_for(nodes: DataFrame) -> int:
+    """The bits with which all passes together cost least, by the runs of TRIALS passes."""
+    keyed = with_keys(nodes, TRIALS, BITS).select("dim", F.posexplode("keys").alias("p", "key"))
+    runs = stage(keyed.groupBy("dim", "p", "key").agg(F.count("*").alias("n")), "runs")
+    vectors = (runs.agg(F.sum("n")).first()[0] or 0) / TRIALS
+    best, least = 0, math.inf
+    for bits in range(0, BITS + 1, 2):
+        passes = passes_for(bits)
+        if passes > MOST_PASSES:
+            break
+        size = runs.groupBy("dim", "p", F.shiftright("key", BITS - bits)).agg(F.sum("n").cast("double").alias("n"))
+        pairs = (size.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0) / TRIALS / 2
+        if (cost := passes * (pairs + SENDING * vectors)) < least:
+            best, least = bits, cost
+    unstage(runs)
+    return best
+
+
+GROUP = ["dim", "pass", "key", "i", "j"]
+
+
+def links(nodes: DataFrame, bits: int | None = None) -> DataFrame:
+    """Rows (rep, low, n) per linked vector and two windows that meet: n others there with
     COSINE or more, and low the smallest of those it is joined with."""
-    sizes = nodes.groupBy("dim").agg(F.count("*").alias("size"))
+    bits = bits_for(nodes) if bits is None else bits
+    keyed = stage(with_keys(nodes, passes_for(bits), bits), "keyed")
+    rows = keyed.select("*", F.posexplode("keys").alias("pass", "key"))
+    sizes = rows.groupBy("dim", "pass", "key").agg(F.count("*").alias("size"))
     most = F.greatest(F.lit(LEAST), F.least(F.floor(F.lit(CHUNK) / F.col("dim")), F.ceil(F.col("size") / SPREAD)))
-    chunks = sizes.select("dim", F.ceil(F.col("size") / most).cast("int").alias("k"))
+    large = sizes.where(F.col("size") > LEAST).select("dim", "pass", "key", F.ceil(F.col("size") / most).cast("int").alias("windows"))
+    k = F.coalesce("windows", F.lit(1))
     each = (
-        nodes.join(F.broadcast(chunks), "dim")
-        .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("k")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select("dim", "rep", "v", "mult", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+        rows.join(large, ["dim", "pass", "key"], "left")
+        .withColumn("window", F.pmod(F.xxhash64("rep"), k).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), k - 1)))
+        .select("dim", "pass", "key", F.least("window", "other").alias("i"), F.greatest("window", "other").alias("j"), "window", "rep", "mult", F.slice("keys", F.lit(1), F.col("pass")).alias("seen"), "v")
     )
 
-    def run(t: pa.Table) -> pa.Table:
-        rep, v, mult, chunk, i, j = _columns(t, "rep", "v", "mult", "chunk", "i", "j")
+    def met(t: pa.Table) -> pa.RecordBatch | None:
+        if len(t) < 2:
+            return None
+        rep, v, mult, window, i, j, seen = (t.column(c).combine_chunks() for c in ("rep", "v", "mult", "window", "i", "j", "seen"))
         ids, i, j = rep.to_numpy(), i[0].as_py(), j[0].as_py()
-        n, low = compare(ids, mult.to_numpy(), unit(v), None if i == j else chunk.to_numpy() == i)
-        keep = n > 0
-        return pa.table({"rep": ids[keep], "low": low[keep], "n": n[keep]})
-
-    return each.groupBy("dim", "i", "j").applyInArrow(run, "rep bigint, low bigint, n bigint")
+        before = seen.flatten().to_numpy().reshape(len(ids), -1) if t.column("pass")[0].as_py() else np.zeros((len(ids), 0), np.int32)
+        n, low = compare(ids, mult.to_numpy(), unit(v), before, None if i == j else window.to_numpy() == i)
+        keep = (n > 0) | (low < ids)
+        return pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(low[keep]), pa.array(n[keep])], ["rep", "low", "n"]) if keep.any() else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted rows, a group at a time: only the group that a batch leaves open is held."""
+        held: list[pa.Table] = []
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            columns = [t.column(c).to_numpy() for c in GROUP]
+            ends = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+            if held and len(t) and any(held[-1].column(c)[-1].as_py() != t.column(c)[0].as_py() for c in GROUP):
+                if (out := met(pa.concat_tables(held))) is not None:
+                    yield out
+                held = []
+            for a, b in zip(np.r_[0, ends], np.r_[ends, len(t)], strict=True):
+                held.append(t.slice(a, b - a))
+                if b < len(t):
+                    if (out := met(pa.concat_tables(held))) is not None:
+                        yield out
+                    held = []
+        if held and (out := met(pa.concat_tables(held))) is not None:
+            yield out
+
+    sorted_ = each.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    out = stage(sorted_.mapInArrow(run, "rep bigint, low bigint, n bigint"), "links")
+    unstage(keyed)
+    return out
 
 
 def link_vectors(rows: DataFrame) -> DataFrame:
@@ -105,12 +211,13 @@ def link_vectors(rows: DataFrame) -> DataFrame:
     links with nothing, has a null component and is kept; an empty table gives an empty result; other columns are dropped.
     """
     v = F.col("v")
-    own = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v"))
+    single = rows.schema["embedding"].dataType.simpleString() == "array<float>"
+    own = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("v"))
     sound = (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     valid = own.where(F.coalesce(sound, F.lit(False)) & F.col("vec_id").isNotNull())
     groups = valid.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"))
     nodes = stage(groups.withColumn("dim", F.size("v")), "vectors")
-    found = stage(links(nodes), "links")
+    found = links(nodes)
     linked = components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct())
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     told = (
