@@ -1,8 +1,8 @@
 """Personal data by candidate gradient boosting, in DataFrame functions only.
 
-Base rules find the plain forms. Besides, high-recall generators propose further,
+Base rules find the plain forms. Besides, several high-recall generators a kind propose
 overlapping spans (spelled-out addresses, numbers with other separators, phone numbers
-without a country code, longer IP addresses); boosted trees score each by its format
+without a plus, other forms of IP addresses, access keys); boosted trees score each by its format
 and the text around it, and thresholds calibrated per kind pick those to redact. The
 trees are fitted on generated, labelled sentences and become one Column expression,
 so documents never leave the JVM.
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import random
 from functools import lru_cache, reduce
-from operator import add
+from operator import or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,15 +31,42 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 
-#: What the generators propose, by kind, with the characters (or a pattern) without which they find nothing.
+#: What only candidates can be, besides KINDS.
+PROPOSED_KINDS = (*KINDS, "secret")
+LOCAL, LABEL = r"(?<![a-z0-9._%+-])[a-z0-9._%+-]++", r"[a-z0-9-]++"
+AT, DOT = r"(?: ?[(\[{]at[)\]}] ?| at | ?@ ?)", r" ?[(\[{]dot[)\]}] ?| dot "
+SPELLED = r"(?i)@|[(\[{]at[)\]}]| at [a-z0-9-]+(?: ?[(\[{]dot| dot | ?\.)"
+DIGIT = "0123456789"
+NAMES = r"token|secret|password|passwd|pwd|api[_ -]?key|access[_ -]?key|auth"
+
+#: The generators by kind: a pattern, one that every text with a match also has, so that the
+#: others are not searched, and what is looked for even before that: DIGIT or some literals. Those of
+#: one kind overlap; the trees tell which span is right.
 PROPOSED = {
     "email": (
-        r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64} ?(?:[(\[{]at[)\]}]| at |@) ?[a-z0-9-]{1,64}(?: ?(?:[(\[{]dot[)\]}]| dot |\.) ?[a-z0-9-]{1,64}){1,4}",
-        r"(?i)@|[(\[{]at[)\]}]| at ",
+        (rf"(?i){LOCAL}{AT}{LABEL}(?:(?:{DOT}|\.){LABEL})+", SPELLED, ()),
+        (rf"(?i){LOCAL}{AT}{LABEL}(?:(?:{DOT}| ?\. ?){LABEL})+", SPELLED, ()),
+    ),
+    "ip": (
+        (r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", ":", (":",)),
+        (r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![0-9A-Za-z:])", "::", ("::",)),
+        (r"(?i)(?<![0-9])[0-9]{1,3}(?:(?: ?[(\[{](?:dot|\.)[)\]}] ?| dot )[0-9]{1,3}){3}(?![0-9])", r"(?i)[0-9] ?(?:[(\[{](?:dot|\.)|dot )", DIGIT),
+    ),
+    "card": (
+        (r"(?<![0-9])[0-9]{4}([ ./-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])", "[0-9]{4}[ ./-][0-9]{4}", DIGIT),
+        (r"(?<![0-9])[0-9]{4}([ ./-])[0-9]{6}\1[0-9]{5}(?![0-9])", "[0-9]{4}[ ./-][0-9]{6}", DIGIT),
+        (r"(?<![0-9])[0-9](?:[ ./-]?[0-9]){12,18}(?![0-9])", "[0-9][ ./-]?[0-9][ ./-]?[0-9][ ./-]?[0-9]", DIGIT),
+    ),
+    "phone": (
+        (r"(?<![0-9+(.-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![.-]?[0-9])", "[0-9]{2}", DIGIT),
+        (r"(?<![0-9+])00[ .-]?[1-9][0-9]{0,2}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])", "00[ .-]?[1-9]", DIGIT),
+        (r"(?<![0-9+])0[1-9][0-9]{0,3}[ /-][0-9]{3,4}(?:[ -]?[0-9]{2,4}){1,2}(?![0-9])", "0[1-9][0-9]*[ /-]", DIGIT),
+    ),
+    "secret": (
+        (rf"(?i)(?<=(?:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?)[A-Za-z0-9_+/=.-]{{12,}}+", rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[=:]", ("=", ":")),
+        (r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]{32,}+", "[A-Za-z0-9]{32}", DIGIT),
+        (r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+)(?![A-Za-z0-9])", "AKIA|gh[pousr]_", ("AKIA", "gh")),
     ),
-    "ip": (r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", (":",)),
-    "card": (r"(?<![0-9])[0-9](?:[ ./-]?[0-9]){12,18}(?![0-9])", ()),
-    "phone": (r"(?<![0-9+(.-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![.-]?[0-9])", ()),
 }
 
 #: Characters before a candidate in which a hint may stand.
@@ -49,9 +76,10 @@ HINTS = {
     "ip": r"(?i)\bip\b|host|address|server|login",
     "card": r"(?i)card|visa|credit|payment|debit|\bcc\b",
     "phone": r"(?i)phone|\btel|call|mobile|\bcell|fax|whatsapp",
+    "secret": rf"(?i)(?:{NAMES})[\"']?\s{{0,3}}[=:]",
 }
-AGAINST = r"(?i)order|invoice|serial|version|isbn|ticket|\bref|\bid\b|batch|part no"
-FEATURES = ("digits", "marks", "length", "luhn", "left", "right", "hint", "against", "lead", "groups", "odd")
+AGAINST = r"(?i)order|invoice|serial|version|isbn|ticket|\bref|\bid\b|batch|part no|\bsha|commit|digest|checksum|md5"
+FEATURES = ("digits", "marks", "length", "luhn", "left", "right", "hint", "against", "lead", "groups", "odd", "broken", "signs")
 
 TREES, DEPTH, RATE = 24, 3, 0.3
 #: Share of true spans among those a threshold picks, on the rows it is calibrated with.
@@ -83,28 +111,30 @@ def prefix_sums(n: Column, values: Column, block: int = 256) -> Column:
     return bind(values, lambda v: bind(F.struct(v.alias("v"), starts(v).alias("b")), sums))
 
 
-EMPTY = "array<struct<s:int,e:int,x:string>>"
+EMPTY = "array<struct<s:int,e:int,x:string,before:string,after:string>>"
 
 
-def matches(text: Column, pattern: str, needs: tuple[str, ...] | str = ()) -> Column:
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    if not needs:
-        return found
-    some = text.rlike(needs) if isinstance(needs, str) else reduce(lambda a, b: a | b, (text.contains(x) for x in needs))
-    return F.when(some, found).otherwise(F.array().cast("array<string>"))
+def matches(text: Column, pattern: str, needs: str, first: Column | None = None) -> Column:
+    """All matches; `needs` is a pattern that a text with a match cannot lack, nor does `first` fail on it."""
+    some = text.rlike(needs) if first is None else first & text.rlike(needs)
+    return F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def located(text: Column, found: Column, pattern: str) -> Column:
-    """Matches with start and end in code points: the pieces between them tell."""
+    """Matches with start and end in code points and the characters around them: the pieces
+    between them tell, so no text is counted through once a match."""
     n = F.size(found)
-    pieces = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), n), F.length)
 
     def spans(p: Column) -> Column:
-        starts = prefix_sums(n, F.zip_with(p, found, lambda a, m: a + F.length(m)))
-        begin = F.zip_with(starts, p, lambda a, b: a + b)
-        return F.zip_with(begin, found, lambda s, m: F.struct(s.alias("s"), (s + F.length(m)).alias("e"), m.alias("x")))
+        starts = prefix_sums(n, F.zip_with(p, found, lambda a, m: F.length(a) + F.length(m)))
+        begin = F.zip_with(starts, F.slice(p, F.lit(1), n), lambda a, b: a + F.length(b))
+        tail = F.transform(found, lambda m: F.right(m, F.lit(CONTEXT)))
+        before = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.right(F.concat(F.when(i > 0, F.get(tail, i - 1)).otherwise(F.lit("")), F.right(F.get(p, i), F.lit(CONTEXT))), F.lit(CONTEXT)))
+        after = F.transform(F.sequence(F.lit(1), n), lambda i: F.left(F.concat(F.left(F.get(p, i), F.lit(1)), F.when(i < n, F.left(F.get(found, i), F.lit(1))).otherwise(F.lit(""))), F.lit(1)))
+        whole = F.arrays_zip(begin.alias("s"), found.alias("x"), before.alias("before"), after.alias("after"))
+        return F.transform(whole, lambda z: F.struct(z["s"].alias("s"), (z["s"] + F.length(z["x"])).alias("e"), z["x"].alias("x"), z["before"].alias("before"), z["after"].alias("after")))
 
-    return F.when(n > 0, bind(pieces, spans)).otherwise(F.array().cast(EMPTY))
+    return F.when(n > 0, bind(F.split(text, pattern, -1), spans)).otherwise(F.array().cast(EMPTY))
 
 
 def digits(x: Column) -> Column:
@@ -126,10 +156,9 @@ def luhn(x: Column) -> Column:
     return F.call_function("luhn_check", digits(x))
 
 
-def features(kind: str, text: Column, span: Column) -> Column:
+def features(kind: str, span: Column) -> Column:
     """What the trees see of a candidate."""
-    x = span["x"]
-    before = F.substring(text, F.greatest(span["s"] - CONTEXT, F.lit(0)) + 1, F.least(span["s"], F.lit(CONTEXT)))
+    x, before = span["x"], span["before"]
     side = lambda c: F.when(c == "", 0).when(c.rlike(r"[\s,;:.!?()\"']"), 1).when(c.rlike("[A-Za-z]"), 2).when(c.rlike("[0-9]"), 3).otherwise(4)
     n = F.length(digits(x))
     values = {
@@ -137,48 +166,54 @@ def features(kind: str, text: Column, span: Column) -> Column:
         "marks": F.length(F.regexp_replace(x, "[A-Za-z0-9]", "")),
         "length": F.length(x),
         "luhn": F.when(n.between(13, 19) & luhn(x), 1).otherwise(0) if kind == "card" else F.lit(0),
-        "left": side(F.substring(before, -1, 1)),
-        "right": side(F.substring(text, span["e"] + 1, F.lit(1))),
+        "left": side(F.right(before, F.lit(1))),
+        "right": side(span["after"]),
         "hint": before.rlike(HINTS[kind]).cast("int"),
         "against": before.rlike(AGAINST).cast("int"),
         "lead": F.when(x.rlike("^[(0]"), 1).when(x.rlike("^[3-6]"), 2).otherwise(0),
         "groups": F.size(F.split(x, "[^0-9A-Za-z]+", -1)),
         "odd": x.rlike(r"(?i)[(\[{](?:at|dot)| at .* dot ").cast("int"),
+        "broken": x.rlike(r"[.] | [.]").cast("int"),
+        "signs": F.size(F.array_distinct(F.split(F.regexp_replace(x, "[0-9A-Za-z]", ""), ""))),
     }
-    return F.struct(span["s"].alias("s"), span["e"].alias("e"), *(values[f].cast("int").alias(f) for f in FEATURES))
+    return F.struct(span["s"].alias("s"), span["e"].alias("e"), span["x"].alias("x"), *(values[f].cast("int").alias(f) for f in FEATURES))
 
 
 def _standing(kind: str):
     return lambda s: holds(kind, s["x"])
 
 
-def _described(kind: str, text: Column):
-    return lambda s: features(kind, text, s)
+def _described(kind: str):
+    return lambda s: features(kind, s)
+
+
+#: What a text with a base match has.
+BASE_NEEDS = {
+    "email": ("@[A-Za-z0-9-]", ("@",)), "ip": (r"[0-9]\.[0-9]", DIGIT), "card": ("[0-9][0-9 -]{14}", DIGIT), "phone": (r"\+[0-9]", ("+",)),
+}
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Adds t (whole text) and per kind the base spans b_ and proposed spans with features c_."""
+    """Adds t (whole text), per kind of KINDS the base spans b_, and per kind the proposed
+    spans with features c_; spans that several generators propose are one."""
     t = F.col("t")
     rows = docs.withColumn("t", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    number = t.rlike("[0-9][0-9]")
-    raw = {"email": matches(t, BASE["email"], ("@",)), "phone": matches(t, BASE["phone"], ("+",))}
-    none = F.array().cast("array<string>")
-    for k in ("ip", "card"):
-        raw[k] = F.when(t.rlike(r"[0-9]\.[0-9]" if k == "ip" else "[0-9][0-9 -]{14}"), matches(t, BASE[k])).otherwise(none)
-    rows = rows.select(
-        "*",
-        *(raw[k].alias(f"rb_{k}") for k in KINDS),
-        *((matches(t, p, needs) if needs else F.when(number, matches(t, p)).otherwise(none)).alias(f"rc_{k}") for k, (p, needs) in PROPOSED.items()),
-    )
-    rows = rows.select(
-        "*",
-        *(located(t, F.col(f"rb_{k}"), BASE[k]).alias(f"lb_{k}") for k in KINDS),
-        *(located(t, F.col(f"rc_{k}"), PROPOSED[k][0]).alias(f"lc_{k}") for k in KINDS),
-    )
+    rows = rows.withColumn("digit", t.rlike("[0-9]"))
+    sets = {f"b_{k}": [(BASE[k], *BASE_NEEDS[k])] for k in KINDS} | {f"c_{k}": [*PROPOSED[k]] for k in PROPOSED_KINDS}
+    each = [(f"{name}_{i}", *x) for name, some in sets.items() for i, x in enumerate(some)]
+
+    def first(literals: str | tuple[str, ...]) -> Column | None:
+        if literals == DIGIT:
+            return F.col("digit")
+        return reduce(or_, (t.contains(x) for x in literals)) if literals else None
+
+    rows = rows.select("*", *(matches(t, pattern, needs, first(literals)).alias(f"r_{name}") for name, pattern, needs, literals in each))
+    rows = rows.select("*", *(located(t, F.col(f"r_{name}"), pattern).alias(f"l_{name}") for name, pattern, _, _ in each))
+    joined = lambda name: F.concat(*(F.col(f"l_{name}_{i}") for i in range(len(sets[name]))))
     return rows.select(
         "*",
-        *(F.filter(f"lb_{k}", _standing(k)).alias(f"b_{k}") for k in KINDS),
-        *(F.transform(f"lc_{k}", _described(k, t)).alias(f"c_{k}") for k in KINDS),
+        *(F.filter(joined(f"b_{k}"), _standing(k)).alias(f"b_{k}") for k in KINDS),
+        *(F.transform(F.array_distinct(joined(f"c_{k}")), _described(k)).alias(f"c_{k}") for k in PROPOSED_KINDS),
     )
 
 
@@ -234,13 +269,15 @@ def expression(tree: tuple) -> str:
 # -- what they are fitted on
 
 
-def examples(seed: int = 5, n: int = 1600) -> list[tuple[int, str, str, int]]:
-    """Generated sentences (row, text, kind, label) with one candidate each."""
+def examples(seed: int = 5, n: int = 2400) -> list[tuple[int, str, str, str]]:
+    """Generated sentences (row, text, kind, the span that is personal data or '')."""
     r = random.Random(seed)
     words = "the of and to in is that it for on was with as be by an at this from or".split()
     num = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     name = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 9)))
     some = lambda: " ".join(r.choice(words) if r.random() < 0.6 else name() for _ in range(r.randint(4, 10)))
+    mixed = lambda k: "".join(r.choice("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(k))
+    hexed = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
 
     def checked(k: int) -> str:
         body = r.choice("3456") + num(k - 2)
@@ -256,113 +293,196 @@ def examples(seed: int = 5, n: int = 1600) -> list[tuple[int, str, str, int]]:
 
     out = []
     for i in range(n):
-        kind, label = r.choice(KINDS), r.randint(0, 1)
-        hint, against = "", ""
+        kind, label = r.choice(PROPOSED_KINDS), r.randint(0, 1)
+        lead, tail = "", ""
         if kind == "email":
             if label:
-                at, dot = r.choice([("(at)", "(dot)"), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" [at] ", " [dot] "), (" at ", " dot "), ("@", "[dot]"), ("(at)", ".")])
+                at, dot = r.choice([("(at)", "(dot)"), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" [at] ", " [dot] "), (" at ", " dot "), ("@", "[dot]"), ("@", " {dot} "), ("(at)", ".")])
                 x = f"{r.choice(['', name() + '.', name() + '_'])}{name()}{at}{name()}{dot}{r.choice(['com', 'org', 'net'])}"
+                lead, tail = r.choice(["", "mail", "contact"]), r.choice(["", ".", ","])
             else:
-                x = r.choice([f"{name()} at {name()}. {name()} (dot) ", f"{name()} at {name()}.{name()} a dot of {name()}", f"look at {name()}. a dot on {name()}"])
-            hint = r.choice(["", "mail", "contact"]) if label else ""
+                x = r.choice([f"{name()} at {name()}. {name()} (dot) ", f"{name()} at {name()}.{name()} a dot of {name()}", f"look at {name()}. a dot on {name()}", f"{name()} at {name()}.{r.choice(['com', 'org'])}"])
         elif kind == "ip":
-            x = ":".join(format(r.randrange(1 << 16), "x") for _ in range(8)) if label else ":".join(f"{r.randrange(60):02d}" for _ in range(8))
-            hint, against = (r.choice(["", "host", "ip"]), "") if label else ("", r.choice(["", "id", "serial"]))
+            if label:
+                part = lambda: format(r.randrange(1 << 16), "x")
+                x = r.choice([":".join(part() for _ in range(8)), f"{part()}:{part()}::{part()}:{part()}", r.choice(["[.]", "(.)", " dot ", "[dot]"]).join(str(r.randrange(256)) for _ in range(4))])
+                lead = r.choice(["", "host", "ip"])
+            else:
+                x = r.choice([":".join(f"{r.randrange(60):02d}" for _ in range(8)), " dot ".join(num(3) for _ in range(4)).replace("0", "9"), f"{r.randrange(24):02d}::{r.randrange(60):02d}"])
+                lead = r.choice(["", "id", "serial"])
         elif kind == "card":
             k = r.choice([13, 14, 15, 16, 16, 16, 19])
             if label:
-                hint = r.choice(["", "card", "visa", "credit"]) if r.random() < 0.8 else ""
-                x = split(checked(k), r.choice(["", ".", "/", "-"]))
+                lead = r.choice(["", "card", "visa", "credit"]) if r.random() < 0.8 else ""
+                x = checked(k)
+                x = f"{x[:4]}{(by := r.choice(' -'))}{x[4:10]}{by}{x[10:]}" if k == 15 and r.random() < 0.5 else split(x, r.choice(["", ".", "/", "-"]))
             else:
-                against = r.choice(["", "", "order", "invoice", "serial"])
+                lead = r.choice(["order", "invoice", "serial"]) if r.random() < 0.7 else ""
                 x = split(unchecked(k) if r.random() < 0.9 else checked(k), r.choice(["", "", ".", "/"])) if r.random() < 0.7 else f"{num(4)}/{num(4)}/{num(4)}/{num(3)}"
-                against = against or (r.choice(["order", "invoice"]) if r.random() < 0.5 else "")
-        else:
+                lead = lead or (r.choice(["order", "invoice"]) if r.random() < 0.5 else "")
+        elif kind == "phone":
             if label:
-                x = r.choice([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"0{num(2)} {num(4)} {num(4)}", f"{num(3)}.{num(3)}.{num(4)}"])
-                hint = r.choice(["phone", "tel", "call", "mobile", ""])
+                x = r.choice([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"0{r.randint(11, 99)} {num(4)} {num(4)}", f"{num(3)}.{num(3)}.{num(4)}", f"00{r.choice(['44', '49', '33'])} {num(3)} {num(4)} {num(2)}", f"0{r.randint(111, 999)}/{num(4)} {num(2)}"])
+                lead = r.choice(["phone", "tel", "call", "mobile", ""])
             else:
-                x = r.choice([f"19{num(2)} {num(4)}", f"{num(4)}-{num(4)}", f"{num(2)}.{num(3)}.{num(3)}", f"{num(4)} {num(3)} {num(3)}"])
-                against = r.choice(["", "order", "version", "isbn", "part no"])
-        lead = hint if label else against
-        out.append((i, f"{some()} {lead} {x} {some()}" if lead else f"{some()} {x} {some()}", kind, label))
+                x = r.choice([f"19{num(2)} {num(4)}", f"{num(4)}-{num(4)}", f"{num(2)}.{num(3)}.{num(3)}", f"{num(4)} {num(3)} {num(3)}", f"007{num(3)} {num(4)}"])
+                lead = r.choice(["", "order", "version", "isbn", "part no"])
+        elif label:
+            x = r.choice([hexed(40), hexed(32), mixed(40), mixed(r.randint(16, 48))])
+            sign = r.choice(['"', "", "'"])
+            lead, tail = f"{r.choice(['token', 'api_key', 'secret', 'password', 'TOKEN', 'access key'])}{r.choice([' = ', '=', ': '])}{sign}", sign
+        else:
+            x = r.choice([hexed(40), hexed(64), name() * 5, hexed(32), mixed(36)])
+            lead = r.choice(["commit ", "sha1 ", "digest ", "md5: ", "", "id "])
+        joint = "" if lead and kind == "secret" else " "
+        out.append((i, f"{some()} {lead}{joint if lead else ''}{x}{tail} {some()}", kind, x if label else ""))
     return out
 
 
 @lru_cache(maxsize=1)
 def model() -> dict[str, tuple[list[tuple], float]]:
-    """Per kind the trees and the threshold on their sum. Half of the examples grow the
-    trees, half set the lowest threshold that reaches PRECISION."""
+    """Per kind the trees and the threshold on their sum. A candidate is right if it is the
+    sentence's span to the letter. Half of the sentences grow the trees, half set the lowest
+    threshold that reaches PRECISION."""
     spark = SparkSession.getActiveSession()
-    made = examples()
-    rows = spark.createDataFrame(made, "row int, text string, kind string, label int").coalesce(2)
-    found = candidates(rows).select("row", "kind", "label", *(f"c_{k}" for k in KINDS)).collect()
+    rows = spark.createDataFrame(examples(), "row int, text string, kind string, truth string").coalesce(2)
+    found = candidates(rows).select("row", "kind", "truth", *(f"c_{k}" for k in PROPOSED_KINDS)).collect()
     out = {}
-    for kind in KINDS:
+    for kind in PROPOSED_KINDS:
         x, y, part = [], [], []
         for r in found:
             for c in r[f"c_{kind}"] if r.kind == kind else ():
                 x.append([c[f] for f in FEATURES])
-                y.append(r.label)
+                y.append(c["x"] == r.truth)
                 part.append(r.row % 2)
         x, y, part = np.array(x, float).reshape(-1, len(FEATURES)), np.array(y, float), np.array(part)
         trees = boost(x[part == 0], y[part == 0])
         margin, truth = margin_of(trees, x[part == 1]), y[part == 1]
-        cuts = [c for c in np.unique(margin) if truth[margin >= c].mean() >= PRECISION]
-        out[kind] = (trees, float(min(cuts)) if cuts else 1e9)
+        levels = np.unique(margin)
+        good = [k for k, c in enumerate(levels) if truth[margin >= c].mean() >= PRECISION]
+        # between two levels, so that no rounding of a sum decides
+        out[kind] = (trees, float((levels[good[0]] + levels[good[0] - 1]) / 2 if good[0] else levels[0] - 1) if good else 1e9)
     return out
 
 
+#: Spans that one step of the sweep holds.
+SWEEP = 256
+
+
+def swept(base: Column, scored: Column) -> Column:
+    """Of scored spans (s, e, p, k), sorted into one sweep with the base spans, those that stand:
+    none overlaps a base span, and of two that overlap the higher score stands, then the
+    earlier. Steps of bounded size keep the work near linear."""
+    line = F.array_sort(F.concat(F.transform(base, lambda b: F.struct(b["s"].alias("s"), F.lit(0).alias("late"), b["e"].alias("e"), F.lit(0.0).alias("p"), F.lit(0).alias("k"))), F.transform(scored, lambda c: F.struct(c["s"].alias("s"), F.lit(1).alias("late"), c["e"].alias("e"), c["p"].alias("p"), c["k"].alias("k")))))
+    kind = "struct<s:int,late:int,e:int,p:double,k:int>"
+    nothing, none = F.lit(None).cast(kind), F.array().cast(f"array<{kind}>")
+
+    def step(a: Column, x: Column) -> Column:
+        last, wall = a["last"], a["wall"]
+        meets = F.coalesce(x["s"] < last["e"], F.lit(False))
+        is_base, blocked = x["late"] == 0, x["s"] < wall
+        better = F.coalesce(x["p"] > last["p"], F.lit(True))
+        return F.struct(
+            F.when(~is_base & ~blocked & ~meets & last.isNotNull(), F.array_append(a["out"], last)).otherwise(a["out"]).alias("out"),
+            F.when(is_base, F.when(meets, nothing).otherwise(last)).when(blocked | (meets & ~better), last).otherwise(x).alias("last"),
+            F.when(is_base, F.greatest(wall, x["e"])).otherwise(wall).alias("wall"),
+        )
+
+    def block(a: Column, xs: Column) -> Column:
+        start = F.struct(none.alias("out"), a["last"].alias("last"), a["wall"].alias("wall"))
+        return bind(F.aggregate(xs, start, step), lambda z: F.struct(F.concat(a["out"], z["out"]).alias("out"), z["last"].alias("last"), z["wall"].alias("wall")))
+
+    def run(sorted_: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sorted_) - 1) / SWEEP).cast("int")), lambda i: F.slice(sorted_, i * SWEEP + 1, F.lit(SWEEP)))
+        start = F.struct(none.alias("out"), nothing.alias("last"), F.lit(0).alias("wall"))
+        return F.aggregate(blocks, start, block, lambda a: F.when(a["last"].isNotNull(), F.array_append(a["out"], a["last"])).otherwise(a["out"]))
+
+    return F.when(F.size(scored) > 0, bind(line, run)).otherwise(none)
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, cuts, text);
-    cuts are all spans as (start, end) in order.
+    """Rows (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret,
+    secret_spans, cuts, text); spans are of KINDS, secrets such as access keys stand apart, cuts
+    are all of them as (start, end) in order.
 
     Null and empty texts have no spans (the digest of the empty string); repeated rows and
     null ids are rows like any other; of added spans that overlap the higher score stands, then the
     earlier start, and none overlaps a base span; an empty table gives an empty result;
-    columns of docs other than doc_id and text are dropped. Work per text is near linear.
+    columns of docs other than doc_id and text are dropped. Whole texts are read, however
+    long; work per text is near linear in its length and its number of spans.
     """
     fitted = model()
     rows = candidates(docs.select("doc_id", "text"))
     scored = []
-    for k in KINDS:
+    for i, k in enumerate(PROPOSED_KINDS):
         trees, cut = fitted[k]
         total = " + ".join(f"{RATE} * {expression(t)}" for t in trees)
-        picked = F.expr(f"filter(transform(c_{k}, s -> struct(s.s as s, s.e as e, cast({total} as double) as p, {KINDS.index(k)} as k)), s -> s.p >= {cut!r}D)")
+        picked = F.expr(f"filter(transform(c_{k}, s -> struct(s.s as s, s.e as e, cast({total} as double) as p, {i} as k)), s -> s.p >= {cut!r}D)")
         scored.append(F.when(F.size(f"c_{k}") > 0, picked).otherwise(F.array().cast("array<struct<s:int,e:int,p:double,k:int>>")))
-    rows = rows.withColumn("all_base", F.concat(*(F.transform(f"b_{k}", lambda s: F.struct(s["s"], s["e"])) for k in KINDS))).withColumn("maybe", F.concat(*scored))
-    apart = lambda a, b: (a["e"] <= b["s"]) | (b["e"] <= a["s"])
-    rows = rows.withColumn("free", F.filter("maybe", lambda c: ~F.exists("all_base", lambda b: ~apart(b, c))))
-    rank = lambda c: F.struct(-c["p"], c["s"], c["k"], c["e"])
-    rows = rows.withColumn("added", F.filter("free", lambda c: ~F.exists("free", lambda o: ~apart(o, c) & (rank(o) < rank(c)))))
+    ends = lambda a: F.transform(a, lambda s: F.struct(s["s"].alias("s"), s["e"].alias("e")))
+    rows = rows.withColumn("all_base", F.concat(*(ends(f"b_{k}") for k in KINDS))).withColumn("maybe", F.concat(*scored))
+    rows = rows.withColumn("added", swept(F.col("all_base"), F.col("maybe")))
     told = lambda k, a: F.transform(a, lambda s: F.concat(F.lit(f"{k}:"), s["s"], F.lit(":"), s["e"]))
-    both = lambda i, k: F.array_sort(F.concat(F.transform(f"b_{k}", lambda s: F.struct(s["s"], s["e"])), F.transform(F.filter("added", lambda s: s["k"] == i), lambda s: F.struct(s["s"], s["e"]))))
+    own = lambda i: ends(F.filter("added", lambda s: s["k"] == i))
+    both = lambda i, k: F.array_sort(F.concat(ends(f"b_{k}"), own(i)))
     return rows.select(
         "doc_id",
         *(F.size(f"b_{k}").cast("bigint").alias(f"n_{k}") for k in KINDS),
         F.sha2(F.array_join(F.concat(*(told(k, F.col(f"b_{k}")) for k in KINDS)), ","), 256).alias("base_sha256"),
         F.array_join(F.concat(*(told(k, both(i, k)) for i, k in enumerate(KINDS))), ",").alias("spans"),
-        F.array_sort(F.concat("all_base", F.transform("added", lambda s: F.struct(s["s"], s["e"])))).alias("cuts"),
+        F.size(own(len(KINDS))).cast("bigint").alias("n_secret"),
+        F.array_join(told("secret", own(len(KINDS))), ",").alias("secret_spans"),
+        F.array_sort(F.concat("all_base", ends("added"))).alias("cuts"),
         F.col("text"),
     )
 
 
+def merged(cuts: Column) -> Column:
+    """Sorted spans (s, e), those that overlap or touch as one."""
+    kind = "struct<s:int,e:int>"
+    none, nothing = F.array().cast(f"array<{kind}>"), F.lit(None).cast(kind)
+
+    def step(a: Column, x: Column) -> Column:
+        meets = F.coalesce(x["s"] <= a["last"]["e"], F.lit(False))
+        one = F.struct(a["last"]["s"].alias("s"), F.greatest(a["last"]["e"], x["e"]).alias("e"))
+        return F.struct(F.when(meets | a["last"].isNull(), a["out"]).otherwise(F.array_append(a["out"], a["last"])).alias("out"), F.when(meets, one).otherwise(x).alias("last"))
+
+    def block(a: Column, xs: Column) -> Column:
+        return bind(F.aggregate(xs, F.struct(none.alias("out"), a["last"].alias("last")), step), lambda z: F.struct(F.concat(a["out"], z["out"]).alias("out"), z["last"].alias("last")))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(cuts) - 1) / SWEEP).cast("int")), lambda i: F.slice(cuts, i * SWEEP + 1, F.lit(SWEEP)))
+    return F.aggregate(blocks, F.struct(none.alias("out"), nothing.alias("last")), block, lambda a: F.array_append(a["out"], a["last"]))
+
+
+def without_spans(text: Column, cuts: Column, mark: str) -> Column:
+    """The text with each of the merged cuts replaced. What is kept is cut out in regions of
+    SWEEP pieces, so no piece is counted from the text's start."""
+
+    def run(m: Column) -> Column:
+        starts = F.concat(F.array(F.lit(0)), F.transform(m, lambda x: x["e"]))
+        ends = F.concat(F.transform(m, lambda x: x["s"]), F.array(F.length(text)))
+        kept = F.arrays_zip(starts.alias("s"), ends.alias("e"))
+        regions = F.transform(F.sequence(F.lit(0), F.floor(F.size(m) / SWEEP).cast("int")), lambda i: F.slice(kept, i * SWEEP + 1, F.lit(SWEEP)))
+
+        def pieces(r: Column) -> Column:
+            at = F.get(r, 0)["s"]
+            region = F.substring(text, at + 1, F.element_at(r, -1)["e"] - at)
+            return bind(F.struct(region.alias("t"), at.alias("at")), lambda z: F.transform(r, lambda x: F.substring(z["t"], x["s"] - z["at"] + 1, x["e"] - x["s"])))
+
+        return F.array_join(F.flatten(F.transform(regions, pieces)), mark)
+
+    return bind(cuts, run)
+
+
 def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
-    """`docs` with every span replaced by `mark`; spans that overlap or touch become one."""
+    """`docs` with every span replaced by `mark`, secrets included; spans that overlap or touch
+    become one. Null texts stay null; every row and column is kept, whatever the columns'
+    names; repeated rows are redacted alike; an empty table gives an empty result."""
     columns = docs.columns
     packed = docs.select(F.struct(*columns).alias("doc_id"), F.col("text"))
-    got = find_personal_data(packed)
-    text = F.coalesce("text", F.lit(""))
-    joined = F.aggregate(
-        "cuts",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda a, c: F.struct(
-            F.greatest(a["at"], c["e"]).alias("at"),
-            F.when(c["s"] >= a["at"], F.concat(a["parts"], F.array(F.substring(text, a["at"] + 1, c["s"] - a["at"]), F.lit(mark)))).otherwise(a["parts"]).alias("parts"),
-        ),
-        lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))),
-    )
-    clean = F.when(F.size("cuts") > 0, joined).otherwise(F.col("text"))
+    got = find_personal_data(packed).withColumn("merged", F.when(F.size("cuts") > 0, merged(F.col("cuts"))))
+    whole = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    clean = F.when(F.col("merged").isNotNull(), without_spans(whole, F.col("merged"), mark)).otherwise(F.col("text"))
     return got.select("doc_id.*", clean.alias("__clean")).select(*(F.col("__clean").alias("text") if c == "text" else F.col(c) for c in columns))
 
 
