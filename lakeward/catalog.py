@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeward.functions import staff_text
 from lakeward.functions.expressions import part_of_day, row_hash
 from lakeward.operators import dimensions, identity, islands, merge, quality, retype, serving
 from lakeward.operators import staff as staff_ops
@@ -67,7 +68,11 @@ def infer_flags(t: Tables) -> DataFrame:
 
 @query(
     "inferred_types",
-    """SELECT * FROM (VALUES ('c_acctbal', 'double'), ('c_custkey', 'smallint'), ('is_even', 'boolean'), ('whole', 'smallint')) AS v(column_name, target)""",
+    """WITH v AS (SELECT c_acctbal AS a, c_custkey AS k, CAST(c_custkey % 2 AS DOUBLE) AS e, floor(c_acctbal) AS w FROM customer)
+    SELECT 'c_acctbal' AS column_name, CASE WHEN bool_and(a IN (0, 1)) THEN 'boolean' WHEN bool_and(a = floor(a)) THEN CASE WHEN max(abs(a)) > 32767 THEN 'int' ELSE 'smallint' END ELSE 'double' END AS target FROM v
+    UNION ALL SELECT 'c_custkey', CASE WHEN max(abs(k)) > 32767 THEN 'int' ELSE 'smallint' END FROM v
+    UNION ALL SELECT 'is_even', CASE WHEN bool_and(e IN (0, 1)) THEN 'boolean' ELSE 'smallint' END FROM v
+    UNION ALL SELECT 'whole', CASE WHEN bool_and(w IN (0, 1)) THEN 'boolean' WHEN max(abs(w)) > 32767 THEN 'int' ELSE 'smallint' END FROM v""",
 )
 def inferred_types(t: Tables) -> DataFrame:
     rows = t.customer.select("c_custkey", "c_acctbal", (F.col("c_custkey") % 2).cast("double").alias("is_even"), F.floor(F.col("c_acctbal")).cast("double").alias("whole"))
@@ -295,9 +300,11 @@ def stints(t: Tables) -> DataFrame:
     return islands.stints(_seasons(t), ["season", "o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderstatus", "day")
 
 
-RECORDED_SQL = f"""SELECT season, o_custkey, o_orderstatus, count(*) % 2 = 0 AS is_interim,
+ALL_RECORDED_SQL = f"""SELECT season, o_custkey, o_orderstatus, count(*) % 2 = 0 AS is_interim,
   CASE WHEN min(o_orderkey) % 3 = 0 THEN min(day) END AS start_date, CASE WHEN max(o_orderkey) % 5 = 0 THEN max(day) END AS end_date
-  FROM ({SEASONS_SQL}) WHERE o_custkey % 4 = 0 GROUP BY ALL"""
+  FROM ({SEASONS_SQL}) GROUP BY ALL"""
+#: Records of some customers only: the others' stints have none.
+RECORDED_SQL = f"SELECT * FROM ({ALL_RECORDED_SQL}) WHERE o_custkey % 4 = 0"
 DATED_SQL = f"""SELECT h.season, h.o_custkey, h.o_orderstatus, coalesce(w.is_interim, false) AS is_interim, w.start_date IS NOT NULL OR run_no > 0 AS explicit_start,
   CASE WHEN w.start_date IS NOT NULL THEN w.start_date WHEN run_no > 0 THEN first_at ELSE first_day END AS start_date, CASE WHEN w.start_date IS NOT NULL THEN 'recorded' ELSE 'log' END AS start_source,
   w.end_date IS NOT NULL OR run_no < stints - 1 AS explicit_end, CASE WHEN w.end_date IS NOT NULL THEN w.end_date WHEN run_no < stints - 1 THEN last_at ELSE last_day END AS end_date,
@@ -307,19 +314,19 @@ DATED_SQL = f"""SELECT h.season, h.o_custkey, h.o_orderstatus, coalesce(w.is_int
 
 def _recorded(t: Tables) -> DataFrame:
     return (
-        _seasons(t).where("o_custkey % 4 = 0").groupBy("season", "o_custkey", "o_orderstatus")
+        _seasons(t).groupBy("season", "o_custkey", "o_orderstatus")
         .agg((F.count("*") % 2 == 0).alias("is_interim"), F.when(F.min("o_orderkey") % 3 == 0, F.min("day")).alias("start_date"), F.when(F.max("o_orderkey") % 5 == 0, F.max("day")).alias("end_date"))
     )
 
 
 @query("dated_stints", DATED_SQL)
 def dated_stints(t: Tables) -> DataFrame:
-    return islands.dated_stints(stints(t), calendar(t), _recorded(t), ["season", "o_custkey"], "o_orderstatus")
+    return islands.dated_stints(stints(t), calendar(t), _recorded(t).where("o_custkey % 4 = 0"), ["season", "o_custkey"], "o_orderstatus")
 
 
 @query(
     "recorded_rows",
-    f"""WITH s AS ({RECORDED_SQL}), c AS ({CALENDAR_SQL}), u AS (SELECT season, o_custkey, o_orderstatus, bool_or(is_interim AND start_date IS NULL) AS unclear FROM s GROUP BY ALL)
+    f"""WITH s AS ({ALL_RECORDED_SQL}), c AS ({CALENDAR_SQL}), u AS (SELECT season, o_custkey, o_orderstatus, bool_or(is_interim AND start_date IS NULL) AS unclear FROM s GROUP BY ALL)
     SELECT season, o_custkey, 1 AS person, o_orderstatus, is_interim, start_date IS NOT NULL OR is_interim AS explicit_start,
     CASE WHEN start_date IS NOT NULL THEN start_date WHEN is_interim THEN NULL ELSE first_day END AS start_date, CASE WHEN start_date IS NOT NULL THEN 'recorded' WHEN is_interim THEN NULL ELSE 'log' END AS start_source,
     end_date IS NOT NULL OR (unclear AND NOT is_interim) AS explicit_end, CASE WHEN end_date IS NOT NULL THEN end_date WHEN unclear AND NOT is_interim THEN NULL ELSE last_day END AS end_date,
@@ -578,10 +585,16 @@ def check_bijection(t: Tables) -> DataFrame:
     return quality.check_bijection(t.part, "p_brand", "p_size")
 
 
-@query("check_chain", "SELECT * FROM (VALUES ('d', 'A', 'B')) AS v(domain, source_value, canonical_value)")
+CHAIN_SQL = "SELECT DISTINCT c_mktsegment AS domain, concat('N', c_nationkey) AS source_value, concat('N', (c_nationkey + c_custkey % 2 * 5) % 25) AS canonical_value FROM customer"
+
+
+@query(
+    "check_chain",
+    f"""SELECT a.domain, a.source_value, a.canonical_value FROM ({CHAIN_SQL}) a JOIN ({CHAIN_SQL}) b ON a.domain = b.domain AND a.canonical_value = b.source_value AND b.source_value <> b.canonical_value""",
+)
 def check_chain(t: Tables) -> DataFrame:
-    rows = [("d", "A", "B"), ("d", "B", "C"), ("e", "B", "C"), ("e", "X", "X")]
-    return quality.check_chain(t.spark.createDataFrame(rows, "domain string, source_value string, canonical_value string"))
+    rows = t.customer.selectExpr("c_mktsegment AS domain", "concat('N', c_nationkey) AS source_value", "concat('N', (c_nationkey + c_custkey % 2 * 5) % 25) AS canonical_value").distinct()
+    return quality.check_chain(rows)
 
 
 @query(
@@ -644,10 +657,16 @@ def likely_aliases(t: Tables) -> DataFrame:
     return staff_ops.likely_aliases(t.nation.select(F.col("n_name").alias("name")).union(t.region.select("r_name")).union(t.nation.select(F.initcap("n_name"))))
 
 
+LINK_SQL = r"regexp_replace({}, '\[\[(?:[^|\]]*\|)?([^\]]*)\]\]', '\1', 'g')"
+MARKED = "concat('[[A|', page_id, ']] <ref name=x>[[gone]]</ref>{{t|1}}<ref b/> ', html, ' [[B]]')"
+
+
 @query(
     "clean_markup",
-    r"""SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '<[^>]+>', '', 'g') AS plain FROM pages""",
+    f"""SELECT page_id, trim(regexp_replace({LINK_SQL.format(f"regexp_replace({LINK_SQL.format(MARKED)}, '(?s)<ref[^>]*/>|<ref[^>]*>.*?</ref>', '', 'g')")}, '{{{{[^}}]*}}}}|<[^>]+>', '', 'g')) AS plain FROM pages""".replace("'{{[^}]*}}|", r"'\{\{[^}]*\}\}|"),
 )
 def clean_markup(t: Tables) -> DataFrame:
-    whole = F.regexp_replace("html", r"(?s)<(script|style)[^>]*>.*?</(script|style)>", "")
-    return t.pages.select("page_id", F.regexp_replace(whole, "<[^>]+>", "").alias("plain"))
+    return t.pages.select("page_id", staff_text.clean(F.expr(MARKED)).alias("plain"))
+
+
+from lakeward import landing, league  # noqa: E402, F401  their queries are added to QUERIES

@@ -29,7 +29,9 @@ def period_starts(df: DataFrame, key: str, period: str, at: str) -> DataFrame:
     return bounds.select(period, key, F.coalesce(F.date_add(before, 1), F.col("first_seen")).alias("first_day"), "last_day")
 
 
-def dated_stints(runs: DataFrame, calendar: DataFrame, recorded: DataFrame, part: list[str], value: str) -> DataFrame:
+def dated_stints(
+    runs: DataFrame, calendar: DataFrame, recorded: DataFrame, part: list[str], value: str, recorded_source: str = "recorded", log_source: str = "log"
+) -> DataFrame:
     """Stints with dates: what is recorded beats the log of events, which beats the calendar.
     recorded has (part, value, is_interim, start_date, end_date)."""
     h, w = runs.alias("h"), recorded.withColumn("__hit", F.lit(True)).alias("w")
@@ -44,15 +46,17 @@ def dated_stints(runs: DataFrame, calendar: DataFrame, recorded: DataFrame, part
             F.coalesce("w.is_interim", F.lit(False)).alias("is_interim"),
             (started | (F.col("h.run_no") > 0)).alias("explicit_start"),
             F.when(started, F.col("w.start_date")).when(F.col("h.run_no") > 0, F.col("h.first_at")).otherwise(F.col("c.first_day")).alias("start_date"),
-            F.when(started, "recorded").otherwise("log").alias("start_source"),
+            F.when(started, recorded_source).otherwise(log_source).alias("start_source"),
             (ended | ~last).alias("explicit_end"),
             F.when(ended, F.col("w.end_date")).when(~last, F.col("h.last_at")).otherwise(F.col("c.last_day")).alias("end_date"),
-            F.when(ended, "recorded").otherwise("log").alias("end_source"),
+            F.when(ended, recorded_source).otherwise(log_source).alias("end_source"),
         )
     )
 
 
-def recorded_rows(recorded: DataFrame, calendar: DataFrame, part: list[str], value: str, role: str) -> DataFrame:
+def recorded_rows(
+    recorded: DataFrame, calendar: DataFrame, part: list[str], value: str, role: str, recorded_source: str = "recorded", log_source: str = "log"
+) -> DataFrame:
     """Rows known from records alone: an undated interim change leaves the boundaries around it
     unknown, with neither date nor source."""
     unclear = recorded.groupBy(*part, role).agg(F.bool_or(F.col("is_interim") & F.col("start_date").isNull()).alias("unclear"))
@@ -63,10 +67,10 @@ def recorded_rows(recorded: DataFrame, calendar: DataFrame, part: list[str], val
         *part, value, role, "is_interim",
         (started | F.col("is_interim")).alias("explicit_start"),
         F.when(started, F.col("start_date")).when(~F.col("is_interim"), F.col("first_day")).alias("start_date"),
-        F.when(started, "recorded").when(~F.col("is_interim"), "log").alias("start_source"),
+        F.when(started, recorded_source).when(~F.col("is_interim"), log_source).alias("start_source"),
         (ended | open_end).alias("explicit_end"),
         F.when(ended, F.col("end_date")).when(~open_end, F.col("last_day")).alias("end_date"),
-        F.when(ended, "recorded").when(~open_end, "log").alias("end_source"),
+        F.when(ended, recorded_source).when(~open_end, log_source).alias("end_source"),
     )
 
 
@@ -79,15 +83,16 @@ def collapse(df: DataFrame, keys: list[str], period: str, latest: Column | int)
     seq = df.withColumn("__prev", F.lag(period).over(w)).withColumn("__ended", F.lag("explicit_end").over(w))
     new = F.col("__prev").isNull() | (F.col("__prev") != F.col(period) - 1) | F.coalesce("__ended", F.lit(False)) | F.col("explicit_start")
     numbered = seq.withColumn("tenure_no", F.sum(new.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    island = Window.partitionBy(*keys, "tenure_no")
-    bounds = numbered.withColumn("first_period", F.min(period).over(island)).withColumn("last_period", F.max(period).over(island))
-    grouped = bounds.groupBy(*keys, "tenure_no", "first_period", "last_period").agg(
+    # the greatest (period, ended) tells whether any row of the last period ended
+    grouped = numbered.groupBy(*keys, "tenure_no").agg(
+        F.min(period).alias("first_period"),
+        F.max(period).alias("last_period"),
         F.min_by("start_date", period).alias("start_date"),
         F.min_by("start_source", period).alias("start_source"),
         F.max_by("end_date", period).alias("__end"),
         F.max_by("end_source", period).alias("__source"),
-        F.bool_or(F.col("explicit_end") & (F.col(period) == F.col("last_period"))).alias("__closed"),
-    )
+        F.max(F.struct(F.col(period), F.col("explicit_end"))).alias("__last"),
+    ).withColumn("__closed", F.col("__last.explicit_end"))
     ongoing = (F.col("last_period") == latest) & ~F.col("__closed")
     return grouped.select(
         *keys, "first_period", "last_period", "start_date", "start_source",

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hmac
+import threading
+import uuid
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,9 @@ class Surface:
     sorts: dict[str, str]
     key: str
     max_limit: int = 1000
+    #: What a filter's value must be: one of some values, or of a type.
+    choices: dict[str, tuple] = field(default_factory=dict)
+    kinds: dict[str, type | tuple[type, ...]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -38,6 +45,14 @@ class PageQuery:
     offset: int = 0
 
 
+def check_value(surface: Surface, name: str, value: Any) -> None:
+    if name in surface.choices and value not in surface.choices[name]:
+        raise Invalid(f"{name} is none of {', '.join(map(str, surface.choices[name]))}")
+    kind = surface.kinds.get(name)
+    if kind and (not isinstance(value, kind) or isinstance(value, bool) is not (kind is bool)):
+        raise Invalid(f"{name} has the wrong type")
+
+
 def predicate(surface: Surface, q: PageQuery) -> Column:
     """All given filters together; a filter that the surface lacks is an error."""
     if not 1 <= q.limit <= surface.max_limit or q.offset < 0:
@@ -46,6 +61,7 @@ def predicate(surface: Surface, q: PageQuery) -> Column:
     for name, value in q.filters.items():
         if value is None:
             continue
+        check_value(surface, name, value)
         if name in surface.equal:
             parts.append(F.col(surface.equal[name]) == F.lit(value))
         elif name in surface.least:
@@ -111,6 +127,54 @@ def nested(parents: DataFrame, children: DataFrame, key: str, order: list[str],
     return parents.join(grouped, key, "left").withColumn(name, F.coalesce(name, F.array().cast(grouped.schema[name].dataType)))
 
 
+def of_ids(df: DataFrame, key: str, ids: list) -> DataFrame:
+    """Rows whose key is one of a page's ids; a literal list, so the filter reaches the scan."""
+    return df.where(F.col(key).isin(*ids)) if ids else df.limit(0)
+
+
+class TimedOut(Exception):
+    """A read that took longer than its caller waits."""
+
+
+def rows_within(df: DataFrame, seconds: float) -> list:
+    """The rows, or TimedOut: the jobs of the read are cancelled, those of others go on."""
+    context = df.sparkSession.sparkContext
+    tag, late = f"read-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        late.set()
+        context.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, stop)
+    context.addJobTag(tag)
+    timer.start()
+    try:
+        return df.collect()
+    except Exception as e:
+        if late.is_set():
+            raise TimedOut(f"over {seconds} s") from e
+        raise
+    finally:
+        timer.cancel()
+        context.removeJobTag(tag)
+
+
+def status_of(error: Exception | None) -> int:
+    """The HTTP status that tells what a read ended with; None stands for a missing row."""
+    if error is None:
+        return 404
+    if isinstance(error, Invalid):
+        return 422
+    if isinstance(error, TimedOut):
+        return 504
+    return 503 if isinstance(error, (AnalysisException, OSError)) else 500
+
+
+def may_read(given: str | None, key: str | None) -> bool:
+    """Whether a caller's key opens the service; without a key it is open."""
+    return key is None or (given is not None and hmac.compare_digest(given.encode(), key.encode()))
+
+
 def latest_runs(runs: DataFrame, n: int, key: str = "run_id") -> DataFrame:
     return runs.orderBy(F.col(key).desc()).limit(n)
 

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dimensions import unpivot
@@ -31,23 +31,61 @@ def week_days(games: DataFrame) -> DataFrame:
     return unpivot(regular, [side("home_team"), side("away_team")])
 
 
+def _gram_pairs(names: DataFrame) -> DataFrame:
+    """Pairs (a, b) of names with p and q, their plain forms, that may reach a ratio of 0.8.
+
+    Names that match that well in more than five characters together share two that stand
+    side by side: were all matched characters apart, there would be a gap for each but one,
+    more than a fifth of all characters allows. Of n neighbours at least n / 3 - 1 are shared, so
+    the rarest two thirds of each name hold one of them; shorter names are one group by length."""
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("p") - 1, F.lit(1))), lambda i: F.substring(F.col("p"), i, F.lit(2))))
+    each = names.select("a", "p", F.explode(grams).alias("g"))
+    seen = each.join(each.groupBy("g").agg(F.count("*").alias("df")), "g")
+    rank = F.row_number().over(Window.partitionBy("a").orderBy("df", "g"))
+    size = F.count("*").over(Window.partitionBy("a"))
+    repeats = F.length("p") - 1 - F.col("size")  # neighbours that stand more than once
+    marks = seen.withColumn("rank", rank).withColumn("size", size).where(F.col("rank") <= F.ceil(F.lit(2) * F.col("size") / 3) + 2 + repeats).select("a", "p", F.col("g").alias("mark"))
+    short = names.where("length(p) <= 4").select("a", "p", F.lit("").alias("mark"))
+    x = marks.unionByName(short)
+    y = x.select(F.col("a").alias("b"), F.col("p").alias("q"), "mark")
+    fits = "a < b and 3 * least(length(p), length(q)) >= 2 * greatest(length(p), length(q))"
+    return x.join(y, "mark").where(fits).select("a", "b", "p", "q").distinct()
+
+
 def likely_aliases(names: DataFrame, column: str = "name", strong: float = 0.8, weak: float = 0.6) -> DataFrame:
-    """Pairs (a, b, ratio) of names that may be one person's: similar as a whole, or of one
-    last name and first initial and somewhat similar. Every two names are compared, without
-    suffixes such as Jr."""
-    keyed = names.select(F.col(column).alias("name")).where("name is not null").distinct()
-    pairs = keyed.select(F.col("name").alias("a")).crossJoin(keyed.select(F.col("name").alias("b"))).where("a < b")
+    """Pairs (a, b, ratio) of names that may be one person's, the likeliest first: similar as a
+    whole, or of one last name and first initial and somewhat similar. Suffixes such as Jr.
+    do not count. No pair is lost: see _gram_pairs for `strong` (0.8 at least), and `weak` pairs
+    meet under their last name and initial."""
+    if strong < 0.8:
+        raise ValueError("the pairing is complete for 0.8 and above")
+    plain = F.regexp_replace(F.regexp_replace(F.trim(F.lower("a")), SUFFIX.pattern, ""), r"[^\p{L}\p{N} ]", "")
+    keyed = names.select(F.col(column).alias("a")).where("a is not null").distinct().withColumn("p", F.trim(F.regexp_replace(plain, r"\s+", " ")))
+    kin = keyed.where("p <> ''").withColumn("mark", F.concat(F.left("p", F.lit(1)), F.lit(" "), F.element_at(F.split("p", " "), -1)))
+    pairs = _gram_pairs(keyed).unionByName(
+        kin.join(kin.select(F.col("a").alias("b"), F.col("p").alias("q"), "mark"), "mark").where("a < b").select("a", "b", "p", "q")
+    ).distinct()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        norm = lambda s: " ".join("".join(c for c in SUFFIX.sub("", s.lower().strip()) if c.isalnum() or c == " ").split())
         for frame in frames:
             rows = []
-            for x, y in zip(frame["a"], frame["b"], strict=True):
-                p, q = norm(x), norm(y)
+            for x, y, p, q in frame[["a", "b", "p", "q"]].itertuples(index=False):
                 r = difflib.SequenceMatcher(None, p, q).ratio()
-                kin = bool(p and q) and p.split()[-1] == q.split()[-1] and p[0] == q[0]
-                if r >= strong or kin and r >= weak:
+                same = bool(p and q) and p.split()[-1] == q.split()[-1] and p[0] == q[0]
+                if r >= strong or same and r >= weak:
                     rows.append((x, y, r))
             yield pd.DataFrame(rows, columns=["a", "b", "ratio"])
 
-    return pairs.mapInPandas(run, "a string, b string, ratio double")
+    return pairs.mapInPandas(run, "a string, b string, ratio double").orderBy(F.desc("ratio"), "a", "b")
+
+
+def edit_pairs(names: DataFrame, column: str = "name", most: int = 1) -> DataFrame:
+    """Pairs (a, b, distance) of distinct names at most `most` edits apart, which then share a form
+    with at most so many characters left out."""
+    forms = F.array(F.col("a"))
+    for _ in range(most):
+        cut = F.flatten(F.transform(forms, lambda x: F.transform(F.sequence(F.lit(1), F.greatest(F.length(x), F.lit(1))), lambda i, x=x: F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.length(x))))))
+        forms = F.array_distinct(F.concat(forms, cut))
+    each = names.select(F.col(column).alias("a")).where("a is not null").distinct().withColumn("form", F.explode(forms))
+    both = each.join(each.select(F.col("a").alias("b"), "form"), "form").where("a < b").select("a", "b").distinct()
+    return both.withColumn("distance", F.levenshtein("a", "b")).where(F.col("distance") <= most)

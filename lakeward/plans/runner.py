@@ -169,6 +169,8 @@ def run_pipeline(
     truncate: Callable[[list[str]], None],
     history: History | None = None,
     tell: Callable[[str], None] = lambda _: None,
+    kind: str = "refresh",
+    tell_success: bool = False,
     **options,
 ) -> int:
     """Loads, transforms if nothing failed, clears the landing tables if that went well,
@@ -186,7 +188,7 @@ def run_pipeline(
                 log.exception("landing tables could not be cleared")
     status = "success" if code == 0 else "failed"
     if history:
-        history.record("refresh", status, results, options and {k: str(v) for k, v in options.items()})
-    if code:
+        history.record(kind, status, results, options and {k: str(v) for k, v in options.items()})
+    if code or tell_success:
         tell(f"run {status}: {counts}")
     return code

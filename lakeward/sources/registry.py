@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeward.functions.types import store_type
+from lakeward.sources.snapshot import Table
+
 Loader = Callable[..., DataFrame]
 
 
@@ -34,14 +37,43 @@ class Dataset:
 
 
 def parquet(spark: SparkSession, path: str, season: int | None = None, **_) -> DataFrame:
+    df = _present(spark, path)
+    return df.where(F.col("season") == season) if season is not None and "season" in df.columns else df
+
+
+def _present(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet folder; only a missing one means that the source has nothing, any other fault
+    is one."""
     try:
-        df = spark.read.parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as e:
-        raise PeriodUnavailable(path) from e
-    return df.where(F.col("season") == season) if season is not None and "season" in df.columns else df
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise PeriodUnavailable(path) from e
+        raise
+
+
+def mirror(spark: SparkSession, root: str, files: str, season: int | None = None, **_) -> DataFrame:
+    """A mirrored source: <root>/<files>.parquet, or <root>/<files>/<season>.parquet."""
+    return _present(spark, f"{root.rstrip('/')}/{files}.parquet" if season is None else f"{root.rstrip('/')}/{files}/{season}.parquet")
+
+
+LOADERS: dict[str, Loader] = {"parquet": parquet, "mirror": mirror}
 
+# The league's datasets with their first seasons and keys.
+WHOLE = (("schedules", ("game_id",)), ("teams", ("team_abbr",)), ("players", ("gsis_id",)))
+SEASONAL = (
+    ("rosters", 1999), ("rosters_weekly", 2002), ("depth_charts", 2001), ("team_stats_week", 1999), ("player_stats_week", 1999),
+    ("pbp", 1999), ("participation", 2016), ("coaching_staff", 2010), ("officials", 2015),
+)
 
-LOADERS: dict[str, Loader] = {"parquet": parquet}
+
+def league(root: str, staff: Loader | None = None) -> dict[str, Dataset]:
+    """All datasets of the league, read from a mirror under `root`; staff lists come from
+    `staff` where it is given."""
+    at = lambda name: {"root": root, "files": name}
+    whole = [Dataset(n, n, "mirror", partitioned=False, options=at(n), unique=key) for n, key in WHOLE]
+    by_season = [Dataset(n, n, staff if staff and n == "coaching_staff" else "mirror", first_season=y, options={} if staff and n == "coaching_staff" else at(n)) for n, y in SEASONAL]
+    return {d.name: d for d in (*whole, *by_season)}
 
 
 def loader_of(dataset: Dataset) -> Loader:
@@ -61,19 +93,43 @@ def fetch(spark: SparkSession, dataset: Dataset, season: int | None = None) -> D
     return loader_of(dataset)(spark, **dataset.options, **more)
 
 
+def landed(df: DataFrame, dataset: Dataset, season: int | None, now: dt.datetime) -> DataFrame:
+    """What is stored of a source's rows, in one projection: names in lower case, the load's time,
+    and for a dataset by season the season, which the file's own must equal."""
+    own = {c.lower(): F.col(f"`{c}`") for c in df.columns}
+    keep = None
+    if dataset.partitioned:
+        keep = own["season"] == season if "season" in own else None
+        own.setdefault("season", F.lit(season).cast("bigint"))
+    last = [own.pop("season")] if dataset.partitioned and "season" not in {c.lower() for c in df.columns} else []
+    rows = df if keep is None else df.where(keep)
+    return rows.select(*(c.alias(n) for n, c in own.items()), F.lit(now).alias("_loaded_at"), *(c.alias("season") for c in last))
+
+
 def normalise(df: DataFrame, now: dt.datetime) -> DataFrame:
     """Lower-case names and the time of the load, one value for all rows."""
-    return df.toDF(*(c.lower() for c in df.columns)).withColumn("_loaded_at", F.lit(now))
+    return landed(df, Dataset("", "", "", partitioned=False), None, now)
 
 
-def prepare(df: DataFrame, dataset: Dataset, season: int | None, now: dt.datetime) -> DataFrame:
-    """Normalised, the season stamped where the file lacks it and guarded where not."""
-    df = normalise(df, now)
-    if dataset.partitioned:
-        if "season" not in df.columns:
-            return df.withColumn("season", F.lit(season).cast("bigint"))
-        return df.where(F.col("season") == season)
-    return df
+prepare = landed
+
+
+class NotUnique(ValueError):
+    """A source repeats a key that it declares unique."""
+
+
+def load(spark: SparkSession, dataset: Dataset, season: int | None, table: Table, now: dt.datetime | None = None) -> int:
+    """Fetches one dataset, or one season of it, and replaces what the landing table holds of
+    it; returns the number of rows. Nothing is replaced if the source repeats a unique key."""
+    rows = landed(fetch(spark, dataset, season), dataset, season, now or dt.datetime.now())
+    rows = rows.select(*(F.col(f.name).cast(store_type(f.dataType)).alias(f.name) for f in rows.schema.fields))
+    if dataset.unique:
+        twice = rows.groupBy(*dataset.unique).count().where("count > 1").head(1)
+        if twice:
+            raise NotUnique(f"{dataset.name} repeats {dataset.unique}: {twice[0]}")
+    table.replace_partition(rows, "season", season) if dataset.partitioned else table.replace_all(rows)
+    now_held = table.read()
+    return (now_held.where(F.col("season") == season) if dataset.partitioned else now_held).count()
 
 
 def seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
