@@ -28,10 +28,29 @@ def spellings_of(sources: list[tuple[DataFrame, str, str | None]]) -> DataFrame:
     return reduce(DataFrame.union, parts).distinct()
 
 
+#: Ranges that new names are numbered in, at most.
+RANGES = 256
+
+
 def mint_ids(names: DataFrame, high_water: int, column: str = "name") -> DataFrame:
-    """(name, id): ids after high_water in the order of names. Names are those of one run
-    that never had an id, few however large the facts are."""
-    return names.select(column).distinct().select(column, (F.lit(high_water) + F.row_number().over(Window.orderBy(column))).cast("int").alias("id"))
+    """(name, id): ids after high_water in the order of names. Names are numbered range by range
+    and the ranges' sizes added up, so no task sorts all of them. The bounds are the names with the
+    smallest hashes, which any plan finds alike."""
+    own = names.select(column).distinct()
+    bounds = sorted(r[0] for r in own.where(F.col(column).isNotNull()).orderBy(F.xxhash64(column), column).limit(RANGES - 1).collect())
+    place = F.lit(0)
+    if bounds:
+        place = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x <= F.col(column)))
+    ranged = own.withColumn("__range", place)
+    first, offsets = high_water, {}
+    for r in sorted(ranged.groupBy("__range").count().collect(), key=lambda r: r[0]):
+        offsets[r[0]] = first
+        first += r[1]
+    if not offsets:
+        return own.select(column, F.lit(None).cast("int").alias("id"))
+    start = F.element_at(F.create_map(*(F.lit(v) for k, n in offsets.items() for v in (k, n))), F.col("__range"))
+    nth = F.row_number().over(Window.partitionBy("__range").orderBy(column))
+    return ranged.select(column, (start + nth).cast("int").alias("id"))
 
 
 def known_ids(resolved: DataFrame, existing: DataFrame) -> DataFrame:

@@ -245,3 +245,10 @@ def test_likely_aliases(spark):
 def test_likely_aliases_of_all_pairs(spark):
     df = spark.createDataFrame([("Jon Smith",), ("John Smyth",), ("Geoff Schwarz",), ("Jeff Schwartz",), ("Al Ray Jr.",), ("Al Ray",)], "name string")
     assert {(r.a, r.b) for r in staff.likely_aliases(df).collect()} == {("John Smyth", "Jon Smith"), ("Geoff Schwarz", "Jeff Schwartz"), ("Al Ray", "Al Ray Jr.")}
+
+
+def test_ids_are_minted_in_ranges(spark):
+    names = spark.range(3000).selectExpr("concat('n', id * 7919 % 3000) as name").repartition(5)
+    got = {r.name: r.id for r in identity.mint_ids(names, 10).collect()}
+    assert got == {n: 11 + k for k, n in enumerate(sorted(f"n{i}" for i in range(3000)))}
+    assert identity.mint_ids(names.limit(0), 10).count() == 0
