@@ -8,6 +8,8 @@ not shuffled: what leaves the scan is one row per document and one per hit.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +19,8 @@ WINDOW = 10
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same in a text whose capitals still stand.
 CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: A larger table of windows is joined by shuffling instead of broadcast.
-BROADCAST_WINDOWS = 200_000
+#: Bytes of windows that are broadcast at once; a larger table goes in several scans of the documents.
+BROADCAST_BYTES = 32 << 20
 
 
 def words(text: Column) -> Column:
@@ -49,20 +51,25 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
     Null, empty and wordless texts have no words and no hits; items without words or
     id count for nothing; an empty benchmark hits nothing. A word that no text can hold, the
     empty one, stands before each document's words and in the table, so every document
-    yields a row in the same pass.
+    yields a row in the same pass. Windows beyond BROADCAST_BYTES are dealt over several
+    scans by hash, each with a table of that size, so neither a text nor a window is ever shuffled.
     """
     table_ = stage(windows(benchmark, size), "windows")
+    held = F.lit(96) + 24 * F.col("len") + F.aggregate("gram", F.lit(0), lambda n, w: n + F.octet_length(w)) + F.octet_length("item_id")
+    scans = max(1, -(-(table_.agg(F.sum(held)).first()[0] or 0) // BROADCAST_BYTES))
     mark = docs.sparkSession.sql("select '' as anchor, 0 as shift, 0 as len, cast(null as array<string>) as gram, cast(null as string) as item_id")
-    both = table_.unionByName(mark)
-    if table_.count() <= BROADCAST_WINDOWS:
-        both = F.broadcast(both)
     text = F.col("text").cast("string")
     spelled = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.concat(F.array(F.lit("")), words(F.col("text"))).alias("w"))
     each = spelled.select("doc_id", "text_hash", "w", F.posexplode_outer("w").alias("p", "word"))
     fits = "word = anchor and (len = 0 or (p > shift and p - shift + len <= size(w) and slice(w, greatest(p - shift + 1, 1), len) = gram))"
-    found = each.join(both, F.expr(fits)).select(
-        "doc_id", "text_hash", "item_id", (F.size("w") - 1).alias("n"), F.when(F.col("len") > 0, F.struct((F.col("p") - F.col("shift") - 1).alias("at"), "len")).alias("span")
-    )
+
+    def scan(k: int) -> DataFrame:
+        own = table_.where(F.pmod(F.xxhash64("anchor", "shift", "gram", "item_id"), F.lit(scans)) == k)
+        return each.join(F.broadcast(own if k else own.unionByName(mark)), F.expr(fits)).select(
+            "doc_id", "text_hash", "item_id", (F.size("w") - 1).alias("n"), F.when(F.col("len") > 0, F.struct((F.col("p") - F.col("shift") - 1).alias("at"), "len")).alias("span")
+        )
+
+    found = reduce(DataFrame.unionByName, (scan(k) for k in range(scans)))
     grouped = found.groupBy("doc_id", "text_hash").agg(
         F.max("n").cast("bigint").alias("n_words"),
         F.count_if(F.col("span").isNull()).alias("copies"),
@@ -75,7 +82,9 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Rows (doc_id, n_words, n_hit, n_items, items_sha256, contaminated), one per row of
-    docs; rows that repeat id and text get equal rows, null ids are kept."""
+    docs; rows that repeat id and text get equal rows, null ids are kept. Null and empty texts
+    have no words and are clean; an empty table gives an empty result, an empty benchmark no
+    hits; other columns are dropped, whatever their names. Texts of any length are read whole."""
     found = find_windows(docs, benchmark, size)
     return found.select(
         "doc_id",
@@ -90,7 +99,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, spans: bool = False) -> DataFrame:
     """`docs` without documents that hold a window or, with `spans`, without the hit
-    words (their place keeps the signs around them). All columns are kept."""
+    words (their place keeps the signs around them). All columns are kept, null texts and
+    null ids too; rows that repeat id and text share their fate; an empty table or benchmark
+    changes nothing."""
     found = find_windows(docs, benchmark, size).where("size(hit) > 0")
     if not spans:
         hits = stage(found.select("doc_id", "text_hash"), "hits")
