@@ -9,6 +9,7 @@ follow their slot without being hashed anew.
 from __future__ import annotations
 
 import heapq
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,9 +22,9 @@ ROW_BYTES = 16
 MAP_FIELDS = "version int, virtual_slot int, shard int, slot_bytes bigint"
 
 
-def virtual_slot(key: Column, slots: int = SLOTS) -> Column:
-    """Depends on the key alone; a null key has a slot too."""
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+def virtual_slot(*record: Column, slots: int = SLOTS) -> Column:
+    """Depends on the record alone; nulls have a slot too."""
+    return F.pmod(F.xxhash64(*record), F.lit(slots)).cast("int")
 
 
 def spread(slot_bytes: dict[int, int], shards: int, slots: int = SLOTS) -> dict[int, int]:
@@ -99,21 +100,22 @@ def shard_documents(
 
     The map is stored under `map_path` (a folder in the shared one by default); given
     the `previous` version's rows, it is edited instead of built. A null text has no
-    bytes and the checksum of the empty text; null ids share one virtual slot, as do
-    rows that repeat an id; equal texts under different ids do not, so no group of copies
-    gathers; an empty table gives an empty result; other columns are dropped.
+    bytes and the checksum of the empty text. A record's slot follows from its id, checksum and
+    size, and for rows that repeat all three from how often a task has met them, so neither
+    null ids nor rows that repeat an id or a text gather in a slot; an empty table gives an
+    empty result; other columns are dropped.
     """
     spark = docs.sparkSession
     text = F.col("text").cast("string")
-    records = stage(
-        docs.select(
-            "doc_id",
-            (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("bigint").alias("size"),
-            F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-            virtual_slot(F.col("doc_id"), slots).alias("virtual_slot"),
-        ),
-        "records",
+    plain = docs.select(
+        "doc_id",
+        (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("bigint").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.spark_partition_id().alias("task"),
     )
+    record = ["doc_id", "text_crc32", "size"]
+    met = F.row_number().over(Window.partitionBy(*record, "task").orderBy(F.lit(0)))
+    records = stage(plain.withColumn("copy", met - 1).withColumn("virtual_slot", virtual_slot(*map(F.col, record), F.col("copy"), slots=slots)).drop("task"), "records")
     per_slot = {r.virtual_slot: (r.b, r.n) for r in records.groupBy("virtual_slot").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()}
     slot_bytes = {k: v[0] for k, v in per_slot.items()}
     if previous is None:
@@ -121,14 +123,14 @@ def shard_documents(
     else:
         old = previous.select("virtual_slot", "shard", "version").collect()
         mapped, version = rebalance({r.virtual_slot: r.shard for r in old}, slot_bytes, shards), 1 + max(r.version for r in old)
-    path = map_path or f"{shared_dir(spark)}/slot-map-{spark.sparkContext.applicationId}-{id(records):x}"
+    path = map_path or f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}"
     save_map(spark, path, mapped, slot_bytes, version)
     first, before = [], dict.fromkeys(range(shards), 0)
     for k in range(slots):
         first.append((k, before[mapped[k]]))
         before[mapped[k]] += per_slot.get(k, (0, 0))[1]
     starts = load_map(spark, path, version).join(spark.createDataFrame(first, "virtual_slot int, first bigint"), "virtual_slot")
-    own = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    own = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "copy")
     return (
         records.withColumn("nth", F.row_number().over(own))
         .join(F.broadcast(starts.select("virtual_slot", "version", "shard", "first")), "virtual_slot")  # `slots` rows
