@@ -171,6 +171,37 @@ def test_vectors_of_a_hot_cone(spark):
     assert near.sum() >= 2 * 1000 and got == {i: (near[i].sum(), groups.find(i)) for i in range(len(x))}
 
 
+def test_passes_find_and_count_every_link(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((300, 24))
+    x = (base[rng.integers(0, 300, 3000)] + 0.2 * rng.standard_normal((3000, 24))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 1, 24) for i, v in enumerate(x)], "rep long, v array<float>, mult long, dim int")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    for bits in (0, 6):
+        found = embedding_dedup.links(df, bits).groupBy("rep").sum("n").collect()
+        assert near.sum() > 1000 and {r[0]: r[1] for r in found if r[1]} == {i: int(n) for i, n in enumerate(near.sum(1)) if n}
+    assert embedding_dedup.passes_for(0) == 1 and embedding_dedup.passes_for(8) > embedding_dedup.passes_for(4)
+
+
+def test_large_runs_meet_window_by_window(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "LEAST", 50)
+    x = hot_cone(700, 100)
+    df = spark.createDataFrame([(i, v.tolist(), 1, 64) for i, v in enumerate(x)], "rep long, v array<float>, mult long, dim int")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    found = {r[0]: r[1] for r in embedding_dedup.links(df, 2).groupBy("rep").sum("n").collect() if r[1]}
+    assert found == {i: int(n) for i, n in enumerate(near.sum(1)) if n}
+
+
+def test_vectors_in_double_precision(spark):
+    big = [(1, [1e300, 1.0]), (2, [2e300, 2.0]), (3, [1.0, 1e-12]), (4, [1.0, 0.0]), (5, [0.0, 1e-200])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.link_vectors(spark.createDataFrame(big, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5)}
+
+
 CAPTURES = "record_id long, url string, captured long, kind string, etag string, last_modified string, headers map<string,string>, digest string, outcome int"
 
 

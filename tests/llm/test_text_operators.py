@@ -52,6 +52,65 @@ def test_spelled_out_addresses_of_any_case(spark):
     assert {r.doc_id: len(r.c_email) for r in rows} == {1: 1, 2: 1, 3: 0}
 
 
+def test_every_match_passes_its_filter():
+    """A generator is run only on texts with what its matches have."""
+    import re
+
+    r = random.Random(11)
+    parts = ["jane", "JANE", " ", "(at)", "[AT]", " at ", "@", " dot ", "{dot}", ".", "mail", "12", "4", "4111", "-", "/", ":", "::", "ab", "00", "+", "(", ")", "token", "=", '"', "0" * 33, "AKIA" + "B" * 16]
+    seen = {}
+    for _ in range(30000):
+        t = "".join(r.choice(parts) for _ in range(r.randint(1, 16)))
+        for kind, some in pii.PROPOSED.items():
+            for k, (pattern, needs, first) in enumerate(some):
+                if kind == "secret" and k == 0:  # a look behind of varying length, which Python lacks
+                    continue
+                if re.search(pattern, t):
+                    seen[kind, k] = seen.get((kind, k), 0) + 1
+                    assert re.search(needs, t) and (not first or any(x in t for x in first)), (kind, k, t)
+    assert {k for k, _ in seen} == set(pii.PROPOSED)
+
+
+def test_many_candidates_and_overlaps(spark):
+    phones = " ".join(f"212-555-{k:04d}" for k in range(6000))
+    keyed = 'token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce" and commit b44e15e09fd311c3cf3163b66d5a9875b883d8ce'
+    docs = [(1, phones), (2, "call " + "x@y.co " * 3000), (3, keyed), (4, "mail jane (at) mail (dot) com. then we left"), (5, "card 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 x")]
+    got = {r.doc_id: r for r in pii.redact(spark.createDataFrame(docs, DOCS)).collect()}
+    assert "x@y.co" not in got[2].text and got[2].text.count("[REDACTED]") == 3000
+    assert got[3].text == 'token = "[REDACTED]" and commit b44e15e09fd311c3cf3163b66d5a9875b883d8ce'
+    assert got[4].text == "mail [REDACTED]. then we left" and "4 1 1" not in got[5].text
+    spans = spark.createDataFrame(docs, DOCS).transform(pii.find_personal_data).collect()
+    for r in spans:
+        ends = sorted((c.s, c.e) for c in r.cuts)
+        assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def brute_sweep(base, scored):
+    """The sweep's rule on sorted spans, plainly."""
+    out, last, wall = [], None, 0
+    for s, late, e, p in sorted([(s, 0, e, 0.0) for s, e in base] + [(s, 1, e, p) for s, e, p in scored]):
+        meets = last is not None and s < last[1]
+        if late == 0:
+            last, wall = None if meets else last, max(wall, e)
+        elif s >= wall and not meets:
+            out += [last] if last else []
+            last = (s, e, p)
+        elif s >= wall and p > last[2]:
+            last = (s, e, p)
+    return out + ([last] if last else [])
+
+
+def test_sweep_against_its_rule(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    span = lambda: (s := r.randrange(3000), s + r.randint(1, 12))
+    rows = [(i, [span() for _ in range(r.choice([0, 3, 300]))], [(*span(), round(r.random(), 3), 0) for _ in range(r.choice([0, 1, 9, 700]))]) for i in range(40)]
+    df = spark.createDataFrame(rows, "i int, b array<struct<s:int,e:int>>, c array<struct<s:int,e:int,p:double,k:int>>")
+    for x in df.select("i", pii.swept(F.col("b"), F.col("c")).alias("got")).collect():
+        assert [(y.s, y.e, y.p) for y in x.got] == brute_sweep(rows[x.i][1], [c[:3] for c in rows[x.i][2]])
+
+
 # -- tokens
 
 
@@ -209,6 +268,36 @@ def test_importance_resampling(spark):
     assert quality.resample(docs, labels, keep=100).where("kept").count() == 100
 
 
+def test_weights_and_keys_against_brute_force(spark):
+    """Mean log ratios of bucket counts, and Gumbel noise that makes keys draw like weights."""
+    import math
+    import zlib
+    from collections import Counter
+
+    r = random.Random(12)
+    rows = [(i, " ".join(r.choice(["the", "sun", "rose", "NOW", "buy!!", "x1", "x1 x1"]) for _ in range(r.randint(0, 30)))) for i in range(200)] + [(None, "sun"), (300, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    good = [i for i, _ in rows if i is not None and i % 2 == 0]
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+
+    def grams(t):
+        h = [zlib.crc32(("\x01CAPS" if len(w) > 1 and w.isupper() else w).encode()) for w in quality.WORDS.findall(t or "")]
+        pairs = [quality.REPEAT if a == b else (a * 1_000_003 + b * 8_191 + 7) % 2_147_483_647 for a, b in zip(h, h[1:], strict=False)]
+        return [x % quality.BUCKETS for x in h + pairs]
+
+    target_ids = {x.doc_id for x in quality.sampled_labels(labels, 1, quality.TARGET_ROWS).collect()}
+    raw, target = Counter(g for _, t in rows for g in grams(t)), Counter(g for i, t in rows if i in target_ids for g in grams(t))
+    smooth = lambda c, g: math.log((c[g] + quality.SMOOTHING) / (sum(c.values()) + quality.SMOOTHING * quality.BUCKETS))
+    want = {i: sum(smooth(target, g) - smooth(raw, g) for g in grams(t)) / (len(grams(t)) + quality.PRIOR) for i, t in rows}
+    got = quality.resample(docs, labels, keep=50).collect()
+    assert all(abs(x.log_weight - want[x.doc_id]) < 1e-9 for x in got)
+    noise = np.array([x.key - x.log_weight / quality.TEMPERATURE for x in got])
+    assert sorted((x.key for x in got if x.kept), reverse=True) == sorted((x.key for x in got), reverse=True)[:50]
+    assert abs(noise.mean() - np.euler_gamma) < 0.4 and abs(noise.std() - math.pi / math.sqrt(6)) < 0.4
+    again = quality.resample(docs.repartition(7), labels, keep=50).collect()
+    assert {(x.doc_id, x.key) for x in again} == {(x.doc_id, x.key) for x in got}
+
+
 def test_cut_does_not_follow_a_hot_id(spark):
     ids = range(40)
     labels = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
@@ -247,9 +336,28 @@ def test_contamination_against_brute_force(spark):
     assert decontamination.contamination(df, b.limit(0)).where("contaminated").count() == 0 and decontamination.contamination(df.limit(0), b).count() == 0
 
 
+def test_contamination_in_several_scans(spark, monkeypatch):
+    r = random.Random(9)
+    line = lambda n: " ".join(r.choice("abcdefghij") for _ in range(n))
+    b = spark.createDataFrame([(i, line(14)) for i in range(60)], "item_id long, text string")
+    hot = b.first().text
+    df = spark.createDataFrame([(i, line(30) + " " + (hot if i % 3 == 0 else line(5))) for i in range(90)] + [(None, hot), (200, None)], DOCS)
+    whole = sorted(map(str, decontamination.contamination(df, b).collect()))
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 20_000)
+    assert sorted(map(str, decontamination.contamination(df, b).collect())) == whole and sum("contaminated=True" in x for x in whole) >= 31
+
+
 # -- sharding
 
 
+def test_hot_ids_and_copies_are_dealt_out(spark):
+    rows = [(None, f"text {k % 500}") for k in range(3000)] + [(7, "the same row")] * 3000 + [(k, "x" * (k % 50)) for k in range(3000)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, DOCS).repartition(4)).toPandas()
+    held = got.groupby("shard")["size"].sum()
+    assert len(got) == len(rows) and len(held) == 40 and held.max() - held.min() < 0.05 * held.mean()
+    assert all(sorted(x.slot) == list(range(len(x))) for _, x in got.groupby("shard"))
+
+
 def test_shards(spark, tmp_path):
     r = random.Random(1)
     docs = [(i, "é" * r.randint(0, 200)) for i in range(3000)] + [(-1, None), (-2, ""), (None, "n")]
