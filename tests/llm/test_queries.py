@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lakeward.llm import common, packing, quality, registry, sharding, toxicity
+from lakeward.llm import common, embedding_dedup, packing, quality, registry, sharding, toxicity
 
 from . import brute
 
@@ -113,6 +113,22 @@ def test_op7(spark):
     assert got == {int(i): (int(n), groups.find(int(i)), groups.find(int(i)) == i) for i, n in zip(ids, near.sum(1), strict=True)}
 
 
+def test_long_inputs_and_clashing_columns(spark):
+    """Very long texts and vectors, and columns named like the results."""
+    long = "the words go on and on " * 40_000
+    rows = [(1, long, 0.5, "x", True, "k", 1), (2, long + "end", 0.5, "x", True, "k", 1), (3, None, None, None, None, None, None), (3, "short", 1.0, "y", False, "z", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, law string, held_out boolean, key string, virtual_slot int")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    scored = toxicity.score_toxicity(docs, toxicity.train(["you snerkel " * 9] * 20, ["fine day"] * 20)).collect()
+    assert len(scored) == 4 and abs(scored[0].score - scored[1].score) < 0.05 and all(0 <= r.score <= 1 for r in scored)
+    assert quality.resample(docs, labels).count() == 4 and quality.keep_good(docs, labels).columns == docs.columns
+    cut = sharding.shard_documents(docs).collect()
+    assert sorted(r["size"] for r in cut) == sorted([16, 21, len(long) + 16, len(long) + 19]) and {r.law for r in cut} == {"bytes"}
+    vectors = [(1, [float(k % 7) for k in range(20_000)], 9), (2, [float(k % 7) + 1e-9 for k in range(20_000)], 9), (3, [1.0] * 20_000 + [5.0], 9)]
+    got = embedding_dedup.link_vectors(spark.createDataFrame(vectors, "vec_id long, embedding array<double>, n_links int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+
+
 def test_op9(spark, texts):
     got = result(spark, "op9_sharding").toPandas()
     assert len(got) == len(texts) and set(got.law) == {"bytes"} and set(got.shard) <= set(range(sharding.SHARDS))
