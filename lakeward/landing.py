@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.catalog import Tables, query
-from lakeward.operators import identity, merge, staff
+from lakeward.functions.expressions import kickoff
+from lakeward.operators import identity, merge, retype, staff
 from lakeward.plans import build, runner
 from lakeward.sources import registry, snapshot
 from lakeward.sources.pages import Wiki, load_staff
+from lakeward.streaming.incremental import upsert_stream
 
 NOW = dt.datetime(2024, 6, 1, 12)
 
@@ -181,3 +183,85 @@ def upsert_partitions(t: Tables) -> DataFrame:
     if {k for k, f in table.parts().items() if f != before.get(k)} - {"1996"}:
         raise AssertionError("an untouched partition was written")
     return table.read()
+
+
+# -- smaller pieces of loading
+
+
+@query("kickoffs", "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(CAST(10 + o_orderkey % 12 AS INTEGER)) AS kickoff FROM orders")
+def kickoffs(t: Tables) -> DataFrame:
+    clock = F.concat((F.lit(10) + F.col("o_orderkey") % 12).cast("string"), F.lit(":00"))
+    return t.orders.select("o_orderkey", kickoff(F.col("o_orderdate").cast("date"), clock).alias("kickoff"))
+
+
+@query(
+    "typed_times",
+    "SELECT event_id, CAST(ts AS DATE) AS day, date_trunc('second', ts) AS ts, strftime(ts, '%H:%M') AS clock, event_id % 2 = 0 AS even, CAST(round_even(value, 0) AS INTEGER) AS value FROM events",
+)
+def typed_times(t: Tables) -> DataFrame:
+    """Dates, timestamps and clock times that arrived as text, and a number to be rounded."""
+    text = t.events.select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), F.date_format("ts", "HH:mm").alias("clock"),
+        F.when(F.col("event_id") % 2 == 0, 1.0).otherwise(0.0).alias("even"), "value",
+    )
+    return retype.typed_copy(text, {"day": "date", "ts": "timestamp_ntz", "clock": "string", "even": "boolean", "value": "int"})
+
+
+@query("week_days", """SELECT DISTINCT season, team, week, day FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS season, concat('T', unnest([c_nationkey, (c_nationkey + 1) % 25])) AS team,
+    CAST(o_orderkey AS INTEGER) AS week, CAST(o_orderdate AS DATE) AS day FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 4 <> 0)""")
+def week_days(t: Tables) -> DataFrame:
+    games = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).selectExpr(
+        "CAST(year(o_orderdate) AS INT) AS season", "concat('T', c_nationkey) AS home_team", "concat('T', (c_nationkey + 1) % 25) AS away_team", "CAST(o_orderkey AS INT) AS week",
+        "CAST(o_orderdate AS DATE) AS gameday", "CASE WHEN o_orderkey % 4 = 0 THEN 'WC' ELSE 'REG' END AS game_type",
+    )
+    return staff.week_days(games)
+
+
+@query(
+    "overrides_applied",
+    """WITH p AS (SELECT CAST(2000 + n_regionkey AS INTEGER) AS season, concat('T', n_nationkey) AS team, 'r' || CAST(n_nationkey % 2 AS VARCHAR) AS role, n_name AS person FROM nation WHERE n_regionkey < 4)
+    SELECT season, team, role, person, CAST(NULL AS VARCHAR) AS flags FROM p WHERE team <> 'T1' UNION ALL SELECT season, team, role, 'By Hand', 'override' FROM p WHERE team = 'T1'""",
+)
+def overrides_applied(t: Tables) -> DataFrame:
+    """A hand-kept file replaces one key; its rows of seasons that were not parsed are left out."""
+    path = f"{build.scratch(t.spark)}/overrides"
+    own = t.nation.selectExpr("CAST(2000 + n_regionkey AS INT) AS season", "concat('T', n_nationkey) AS team", "concat('r', n_nationkey % 2) AS role", "n_name AS person", "CAST(NULL AS STRING) AS flags")
+    own.where("team = 'T1' or season = 2004").selectExpr("season", "team", "role", "'By Hand' AS person").coalesce(1).write.csv(path, header=True)
+    by_hand = registry.overrides(t.spark, path, "season int, team string, role string, person string, flags string")
+    return staff.with_overrides(own.where("season < 2004"), by_hand)
+
+
+@query("seeded", "SELECT n_nationkey AS source_value, n_name AS canonical_value, CAST(n_regionkey + 1990 AS SMALLINT) AS valid_from, NULL AS note FROM nation")
+def seeded(t: Tables) -> DataFrame:
+    """A seed with declared types."""
+    path = f"{build.scratch(t.spark)}/seed"
+    t.nation.selectExpr("n_nationkey", "n_name", "n_regionkey + 1990", "''").write.csv(path, header=True)
+    return registry.seed(t.spark, path, "source_value int, canonical_value string, valid_from smallint, note string")
+
+
+@query("spellings_with_condition", "SELECT c_mktsegment AS alias FROM customer WHERE c_acctbal < 0 UNION SELECT n_name FROM nation UNION SELECT CAST(s_nationkey AS VARCHAR) FROM supplier WHERE s_acctbal > 5000")
+def spellings_with_condition(t: Tables) -> DataFrame:
+    return identity.spellings_of([(t.customer, "c_mktsegment", "c_acctbal < 0"), (t.nation, "n_name", None), (t.supplier, "s_nationkey", "s_acctbal > 5000")])
+
+
+@query("fetched_season", "SELECT o_orderkey, o_orderstatus, CAST(1997 AS BIGINT) AS season, TIMESTAMP '2024-06-01 12:00:00' AS _loaded_at FROM orders WHERE year(o_orderdate) = 1997")
+def fetched_season(t: Tables) -> DataFrame:
+    """One season of a file that holds several, as it lands."""
+    path = f"{build.scratch(t.spark)}/all"
+    t.orders.select(F.col("o_orderkey").alias("O_ORDERKEY"), F.col("o_orderstatus"), F.year("o_orderdate").cast("bigint").alias("season")).write.parquet(path)
+    games = registry.Dataset("games", "games", "lakeward.sources.registry.parquet", options={"path": path})
+    return registry.landed(registry.fetch(t.spark, games, 1997), games, 1997, NOW)
+
+
+@query("stream_upserted", "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 2 DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def stream_upserted(t: Tables) -> DataFrame:
+    """Events that arrive in two parts, the even ids first, upserted by a stream that reads what has
+    come and ends: a part's latest row of a key replaces that of the part before."""
+    root = build.scratch(t.spark)
+    rows = t.events.select("user_id", "event_type", "event_id", "value")
+    table = snapshot.Table(t.spark, f"{root}/table", "event_type")
+    for part in (0, 1):
+        rows.where(F.col("event_id") % 2 == part).coalesce(1).write.mode("append").parquet(f"{root}/source")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/source")
+        upsert_stream(stream, table, ["user_id", "event_type"], [F.desc("event_id")], f"{root}/checkpoint")
+    return table.read()

@@ -97,10 +97,10 @@ class League:
 
 # -- identities
 
-TEAM_IDS_SQL = f"""(WITH m AS (SELECT * FROM {MAPPINGS_SQL} WHERE domain = 'team_abbr'),
-  c AS (SELECT DISTINCT coalesce(canonical_value, home_team) AS name FROM {GAMES_SQL} LEFT JOIN m ON source_value = home_team WHERE season = (SELECT max(season) FROM {GAMES_SQL})),
-  s AS (SELECT name AS alias, name, 'canonical' AS source FROM c UNION ALL SELECT source_value, canonical_value, 'reference_mappings' FROM m WHERE canonical_value IN (SELECT name FROM c))
-  SELECT alias, CAST(team_id AS INTEGER) AS id, name, source FROM s JOIN {TEAMS_SQL} ON team_abbr = name)"""
+TEAM_IDS_SQL = f"""(WITH m AS (SELECT * FROM {MAPPINGS_SQL} WHERE domain = 'team_abbr'), latest AS (SELECT home_team FROM {GAMES_SQL} QUALIFY season = max(season) OVER ()),
+  names AS (SELECT DISTINCT ifnull(canonical_value, home_team) AS name FROM latest LEFT JOIN m ON home_team = source_value),
+  spelled AS (SELECT name, unnest(list_append(list(source_value) FILTER (source_value IS NOT NULL), name)) AS alias FROM names LEFT JOIN m ON canonical_value = name GROUP BY name)
+  SELECT alias, CAST(team_id AS INTEGER) AS id, name, if(alias = name, 'canonical', 'reference_mappings') AS source FROM spelled JOIN {TEAMS_SQL} ON team_abbr = name)"""
 
 
 @query("team_identities", TEAM_IDS_SQL)
@@ -178,14 +178,13 @@ def team_dimension(t: Tables) -> DataFrame:
 
 GAME_IDS_SQL = f"""(WITH d AS (SELECT game_id AS alias, game_id AS name FROM {GAMES_SQL} UNION ALL SELECT espn, game_id FROM {GAMES_SQL}), i AS (SELECT name, CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS id FROM (SELECT DISTINCT name FROM d))
   SELECT alias, id, name, CASE WHEN alias = name THEN 'canonical' ELSE 'alias' END AS source FROM d JOIN i USING (name))"""
-FACT_SQL = f"""(SELECT gi.id AS game_id, g.season, g.game_type, g.week, g.gameday, g.gametime, g.away_score, g.home_score, g.result, g.total, g.overtime, g.div_game, g.spread_line, g.total_line, g.roof,
-  CAST(g.espn AS INTEGER) AS espn_id, nullif(trim(g.surface), '') AS surface,
-  CASE WHEN gametime IS NULL THEN NULL WHEN CAST(left(gametime, 2) AS INTEGER) - 1 < 12 THEN 'morning' WHEN CAST(left(gametime, 2) AS INTEGER) - 1 < 14 THEN 'noon' WHEN CAST(left(gametime, 2) AS INTEGER) - 1 < 17 THEN 'afternoon' ELSE 'night' END AS time_of_day,
-  a.id AS away_team_id, h.id AS home_team_id, CASE WHEN result > 0 THEN h.id WHEN result < 0 THEN a.id END AS winning_team_id, CASE WHEN result > 0 THEN 'home' WHEN result < 0 THEN 'away' END AS winning_team_location,
-  CASE WHEN result > 0 THEN a.id WHEN result < 0 THEN h.id END AS losing_team_id, CASE WHEN result > 0 THEN 'away' WHEN result < 0 THEN 'home' END AS losing_team_location,
-  ac.id AS away_coach_id, hc.id AS home_coach_id, r.id AS referee_id, p.id AS stadium_id
-  FROM {GAMES_SQL} g JOIN {GAME_IDS_SQL} gi ON gi.alias = g.game_id AND gi.source = 'canonical' JOIN {TEAM_IDS_SQL} a ON a.alias = g.away_team JOIN {TEAM_IDS_SQL} h ON h.alias = g.home_team
-  LEFT JOIN {COACH_IDS_SQL} ac ON ac.alias = g.away_coach LEFT JOIN {COACH_IDS_SQL} hc ON hc.alias = g.home_coach LEFT JOIN {REFEREE_IDS_SQL} r ON r.alias = g.referee LEFT JOIN {PLACE_IDS_SQL} p ON p.alias = g.stadium_id)"""
+PARTS_SQL = "(SELECT * FROM (VALUES ('morning', 0, 11), ('noon', 12, 13), ('afternoon', 14, 16), ('night', 17, 23)) AS p(part, low, high))"
+FACT_SQL = f"""(SELECT gi.id AS game_id, g.* EXCLUDE (game_id, home_team, away_team, home_coach, away_coach, referee, stadium_id, stadium, surface, espn), g.espn::INTEGER AS espn_id, nullif(trim(g.surface), '') AS surface,
+  part AS time_of_day, away.id AS away_team_id, home.id AS home_team_id, [away.id, NULL, home.id][sign(result) + 2] AS winning_team_id, ['away', NULL, 'home'][sign(result) + 2] AS winning_team_location,
+  [home.id, NULL, away.id][sign(result) + 2] AS losing_team_id, ['home', NULL, 'away'][sign(result) + 2] AS losing_team_location, ac.id AS away_coach_id, hc.id AS home_coach_id, r.id AS referee_id, p.id AS stadium_id
+  FROM {GAMES_SQL} g JOIN {GAME_IDS_SQL} gi ON gi.alias = g.game_id AND gi.source = 'canonical' JOIN {TEAM_IDS_SQL} home ON home.alias = g.home_team JOIN {TEAM_IDS_SQL} away ON away.alias = g.away_team
+  LEFT JOIN {PARTS_SQL} ON g.gametime[:2]::INTEGER - 1 BETWEEN low AND high LEFT JOIN {COACH_IDS_SQL} hc ON hc.alias = g.home_coach LEFT JOIN {COACH_IDS_SQL} ac ON ac.alias = g.away_coach
+  LEFT JOIN {REFEREE_IDS_SQL} r ON r.alias = g.referee LEFT JOIN {PLACE_IDS_SQL} p ON p.alias = g.stadium_id)"""
 
 
 def _fact(t: Tables) -> DataFrame:
@@ -221,28 +220,28 @@ def schedules_changed(t: Tables) -> DataFrame:
 
 SIDES_SQL = f"""(SELECT season, i.id AS team_id, coach, gameday AS day, played FROM (SELECT season, home_team AS team, home_coach AS coach, gameday, home_score IS NOT NULL AS played FROM {GAMES_SQL}
   UNION ALL SELECT season, away_team, away_coach, gameday, home_score IS NOT NULL FROM {GAMES_SQL}) JOIN {TEAM_IDS_SQL} i ON i.alias = team)"""
-TENURES_SQL = f"""(WITH sides AS MATERIALIZED (SELECT * FROM {SIDES_SQL}), ci AS MATERIALIZED (SELECT * FROM {COACH_IDS_SQL}), ti AS MATERIALIZED (SELECT * FROM {TEAM_IDS_SQL}),
-  ro AS (SELECT source_value AS role, role_id FROM {MAPPINGS_SQL} m JOIN {_values(ROLES, 'role_id, name')} r ON r.name = canonical_value WHERE domain = 'coach_role'),
-  st AS MATERIALIZED (SELECT s.season, ti.id AS team_id, ci.id AS coach_id, s.role, CAST(role_id AS SMALLINT) AS role_id, is_interim, start_date, end_date FROM {STAFF_SQL} s JOIN ci ON ci.alias = s.coach JOIN ti ON ti.alias = s.team JOIN ro ON ro.role = s.role),
-  cal AS (SELECT season, team_id, CAST(coalesce(lag(l) OVER (PARTITION BY team_id ORDER BY season) + 1, f) AS DATE) AS first_day, l AS last_day FROM (SELECT season, team_id, min(day) AS f, max(day) AS l FROM sides GROUP BY ALL)),
-  per AS (SELECT s.season, s.team_id, s.coach, s.day, ci.id AS coach_id FROM sides s JOIN ci ON ci.alias = s.coach WHERE played),
-  h AS (SELECT season, team_id, coach_id, min(day) AS first_at, max(day) AS last_at FROM per GROUP BY ALL),
-  hc AS (SELECT h.season, h.team_id, h.coach_id, CAST(1 AS SMALLINT) AS role_id, coalesce(w.is_interim, false) AS is_interim, w.start_date IS NOT NULL AS explicit_start, coalesce(w.start_date, first_day) AS start_date,
-    CASE WHEN w.start_date IS NOT NULL THEN 'coaching_staff' ELSE 'schedules' END AS start_source, w.end_date IS NOT NULL AS explicit_end, coalesce(w.end_date, last_day) AS end_date, CASE WHEN w.end_date IS NOT NULL THEN 'coaching_staff' ELSE 'schedules' END AS end_source
-    FROM h JOIN cal USING (season, team_id) LEFT JOIN st w ON w.season = h.season AND w.team_id = h.team_id AND w.coach_id = h.coach_id AND w.role = 'head_coach'),
-  u AS (SELECT season, team_id, role_id, bool_or(is_interim AND start_date IS NULL) AS unclear FROM st WHERE role <> 'head_coach' GROUP BY ALL),
-  co AS (SELECT s.season, s.team_id, s.coach_id, s.role_id, s.is_interim, s.start_date IS NOT NULL OR s.is_interim AS explicit_start, CASE WHEN s.start_date IS NOT NULL THEN s.start_date WHEN s.is_interim THEN NULL ELSE first_day END AS start_date,
-    CASE WHEN s.start_date IS NOT NULL THEN 'coaching_staff' WHEN s.is_interim THEN NULL ELSE 'schedules' END AS start_source, s.end_date IS NOT NULL OR (unclear AND NOT s.is_interim) AS explicit_end,
-    CASE WHEN s.end_date IS NOT NULL THEN s.end_date WHEN unclear AND NOT s.is_interim THEN NULL ELSE last_day END AS end_date, CASE WHEN s.end_date IS NOT NULL THEN 'coaching_staff' WHEN unclear AND NOT s.is_interim THEN NULL ELSE 'schedules' END AS end_source
-    FROM st s JOIN cal USING (season, team_id) JOIN u USING (season, team_id, role_id) WHERE s.role <> 'head_coach'),
-  a AS (SELECT * FROM hc UNION ALL SELECT * FROM co),
-  q AS (SELECT *, lag(season) OVER w AS prev, lag(explicit_end) OVER w AS ended FROM a WINDOW w AS (PARTITION BY coach_id, team_id, role_id, is_interim ORDER BY season, start_date NULLS FIRST)),
-  n AS (SELECT *, sum(CASE WHEN prev IS NULL OR prev <> season - 1 OR ended OR explicit_start THEN 1 ELSE 0 END) OVER (PARTITION BY coach_id, team_id, role_id, is_interim ORDER BY season, start_date NULLS FIRST ROWS UNBOUNDED PRECEDING) AS no FROM q),
-  b AS (SELECT *, min(season) OVER t AS first_season, max(season) OVER t AS last_season FROM n WINDOW t AS (PARTITION BY coach_id, team_id, role_id, is_interim, no)),
-  l AS (SELECT greatest((SELECT max(season) FROM {STAFF_SQL}), (SELECT max(season) FROM sides WHERE played)) AS latest),
-  g AS (SELECT coach_id, team_id, role_id, is_interim, first_season, last_season, (array_agg(start_date ORDER BY season))[1] AS start_date, (array_agg(start_source ORDER BY season))[1] AS start_source,
-    (array_agg(end_date ORDER BY season DESC))[1] AS e, (array_agg(end_source ORDER BY season DESC))[1] AS src, bool_or(explicit_end AND season = last_season) AS closed FROM b GROUP BY coach_id, team_id, role_id, is_interim, no, first_season, last_season)
-  SELECT coach_id, team_id, role_id, is_interim, first_season, last_season, start_date, start_source, CASE WHEN last_season = latest AND NOT closed THEN NULL ELSE e END AS end_date, CASE WHEN last_season = latest AND NOT closed THEN 'ongoing' ELSE src END AS end_source FROM g, l)"""
+#: In this league a coach leads a team for whole seasons, and a person has one row a season and
+#: role, so tenures can be told without counting runs: each begins with a row that no open row of the
+#: year before precedes, and lasts until the next that does.
+TENURES_SQL = f"""(WITH sides AS MATERIALIZED (SELECT * FROM {SIDES_SQL}), people AS MATERIALIZED (SELECT * FROM {COACH_IDS_SQL}), clubs AS MATERIALIZED (SELECT * FROM {TEAM_IDS_SQL}),
+  jobs AS (SELECT source_value AS role, role_id::SMALLINT AS role_id FROM {MAPPINGS_SQL} JOIN {_values(ROLES, 'role_id, title')} ON title = canonical_value WHERE domain = 'coach_role'),
+  years AS (SELECT team_id, season, min(day) AS first_game, max(day) AS last_game FROM sides GROUP BY ALL),
+  span AS (SELECT y.team_id, y.season, ifnull((SELECT max(z.last_game) + 1 FROM years z WHERE z.team_id = y.team_id AND z.season < y.season), first_game)::DATE AS opens, last_game AS closes FROM years y),
+  lists AS MATERIALIZED (SELECT l.season, c.id AS team_id, p.id AS coach_id, l.role, role_id, is_interim, start_date AS began, end_date AS ended FROM {STAFF_SQL} l JOIN people p ON p.alias = l.coach JOIN clubs c ON c.alias = l.team JOIN jobs USING (role)),
+  led AS (SELECT DISTINCT season, team_id, p.id AS coach_id FROM sides JOIN people p ON p.alias = coach WHERE played),
+  vague AS (SELECT DISTINCT season, team_id, role_id FROM lists WHERE is_interim AND began IS NULL),
+  facts AS (
+    SELECT season, team_id, coach_id, 1::SMALLINT AS role_id, ifnull(is_interim, false) AS is_interim, began, ended, false AS no_start, false AS no_end FROM led LEFT JOIN (SELECT * FROM lists WHERE role = 'head_coach') USING (season, team_id, coach_id)
+    UNION ALL SELECT l.season, l.team_id, coach_id, l.role_id, is_interim, began, ended, is_interim AND began IS NULL, NOT is_interim AND ended IS NULL AND v.role_id IS NOT NULL FROM lists l LEFT JOIN vague v USING (season, team_id, role_id) WHERE role <> 'head_coach'),
+  dated AS (SELECT f.*, f.began IS NOT NULL OR no_start AS opened, f.ended IS NOT NULL OR no_end AS shut, if(no_start, NULL, ifnull(began, opens)) AS day_in, if(no_end, NULL, ifnull(f.ended, closes)) AS day_out,
+    if(no_start, NULL, if(began IS NULL, 'schedules', 'coaching_staff')) AS src_in, if(no_end, NULL, if(f.ended IS NULL, 'schedules', 'coaching_staff')) AS src_out FROM facts f JOIN span USING (season, team_id)),
+  begun AS (SELECT d.*, opened OR NOT EXISTS (SELECT 1 FROM dated b WHERE (b.coach_id, b.team_id, b.role_id, b.is_interim, b.season) = (d.coach_id, d.team_id, d.role_id, d.is_interim, d.season - 1) AND NOT b.shut) AS fresh FROM dated d),
+  told AS (SELECT *, max(if(fresh, season, NULL)) OVER (PARTITION BY coach_id, team_id, role_id, is_interim ORDER BY season) AS first_season FROM begun),
+  ends AS (SELECT coach_id, team_id, role_id, is_interim, first_season, max(season) AS last_season FROM told GROUP BY ALL),
+  now AS (SELECT max(season) AS season FROM (SELECT season FROM {STAFF_SQL} UNION ALL SELECT season FROM sides WHERE played))
+  SELECT e.*, a.day_in AS start_date, a.src_in AS start_source, if(last_season = now.season AND NOT z.shut, NULL, z.day_out) AS end_date, if(last_season = now.season AND NOT z.shut, 'ongoing', z.src_out) AS end_source FROM ends e, now
+  JOIN told a ON (a.coach_id, a.team_id, a.role_id, a.is_interim, a.season) = (e.coach_id, e.team_id, e.role_id, e.is_interim, e.first_season)
+  JOIN told z ON (z.coach_id, z.team_id, z.role_id, z.is_interim, z.season) = (e.coach_id, e.team_id, e.role_id, e.is_interim, e.last_season))"""
 
 
 def _tenures(t: Tables) -> DataFrame:
