@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that go to a Python worker at once while a table is written; texts are long.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -31,14 +31,15 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Write `df` to the shared folder and read it back: later reads survive
-    lost executors, and the lineage before it is cut."""
+    lost executors, and the lineage before it is cut. Python workers get at most
+    `batch_rows` rows at once, which bounds their memory and changes no result."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(rows)
-    spark.conf.set(rows, str(min(int(before), BATCH_ROWS)))
+    spark.conf.set(rows, str(min(int(before), batch_rows)))
     try:
         df.write.parquet(path)
     finally:

@@ -32,6 +32,8 @@ EXCESS, ROOTS = 48, 8
 CLASSES, LARGE = 32, 8000
 #: Longs of the parity bitmap that every set has, and of a wider one for sets above a size.
 NARROW, WIDE = 16, ((8000, 256), (1000, 64))
+#: Pairs that are verified at once; each holds two whole sets.
+PAIRS_AT_ONCE = 32
 #: Steps of the order of tokens by their buckets' counts.
 LEVELS = 256
 
@@ -268,7 +270,7 @@ def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
 
     first = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    out = stage(pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links")
+    out = stage(pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "links", PAIRS_AT_ONCE)
     unstage(sets)
     return out
 
@@ -304,13 +306,14 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     quick, slow = room(percent)
     # each list's members with the one that meets the most others
     lot = F.struct((-F.col("weight")).alias("w"), F.col("rep").alias("b"))
-    pivots = listed.join(info.groupBy("rep").agg(F.max("weight").alias("weight")), "rep").groupBy("s").agg(F.min(lot).alias("p")).select("s", "p.b")
+    # (what is counted per list is written first: a join of two tables can be split where one list is long)
+    pivots = stage(listed.join(info.groupBy("rep").agg(F.max("weight").alias("weight")), "rep").groupBy("s").agg(F.min(lot).alias("p")).select("s", "p.b"), "pivots")
     met = listed.join(pivots, "s").where("rep <> b").select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
     likely = stage(met.join(side(info, "a"), "a").join(side(info, "b"), "b").where(f"{quick} and {slow}").select("a", "b").distinct(), "pairs")
     linked = components(verify(likely, docs, width, percent).unionByName(same))
     # what is left, list by list
     placed = listed.join(linked, F.col("rep") == F.col("node"), "left").select("s", "rep", F.coalesce("root", "rep").alias("root"))
-    mixed = placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c")).where("low < high and c > 2")
+    mixed = stage(placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("c")).where("low < high and c > 2"), "mixed")
     open_ = stage(placed.join(mixed.select("s"), "s").join(info, "rep").select("s", "root", "rep", "n", "narrow", "wide"), "open")
     x, y = side(open_, "a", "s", "root").withColumnRenamed("s_a", "s"), side(open_, "b", "s", "root").withColumnRenamed("s_b", "s")
     pairs = x.join(y, "s").where(f"root_a < root_b and {quick} and {slow}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -319,7 +322,7 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     if rest.head(1):
         links = verify(rest, docs, width, percent).unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
         linked = components(links)
-    unstage(copies, same, shared, listed, info, likely, open_, rest)
+    unstage(copies, same, shared, listed, info, pivots, likely, mixed, open_, rest)
     return (
         rows.select("doc_id", F.col("n").alias("n_shingles"), "sig", "n")
         .join(groups, ["sig", "n"], "left")
