@@ -29,7 +29,7 @@ LIMIT = 512
 #: Units longer than this are counted but not remembered.
 LONG_UNIT = 64
 #: Remembered units per Python worker; the memory is emptied when it is full.
-REMEMBERED = 600_000
+REMEMBERED = 120_000
 #: The state after this many bytes of a piece is remembered apart.
 HEAD = 5
 
