@@ -7,7 +7,8 @@ merged into the stored ones.
 
 The as-of join is a sorted scan: records are range-partitioned by URL and time, so one
 URL's captures spread over as many partitions as they fill; the last response of each
-partition is carried to the next, and payloads stay where they are.
+partition is carried to the next. Records are shuffled twice, once to be ordered and once for
+the window inside a partition and URL.
 """
 
 from __future__ import annotations
