@@ -133,17 +133,12 @@ def bits_for(nodes: DataFrame) -> int:
     keyed = with_keys(nodes, TRIALS, BITS).select("dim", F.posexplode("keys").alias("p", "key"))
     runs = stage(keyed.groupBy("dim", "p", "key").agg(F.count("*").alias("n")), "runs")
     vectors = (runs.agg(F.sum("n")).first()[0] or 0) / TRIALS
-    best, least = 0, math.inf
-    for bits in range(0, BITS + 1, 2):
-        passes = passes_for(bits)
-        if passes > MOST_PASSES:
-            break
-        size = runs.groupBy("dim", "p", F.shiftright("key", BITS - bits)).agg(F.sum("n").cast("double").alias("n"))
-        pairs = (size.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0) / TRIALS / 2
-        if (cost := passes * (pairs + SENDING * vectors)) < least:
-            best, least = bits, cost
+    tried = [b for b in range(0, BITS + 1, 2) if passes_for(b) <= MOST_PASSES]
+    level = F.explode(F.array(*(F.struct(F.lit(b).alias("bits"), F.shiftright("key", BITS - b).alias("k")) for b in tried)))
+    size = runs.select("dim", "p", "n", level.alias("l")).groupBy("dim", "p", "l.bits", "l.k").agg(F.sum("n").cast("double").alias("n"))
+    pairs = {r.bits: r.n / TRIALS / 2 for r in size.groupBy("bits").agg(F.sum(F.col("n") * F.col("n")).alias("n")).collect()}
     unstage(runs)
-    return best
+    return min(tried, key=lambda b: (passes_for(b) * (pairs.get(b, 0) + SENDING * vectors), b))
 
 
 GROUP = ["dim", "pass", "key", "i", "j"]
@@ -157,7 +152,8 @@ def links(nodes: DataFrame, bits: int | None = None) -> DataFrame:
     rows = keyed.select("*", F.posexplode("keys").alias("pass", "key"))
     sizes = rows.groupBy("dim", "pass", "key").agg(F.count("*").alias("size"))
     most = F.greatest(F.lit(LEAST), F.least(F.floor(F.lit(CHUNK) / F.col("dim")), F.ceil(F.col("size") / SPREAD)))
-    large = sizes.where(F.col("size") > LEAST).select("dim", "pass", "key", F.ceil(F.col("size") / most).cast("int").alias("windows"))
+    # written first: where they are few, as they mostly are, the join sends them and not the vectors
+    large = stage(sizes.where(F.col("size") > LEAST).select("dim", "pass", "key", F.ceil(F.col("size") / most).cast("int").alias("windows")), "large-runs")
     k = F.coalesce("windows", F.lit(1))
     each = (
         rows.join(large, ["dim", "pass", "key"], "left")
@@ -198,7 +194,7 @@ def links(nodes: DataFrame, bits: int | None = None) -> DataFrame:
 
     sorted_ = each.repartition(*GROUP).sortWithinPartitions(*GROUP)
     out = stage(sorted_.mapInArrow(run, "rep bigint, low bigint, n bigint"), "links")
-    unstage(keyed)
+    unstage(keyed, large)
     return out
 
 
