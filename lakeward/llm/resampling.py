@@ -27,10 +27,14 @@ SEED = 7
 #: Percent of the documents with at least MIN_WORDS words that are drawn.
 PERCENT, MIN_WORDS = 25, 20
 #: Entries after which a block is closed; a single row has at most BUCKETS.
-BLOCK_ENTRIES = 1 << 18
+BLOCK_ENTRIES = 1 << 16
+#: Blocks that go to a Python worker at once.
+BLOCKS_AT_ONCE = 16
 
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
-BLOCK = "block bigint, doc_id array<bigint>, n_words array<bigint>, row_starts array<int>, buckets array<int>, counts array<bigint>"
+BLOCK = "block bigint, doc_id array<bigint>, n_words array<bigint>, row_starts binary, buckets binary, counts binary"
+#: The three vectors of a block, little-endian.
+VECTOR = "<i4"
 
 
 def features(text: str, buckets: int = BUCKETS) -> tuple[int, np.ndarray]:
@@ -44,19 +48,17 @@ def features(text: str, buckets: int = BUCKETS) -> tuple[int, np.ndarray]:
 
 def count_matrix(docs: DataFrame, label: str = "matrix", buckets: int = BUCKETS) -> DataFrame:
     """The stored matrix: rows (block, doc_id, n_words, row_starts, buckets, counts), one per block of
-    rows. Entries row_starts[i] to row_starts[i + 1] of buckets and counts belong to the block's row i.
-    A null text has an empty row. Blocks are bounded by BLOCK_ENTRIES, whatever the texts."""
+    rows. Entries row_starts[i] to row_starts[i + 1] of buckets and counts belong to the block's row i; the three
+    are stored as bytes of 32-bit integers, which Spark hands on whole. A null text has an empty row. Blocks are bounded by BLOCK_ENTRIES, whatever the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, ids, words, starts, at, n = TaskContext.get().partitionId() << 40, [], [], [0], [], []
 
         def closed() -> pa.RecordBatch:
             nonlocal part, ids, words, starts, at, n
-            lists = [pa.array([x], pa.list_(kind)) for x, kind in ((ids, pa.int64()), (words, pa.int64()), (starts, pa.int32()))]
-            for parts, kind in ((at, pa.int32()), (n, pa.int64())):
-                flat = np.concatenate([np.zeros(0, np.int64), *parts])
-                lists.append(pa.ListArray.from_arrays([0, len(flat)], pa.array(flat).cast(kind)))
-            out = pa.RecordBatch.from_arrays([pa.array([part]), *lists], ["block", "doc_id", "n_words", "row_starts", "buckets", "counts"])
+            lists = [pa.array([x], pa.list_(pa.int64())) for x in (ids, words)]
+            vectors = [pa.array([np.concatenate([np.zeros(0), *x]).astype(VECTOR).tobytes()], pa.binary()) for x in ([starts], at, n)]
+            out = pa.RecordBatch.from_arrays([pa.array([part]), *lists, *vectors], ["block", "doc_id", "n_words", "row_starts", "buckets", "counts"])
             part, ids, words, starts, at, n = part + 1, [], [], [0], [], []
             return out
 
@@ -83,14 +85,16 @@ def column_sums(matrix: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            at, n = (batch.column(k).flatten().to_numpy() for k in (0, 1))
-            np.add.at(total, at, n)
+            for at, n in zip(batch.column(0), batch.column(1), strict=True):
+                total += np.bincount(np.frombuffer(at.as_buffer(), VECTOR), np.frombuffer(n.as_buffer(), VECTOR), buckets).astype(np.int64)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["bucket", "n"])
 
     out = np.zeros(buckets, np.int64)
-    for r in matrix.select("buckets", "counts").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    parts = stage(matrix.select("buckets", "counts").mapInArrow(run, "bucket bigint, n bigint"), "sums", BLOCKS_AT_ONCE)
+    for r in parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r.bucket] = r.n
+    unstage(parts)
     return out
 
 
@@ -109,7 +113,7 @@ def times_vector(matrix: DataFrame, vector: np.ndarray) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 block, ids, words, starts, at, n = (c[k] for c in batch.columns)
-                starts, at, n = (x.values.to_numpy() for x in (starts, at, n))
+                starts, at, n = (np.frombuffer(x.as_buffer(), VECTOR).astype(np.int64) for x in (starts, at, n))
                 upto = lambda x: np.concatenate([[0], np.cumsum(x)])[starts]
                 size, total = np.diff(upto(n)), np.diff(upto(n * by[at]))
                 weight = np.where(size > 0, total // np.maximum(size, 1), 0)
@@ -152,7 +156,7 @@ def resample_to(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
     uniform = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(4294967296.0)
     score = F.col("weight") + F.floor(-1000 * F.log(-F.log(uniform)))
-    rows = stage(times_vector(matrix, vector).withColumn("score", score), "weights")
+    rows = stage(times_vector(matrix, vector).withColumn("score", score), "weights", BLOCKS_AT_ONCE)
     unstage(matrix)
     fit = F.col("n_words") >= min_words
     drawn = percent * rows.where(fit).count() // 100
