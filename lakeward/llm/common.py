@@ -31,19 +31,24 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def stage(df: DataFrame, label: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Write `df` to the shared folder and read it back: later reads survive
-    lost executors, and the lineage before it is cut. Python workers get at most
-    `batch_rows` rows at once, which bounds their memory and changes no result."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def write(df: DataFrame, path: str, batch_rows: int = BATCH_ROWS) -> None:
+    """Write `df` as Parquet. Python workers get at most `batch_rows` rows at once, which bounds
+    their memory and changes no result."""
+    spark, rows = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(rows)
     spark.conf.set(rows, str(min(int(before), batch_rows)))
     try:
         df.write.parquet(path)
     finally:
         spark.conf.set(rows, before)
+
+
+def stage(df: DataFrame, label: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Write `df` to the shared folder and read it back: later reads survive
+    lost executors, and the lineage before it is cut."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    write(df, path, batch_rows)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out
