@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, embedding_dedup, jaccard, packing, pii, quality, resampling, revisits, sharding, token_files, tokens, toxicity
+from . import decontamination, embedding_dedup, jaccard, packing, pii, quality, resampling, revisits, search, sharding, token_files, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": pii.op1_personal_data,
@@ -19,8 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_sharding": sharding.op9_sharding,
     "op10_jaccard_join": jaccard.op10_jaccard_join,
+    "op11_ranked_search": search.op11_ranked_search,
     "op12_target_resampling": resampling.op12_target_resampling,
     "op13_token_files": token_files.op13_token_files,
 }
 
-ORACLES: dict[str, str] = {"op5_revisits": revisits.OP5_SQL, "op8_decontamination": decontamination.OP8_SQL, "op12_target_resampling": resampling.OP12_SQL}
+ORACLES: dict[str, str] = {"op5_revisits": revisits.OP5_SQL, "op8_decontamination": decontamination.OP8_SQL, "op11_ranked_search": search.OP11_SQL, "op12_target_resampling": resampling.OP12_SQL}
