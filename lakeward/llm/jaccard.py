@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -331,11 +332,29 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     )
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """`docs` with `__row`, a number of each row that stays the same whenever it is read. Rows of Parquet
+    files are numbered by file and place, without being copied; others are written first."""
+    spark = docs.sparkSession
+    try:
+        meta = docs.metadataColumn("_metadata")
+        placed = docs.withColumns({"__in": meta["file_path"], "__at": meta["row_index"]})
+    except AnalysisException:  # no plain scan
+        return stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    files = [r[0] for r in placed.select("__in").distinct().sort("__in").collect()]  # one name a file
+    numbers = spark.createDataFrame([*enumerate(files)], "__number long, __in string")
+    row = F.col("__number") * F.lit(1 << 40) + F.col("__at")
+    return placed.join(numbers, "__in").select(*docs.columns, row.alias("__row"))
+
+
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each component, the one with the smallest id; rows
-    that repeat that id or have none stay, and so do all columns."""
-    extra = stage(link_documents(docs, width, percent).where("component_id < doc_id").select("doc_id"), "extra")
-    return without(docs, extra, {"doc_id": F.col("doc_id").cast("bigint")})
+    """`docs` with one row of each group of near copies, the one that stands first in the table, and all
+    columns. Rows are told apart by their place, so a repeated or null id neither saves a copy nor
+    costs a text that has no other like it. Rows without words are no copies and all stay."""
+    rows = numbered_rows(docs)
+    own = rows.select(F.col("__row").alias("doc_id"), "text")
+    extra = stage(link_documents(own, width, percent).where("component_id < doc_id").select(F.col("doc_id").alias("gone")), "extra")
+    return without(rows, extra, {"gone": F.col("__row")}).select(*docs.columns)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,7 +46,7 @@ def test_jaccard_rows(spark):
     got = sorted(map(tuple, jaccard.link_documents(docs, 3, 90).collect()), key=str)
     assert got == [(1, 4, 1), (1, 4, 1), (2, 4, 1), (3, 0, 3), (None, 4, None)]
     kept = jaccard.keep_one(docs)
-    assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=str) == [1, 1, 3, None]
+    assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3]
     assert jaccard.link_documents(docs.limit(0)).count() == 0
 
 
@@ -57,7 +57,22 @@ def test_jaccard_ids_with_two_texts(spark):
     rows = [(1, text(a)), (5, text(a)), (5, text(b)), (9, text([*b, "end"])), (6, text(c)), (7, text(c)), (7, ""), (8, ""), (8, text([*c, "end"])), (20, ""), (20, "one")]
     got = sorted((x.doc_id, x.component_id) for x in jaccard.link_documents(spark.createDataFrame(rows, DOCS), 3, 90).collect())
     assert got == [(1, 1), (5, 1), (5, 1), (6, 6), (7, 6), (7, 6), (8, 6), (8, 6), (9, 1), (20, 20), (20, 20)]
-    assert {x.doc_id for x in jaccard.keep_one(spark.createDataFrame(rows, DOCS), 3, 90).collect()} == {1, 6, 20}
+    want = sorted([(1, text(a)), (5, text(b)), (6, text(c)), (7, ""), (8, ""), (20, ""), (20, "one")])
+    assert sorted(map(tuple, jaccard.keep_one(spark.createDataFrame(rows, DOCS), 3, 90).collect())) == want
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_keep_one_keeps_every_text(spark, tmp_path, stored):
+    """Against all pairs of texts: one row of each group of near copies, whatever the ids and columns."""
+    docs = [(i % 5 if i % 3 else None, t, i) for i, (_, t) in enumerate(corpus(4)[:120] + corpus(4)[-7:] * 3)]
+    df = spark.createDataFrame(docs, DOCS + ", __file long")
+    if stored:
+        df.repartition(3).write.parquet(str(tmp_path / "docs"))
+        df = spark.read.parquet(str(tmp_path / "docs"))
+    group = brute.jaccard([(n, t) for _, t, n in docs], 5, 80)
+    kept = jaccard.keep_one(df).collect()
+    assert df.columns == ["doc_id", "text", "__file"] and {tuple(r) for r in kept} <= set(docs)
+    assert sorted(group[r["__file"]][1] for r in kept) == sorted({c for _, c in group.values()})
 
 
 @pytest.mark.parametrize("percent", [60, 80, 90])
