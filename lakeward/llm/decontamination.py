@@ -34,7 +34,7 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Distinct rows (anchor, shift, len, gram, item_id): the windows of all items, a
     shorter item being one window. The anchor is the window's word that the fewest
     windows hold, the longest of those; shift is its place."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w")).where("item_id is not null and size(w) > 0")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w")).where("size(w) > 0")
     grams = items.select(
         "item_id", F.explode(F.expr(f"transform(sequence(1, greatest(size(w) - {size} + 1, 1)), i -> slice(w, i, {size}))")).alias("gram")
     ).distinct()
@@ -48,14 +48,14 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
     """Rows (doc_id, text_hash, n_words, hit, items, copies), one per distinct id and
     text: hit lists the hit word positions from 0, items the sorted item ids.
 
-    Null, empty and wordless texts have no words and no hits; items without words or
-    id count for nothing; an empty benchmark hits nothing. A word that no text can hold, the
+    Null, empty and wordless texts have no words and no hits; items without words count for
+    nothing, those without an id mark words but are not among the items; an empty benchmark hits nothing. A word that no text can hold, the
     empty one, stands before each document's words and in the table, so every document
     yields a row in the same pass. Windows beyond BROADCAST_BYTES are dealt over several
     scans by hash, each with a table of that size, so neither a text nor a window is ever shuffled.
     """
     table_ = stage(windows(benchmark, size), "windows")
-    held = F.lit(96) + 24 * F.col("len") + F.aggregate("gram", F.lit(0), lambda n, w: n + F.octet_length(w)) + F.octet_length("item_id")
+    held = F.lit(96) + 24 * F.col("len") + F.aggregate("gram", F.lit(0), lambda n, w: n + F.octet_length(w)) + F.coalesce(F.octet_length("item_id"), F.lit(0))
     scans = max(1, -(-(table_.agg(F.sum(held)).first()[0] or 0) // BROADCAST_BYTES))
     mark = docs.sparkSession.sql("select '' as anchor, 0 as shift, 0 as len, cast(null as array<string>) as gram, cast(null as string) as item_id")
     text = F.col("text").cast("string")

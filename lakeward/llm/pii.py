@@ -370,32 +370,25 @@ SWEEP = 256
 
 
 def swept(base: Column, scored: Column) -> Column:
-    """Of scored spans (s, e, p, k), sorted into one sweep with the base spans, those that stand:
-    none overlaps a base span, and of two that overlap the higher score stands, then the
-    earlier. Steps of bounded size keep the work near linear."""
-    line = F.array_sort(F.concat(F.transform(base, lambda b: F.struct(b["s"].alias("s"), F.lit(0).alias("late"), b["e"].alias("e"), F.lit(0.0).alias("p"), F.lit(0).alias("k"))), F.transform(scored, lambda c: F.struct(c["s"].alias("s"), F.lit(1).alias("late"), c["e"].alias("e"), c["p"].alias("p"), c["k"].alias("k")))))
-    kind = "struct<s:int,late:int,e:int,p:double,k:int>"
-    nothing, none = F.lit(None).cast(kind), F.array().cast(f"array<{kind}>")
+    """Of scored spans (s, e, p, k) those that no other span, base or scored, covers; of equal ones a base
+    span stands before scored ones and the higher score before the lower. So whatever passed its
+    threshold lies within a span that stands. Sorted by start, longer ones first, a span is covered
+    if an earlier one ends no sooner; steps of bounded size keep the work near linear."""
+    as_row = lambda x, late, p, k: F.struct(x["s"].alias("s"), (-x["e"]).alias("back"), F.lit(late).alias("late"), (-p).alias("worse"), k.alias("k"))
+    line = F.array_sort(F.concat(F.transform(base, lambda b: as_row(b, 0, F.lit(0.0), F.lit(0))), F.transform(scored, lambda c: as_row(c, 1, c["p"], c["k"]))))
+    none = F.array().cast("array<struct<s:int,e:int,p:double,k:int>>")
 
     def step(a: Column, x: Column) -> Column:
-        last, wall = a["last"], a["wall"]
-        meets = F.coalesce(x["s"] < last["e"], F.lit(False))
-        is_base, blocked = x["late"] == 0, x["s"] < wall
-        better = F.coalesce(x["p"] > last["p"], F.lit(True))
-        return F.struct(
-            F.when(~is_base & ~blocked & ~meets & last.isNotNull(), F.array_append(a["out"], last)).otherwise(a["out"]).alias("out"),
-            F.when(is_base, F.when(meets, nothing).otherwise(last)).when(blocked | (meets & ~better), last).otherwise(x).alias("last"),
-            F.when(is_base, F.greatest(wall, x["e"])).otherwise(wall).alias("wall"),
-        )
+        own = F.struct(x["s"].alias("s"), (-x["back"]).alias("e"), (-x["worse"]).alias("p"), x["k"].alias("k"))
+        stands = (x["late"] == 1) & (-x["back"] > a["wall"])
+        return F.struct(F.when(stands, F.array_append(a["out"], own)).otherwise(a["out"]).alias("out"), F.greatest(a["wall"], -x["back"]).alias("wall"))
 
     def block(a: Column, xs: Column) -> Column:
-        start = F.struct(none.alias("out"), a["last"].alias("last"), a["wall"].alias("wall"))
-        return bind(F.aggregate(xs, start, step), lambda z: F.struct(F.concat(a["out"], z["out"]).alias("out"), z["last"].alias("last"), z["wall"].alias("wall")))
+        return bind(F.aggregate(xs, F.struct(none.alias("out"), a["wall"].alias("wall")), step), lambda z: F.struct(F.concat(a["out"], z["out"]).alias("out"), z["wall"].alias("wall")))
 
     def run(sorted_: Column) -> Column:
         blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sorted_) - 1) / SWEEP).cast("int")), lambda i: F.slice(sorted_, i * SWEEP + 1, F.lit(SWEEP)))
-        start = F.struct(none.alias("out"), nothing.alias("last"), F.lit(0).alias("wall"))
-        return F.aggregate(blocks, start, block, lambda a: F.when(a["last"].isNotNull(), F.array_append(a["out"], a["last"])).otherwise(a["out"]))
+        return F.aggregate(blocks, F.struct(none.alias("out"), F.lit(0).alias("wall")), block, lambda a: a["out"])
 
     return F.when(F.size(scored) > 0, bind(line, run)).otherwise(none)
 
@@ -406,8 +399,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     are all of them as (start, end) in order.
 
     Null and empty texts have no spans (the digest of the empty string); repeated rows and
-    null ids are rows like any other; of added spans that overlap the higher score stands, then the
-    earlier start, and none overlaps a base span; an empty table gives an empty result;
+    null ids are rows like any other; an added span stands unless another span covers it, so
+    added ones may overlap; an empty table gives an empty result;
     columns of docs other than doc_id and text are dropped. Whole texts are read, however
     long; work per text is near linear in its length and its number of spans.
     """

@@ -80,5 +80,5 @@ def contamination(text, items, size=10):
             for p in range(len(w) - len(gram) + 1):
                 if w[p : p + len(gram)] == gram:
                     hit.update(range(p, p + len(gram)))
-                    found.add(str(item))
+                    found |= set() if item is None else {str(item)}
     return len(w), len(hit), sorted(found)
