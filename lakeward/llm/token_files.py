@@ -39,8 +39,8 @@ SEGMENT_IDS = 1 << 16
 SEGMENTS_AT_ONCE = 16
 HEADER = struct.Struct("<4sIQI")
 HEAD = 6
-#: Chunks, and words, that a Python worker remembers the ids of, and how long they may be.
-REMEMBERED, LONG = 400_000, 48
+#: Chunks that a Python worker remembers the ids of, words being half as many, and how long they may be.
+REMEMBERED, LONG = 900_000, 48
 
 SEGMENT = "part int, segment int, first bigint, n_ids bigint, doc_ids array<bigint>, doc_tokens array<bigint>, payload binary"
 
@@ -141,7 +141,7 @@ class Words:
     def _word(self, word: str) -> bytes:
         out = np.array([t.id for t in self._tokens(self._spelled(word))], "<u4").tobytes()
         if len(word) <= LONG:
-            if len(self._known_words) >= REMEMBERED:
+            if len(self._known_words) >= REMEMBERED // 2:
                 self._known_words.clear()
             self._known_words[word] = out
         return out
