@@ -135,7 +135,7 @@ class App:
             log = runner.RunLog(self.spark, f"{self.settings.root}/ops")
             return runner.run_pipeline(
                 self.plan(a), self.load, (lambda: 0) if a.skip_transform else lambda: self.transform(a.full_refresh),
-                (lambda _: None) if a.keep_staging or a.skip_transform else self.clear, runner.History(log.save), lambda text: runner.notify(self.settings.webhook, text),
+                (lambda _: None) if a.keep_staging or a.skip_transform else self.clear, runner.History(log.save, started=log.save), lambda text: runner.notify(self.settings.webhook, text),
                 kind=a.command, tell_success=a.notify_success, workers=a.workers, retries=a.retries, delay=a.retry_delay,
             )
         return 0

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeward.sources.scratch import staged
+
 IDENTITY = "alias string, id int, name string, source string"
 
 
@@ -28,29 +32,21 @@ def spellings_of(sources: list[tuple[DataFrame, str, str | None]]) -> DataFrame:
     return reduce(DataFrame.union, parts).distinct()
 
 
-#: Ranges that new names are numbered in, at most.
-RANGES = 256
-
-
-def mint_ids(names: DataFrame, high_water: int, column: str = "name") -> DataFrame:
-    """(name, id): ids after high_water in the order of names. Names are numbered range by range
-    and the ranges' sizes added up, so no task sorts all of them. The bounds are the names with the
-    smallest hashes, which any plan finds alike."""
-    own = names.select(column).distinct()
-    bounds = sorted(r[0] for r in own.where(F.col(column).isNotNull()).orderBy(F.xxhash64(column), column).limit(RANGES - 1).collect())
-    place = F.lit(0)
-    if bounds:
-        place = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x <= F.col(column)))
-    ranged = own.withColumn("__range", place)
-    first, offsets = high_water, {}
-    for r in sorted(ranged.groupBy("__range").count().collect(), key=lambda r: r[0]):
-        offsets[r[0]] = first
-        first += r[1]
-    if not offsets:
-        return own.select(column, F.lit(None).cast("int").alias("id"))
-    start = F.element_at(F.create_map(*(F.lit(v) for k, n in offsets.items() for v in (k, n))), F.col("__range"))
+#: The highest id given out so far, or a function that reserves so many ids and returns the one before them.
+Mark = int | Callable[[int], int]
+
+
+def mint_ids(names: DataFrame, high_water: Mark, column: str = "name") -> DataFrame:
+    """(name, id): ids after high_water in the order of names. Distinct names are dealt by ranges and written, once;
+    the ranges' sizes, one number each, say where each begins, so no task sorts all names."""
+    own = staged(names.select(column).distinct().repartitionByRange(column).withColumn("__range", F.spark_partition_id()))
+    sizes = sorted(map(tuple, own.groupBy("__range").count().collect()))
+    n = sum(size for _, size in sizes)
+    first = (high_water(n) if n else 0) if callable(high_water) else high_water
+    ends = accumulate((size for _, size in sizes), initial=first)
+    starts = own.sparkSession.createDataFrame([(r, start) for (r, _), start in zip(sizes, ends, strict=False)], "__range int, __start long")
     nth = F.row_number().over(Window.partitionBy("__range").orderBy(column))
-    return ranged.select(column, (start + nth).cast("int").alias("id"))
+    return own.withColumn("__nth", nth).join(F.broadcast(starts), "__range").select(column, (F.col("__start") + F.col("__nth")).cast("int").alias("id"))  # one row a range
 
 
 def known_ids(resolved: DataFrame, existing: DataFrame) -> DataFrame:
@@ -69,7 +65,7 @@ def inherited_ids(resolved: DataFrame, existing: DataFrame, known: DataFrame) ->
     return c.join(h, (F.col("c.id") == F.col("h.id")) & (F.col("h.holder") != F.col("c.name")), "left_anti").groupBy("name").agg(F.min("id").alias("id"))
 
 
-def identity_rows(spellings: DataFrame, mappings: DataFrame, existing: DataFrame, high_water: int) -> DataFrame:
+def identity_rows(spellings: DataFrame, mappings: DataFrame, existing: DataFrame, high_water: Mark) -> DataFrame:
     """New or changed identity rows (alias, id, name, source). A name keeps its id, else takes over a
     spelling's, else gets one after high_water, which no retired id can reach again."""
     resolved = resolve(spellings, mappings)
@@ -96,7 +92,7 @@ def alias_pairs(keys: DataFrame, key: str, other: str) -> DataFrame:
     return own.unionByName(old.select(F.col(other).cast("string").alias("alias"), F.col(key).cast("string").alias("name")))
 
 
-def alias_identities(pairs: DataFrame, existing: DataFrame, high_water: int) -> DataFrame:
+def alias_identities(pairs: DataFrame, existing: DataFrame, high_water: Mark) -> DataFrame:
     """(alias, id, name, source) of pairs(alias, name); one id per name in name order."""
     known = existing.groupBy("name").agg(F.min("id").alias("id"))
     fresh = pairs.select("name").join(known, "name", "left_anti")

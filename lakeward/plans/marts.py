@@ -31,17 +31,17 @@ def of_domain(mappings: DataFrame, domain: str) -> DataFrame:
     return mappings.where(F.col("domain") == domain).drop("domain")
 
 
-def coach_identities(schedules: DataFrame, staff: DataFrame, mappings: DataFrame, existing: DataFrame, high_water: int) -> DataFrame:
+def coach_identities(schedules: DataFrame, staff: DataFrame, mappings: DataFrame, existing: DataFrame, high_water: identity.Mark) -> DataFrame:
     names = identity.spellings_of([(staff, "coach", None), (schedules, "home_coach", None), (schedules, "away_coach", None)])
     return identity.identity_rows(names, of_domain(mappings, "coach"), existing, high_water)
 
 
-def referee_identities(schedules: DataFrame, officials: DataFrame, mappings: DataFrame, existing: DataFrame, high_water: int) -> DataFrame:
+def referee_identities(schedules: DataFrame, officials: DataFrame, mappings: DataFrame, existing: DataFrame, high_water: identity.Mark) -> DataFrame:
     names = identity.spellings_of([(schedules, "referee", None), (officials, "official_name", "position = 'Referee'")])
     return identity.identity_rows(names, of_domain(mappings, "referee"), existing, high_water)
 
 
-def place_identities(schedules: DataFrame, existing: DataFrame, high_water: int) -> DataFrame:
+def place_identities(schedules: DataFrame, existing: DataFrame, high_water: identity.Mark) -> DataFrame:
     """Each code is its own name and keeps its id for good."""
     codes = schedules.select(F.col("stadium_id").alias("alias")).where("alias is not null").distinct()
     pairs = codes.select("alias", F.col("alias").alias("name"))

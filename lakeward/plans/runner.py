@@ -5,6 +5,8 @@ from __future__ import annotations
 import heapq
 import json
 import logging
+import socket
+import threading
 import time
 import urllib.request
 import uuid
@@ -13,11 +15,11 @@ from collections.abc import Callable
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.sources.registry import Dataset, PeriodUnavailable
+from lakeward.sources.snapshot import located
 
 log = logging.getLogger(__name__)
 #: Failures of the machine itself; trying again does not help.
@@ -96,50 +98,84 @@ def summarise(results: list[Result]) -> dict[str, int]:
     return {"success": by["success"], "skipped": by["skipped"], "failed": by["failed"], "rows": sum(r.rows for r in results)}
 
 
+def new_run_id(last: list[str] = []) -> str:  # noqa: B006  one memory a process
+    """Ids that follow each other as their runs begin: microseconds since 1970, then a suffix that no other driver has."""
+    with _ids:
+        now = f"{time.time_ns() // 1000:018d}"
+        if last and last[0] >= now:
+            now = f"{int(last[0]) + 1:018d}"
+        last[:] = [now]
+    return f"{now}-{uuid.uuid4().hex[:8]}"
+
+
+_ids = threading.Lock()
+
+
 @dataclass
 class History:
-    """Runs and their steps. Recording is best effort: its errors are logged, not raised."""
+    """Runs and their steps. `save` gets a run as it ends, `started`, if there is one, as it begins, with
+    status `running`. Recording is best effort: its errors are logged, not raised."""
 
     save: Callable[[dict], None]
     runs: list[dict] = field(default_factory=list)
+    started: Callable[[dict], None] | None = None
+
+    def begin(self, kind: str, args: dict) -> dict:
+        run = {"run_id": new_run_id(), "kind": kind, "status": "running", "args": json.dumps(args), "host": socket.gethostname(), "began": time.time(), "steps": [], "error": None}
+        if self.started:
+            self._told(self.started, run)
+        return run
+
+    def end(self, run: dict, status: str, results: list[Result], error: str | None = None) -> None:
+        steps = [vars(r) | {"step": vars(r.step)} for r in results]
+        ended = run | {"status": status, "steps": steps, "seconds": time.time() - run["began"], "error": error}
+        if self._told(self.save, ended):
+            self.runs.append(ended)
 
     def record(self, kind: str, status: str, results: list[Result], args: dict) -> None:
-        run = {"kind": kind, "status": status, "args": json.dumps(args), "steps": [vars(r) | {"step": vars(r.step)} for r in results]}
+        self.end(self.begin(kind, args), status, results)
+
+    def _told(self, save: Callable[[dict], None], run: dict) -> bool:
         try:
-            self.save(run)
-            self.runs.append(run)
+            save(run)
         except Exception:  # noqa: BLE001
             log.exception("the run could not be recorded")
+            return False
+        return True
 
 
 class RunLog:
-    """Runs and steps as two tables under `path`. Each run adds its own files, so writers never
-    meet; `save` is what a History calls."""
+    """Runs and steps as two tables under `path`. A run adds a row as it begins and one as it ends, in files of
+    its own, so writers never meet; `save` is what a History calls. Ids rise with time, so
+    `serving.latest_runs` and `serving.health` read `runs` in their order."""
 
-    RUNS = "run_id string, kind string, status string, args string, finished_at timestamp"
+    RUNS = "run_id string, kind string, status string, args string, host string, seconds double, error string, recorded_at timestamp"
     STEPS = "run_id string, position int, dataset string, season int, status string, n_rows bigint, attempts int, error string"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def save(self, run: dict) -> None:
-        run_id = uuid.uuid4().hex
+        run_id = run.get("run_id") or new_run_id()
         steps = [(run_id, k, r["step"]["dataset"], r["step"]["season"], r["status"], r["rows"], r["attempts"], r["error"]) for k, r in enumerate(run["steps"])]
-        self._add("steps", self.spark.createDataFrame(steps, self.STEPS))
-        head = self.spark.createDataFrame([(run_id, run["kind"], run["status"], run["args"])], self.RUNS.rpartition(",")[0])
-        self._add("runs", head.withColumn("finished_at", F.current_timestamp()))
+        if steps:
+            self._add("steps", self.spark.createDataFrame(steps, self.STEPS))
+        row = (run_id, *(run.get(c) for c in ("kind", "status", "args", "host", "seconds", "error")))
+        self._add("runs", self.spark.createDataFrame([row], self.RUNS.rpartition(",")[0]).withColumn("recorded_at", F.current_timestamp()))
 
     def _add(self, name: str, df: DataFrame) -> None:
         df.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        fs, path = located(self.spark, f"{self.path}/{name}")
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if fs.exists(path) else self.spark.createDataFrame([], schema)
 
     def runs(self) -> DataFrame:
-        return self._read("runs", self.RUNS)
+        """One row a run: how it ended, or that it is running."""
+        names = [c.split()[0] for c in self.RUNS.split(", ")]
+        state = F.struct((F.col("status") != "running").alias("over"), "recorded_at", *(c for c in names if c not in ("run_id", "recorded_at")))
+        latest = self._read("runs", self.RUNS).groupBy("run_id").agg(F.max(state).alias("s"))
+        return latest.select("run_id", *(f"s.{c}" for c in names[1:]))
 
     def steps(self) -> DataFrame:
         """Steps of recorded runs; those of a run that broke off in writing are left out."""
@@ -175,20 +211,27 @@ def run_pipeline(
 ) -> int:
     """Loads, transforms if nothing failed, clears the landing tables if that went well,
     records and tells. 0: all went well."""
-    results = run_plan(steps, load, **options)
-    counts, code = summarise(results), 0
-    if counts["failed"]:
-        code = 1
-    else:
-        code = transform()
-        if code == 0:
-            try:
-                truncate(sorted({r.step.dataset for r in results if r.status == "success"}))
-            except Exception:  # noqa: BLE001  the data is already transformed
-                log.exception("landing tables could not be cleared")
+    run = history.begin(kind, options and {k: str(v) for k, v in options.items()}) if history else {}
+    results: list[Result] = []
+    try:
+        results = run_plan(steps, load, **options)
+        counts, code = summarise(results), 0
+        if counts["failed"]:
+            code = 1
+        else:
+            code = transform()
+            if code == 0:
+                try:
+                    truncate(sorted({r.step.dataset for r in results if r.status == "success"}))
+                except Exception:  # noqa: BLE001  the data is already transformed
+                    log.exception("landing tables could not be cleared")
+    except BaseException as e:
+        if history:
+            history.end(run, "failed", results, str(e))
+        raise
     status = "success" if code == 0 else "failed"
     if history:
-        history.record(kind, status, results, options and {k: str(v) for k, v in options.items()})
+        history.end(run, status, results, next((r.error for r in results if r.status == "failed"), None))
     if code or tell_success:
         tell(f"run {status}: {counts}")
     return code

@@ -8,12 +8,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeward.functions.types import store_type
-from lakeward.sources.snapshot import Table
+from lakeward.sources.snapshot import Table, located
 
 Loader = Callable[..., DataFrame]
 
@@ -123,13 +123,19 @@ def load(spark: SparkSession, dataset: Dataset, season: int | None, table: Table
     it; returns the number of rows. Nothing is replaced if the source repeats a unique key."""
     rows = landed(fetch(spark, dataset, season), dataset, season, now or dt.datetime.now())
     rows = rows.select(*(F.col(f.name).cast(store_type(f.dataType)).alias(f.name) for f in rows.schema.fields))
-    if dataset.unique:
-        twice = rows.groupBy(*dataset.unique).count().where("count > 1").head(1)
-        if twice:
-            raise NotUnique(f"{dataset.name} repeats {dataset.unique}: {twice[0]}")
-    table.replace_partition(rows, "season", season) if dataset.partitioned else table.replace_all(rows)
-    now_held = table.read()
-    return (now_held.where(F.col("season") == season) if dataset.partitioned else now_held).count()
+    told = Observation()
+    measures = [F.count(F.lit(1)).alias("n"), F.lit(False).alias("twice")]
+    if dataset.unique:  # one window beside the rows tells repeats in the pass that writes them
+        rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy(*dataset.unique).orderBy(F.lit(0))))
+        measures[1] = F.max(F.col("__nth") > 1).alias("twice")
+    rows = rows.observe(told, *measures).drop("__nth")
+
+    def checked() -> None:
+        if told.get["twice"]:
+            raise NotUnique(f"{dataset.name} repeats {dataset.unique}")
+
+    table.replace_partition(rows, "season", season, checked) if dataset.partitioned else table.replace_all(rows, checked)
+    return told.get["n"]
 
 
 def seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -140,10 +146,10 @@ def seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def overrides(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV as the given columns: absent ones are null, a missing file is empty."""
     want = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    try:
-        have = spark.read.csv(path, header=True)
-    except AnalysisException:
+    fs, file = located(spark, path)
+    if not fs.exists(file):
         return spark.createDataFrame([], want)
+    have = spark.read.csv(path, header=True)
     return have.select(*((F.col(f.name) if f.name in have.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in want.fields))
 
 

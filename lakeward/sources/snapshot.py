@@ -10,7 +10,7 @@ from collections import defaultdict
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,23 +25,58 @@ class Conflict(Exception):
     """Another writer was first; the write can be tried again on the new version."""
 
 
+def located(spark: SparkSession, name: str):
+    """The file system and the path of `name`."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def publish(spark: SparkSession, name: str, text: str) -> None:
+    """Makes the file `name` with this text, whole, by a rename that fails with Conflict if it is there already.
+    That holds where renames are exclusive: on HDFS and on disks, not on object stores."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    fs, final = located(spark, name)
+    fs.mkdirs(final.getParent())
+    draft = jvm.org.apache.hadoop.fs.Path(final.getParent(), f".draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(option, 1)
+    options[0] = option.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(final), options)
+    except Py4JJavaError as e:
+        fs.delete(draft, False)
+        if "FileAlreadyExists" in str(e.java_exception):
+            raise Conflict(f"another writer was first with {name}") from e
+        raise
+
+
+def published(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder of published ones, in order; none if the folder is missing."""
+    fs, path = located(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(n for n in names if not n.startswith("."))
+
+
 class Table:
     """A table under `path`. Each version is a list of folders, one for each value of the
     partition column or one for all rows, that is written last: readers keep their version,
     a write touches the folders it replaces only, and of two drivers that write the same
     version the file system lets one succeed."""
 
-    def __init__(self, spark: SparkSession, path: str, partition: str | None = None):
-        self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
+    def __init__(self, spark: SparkSession, path: str, partition: str | None = None, lookup: tuple[str, ...] = ()):
+        """`lookup` names columns that single rows are asked for by: files are sorted by the first, so few
+        row groups can hold a value of it, and have a Bloom filter for each."""
+        self.spark, self.path, self.partition, self.lookup = spark, path.rstrip("/"), partition, lookup
 
     @property
     def lock(self) -> threading.RLock:
         return _locks[self.path]
 
     def _file(self, name: str):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
+        return located(self.spark, f"{self.path}/{name}")
 
     def _names(self, folder: str) -> list[str]:
         fs, path = self._file(folder)
@@ -69,30 +104,21 @@ class Table:
         """Name to type; empty if the table does not exist."""
         return dict(self.read().dtypes) if self.exists() else {}
 
+    def _writer(self, df: DataFrame, shadow: str | None = None) -> DataFrameWriter:
+        if not self.lookup:
+            return df.write
+        by = [c for c in (shadow, self.lookup[0]) if c]
+        options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.lookup}
+        return df.repartitionByRange(*by).sortWithinPartitions(*by).write.options(**options)
+
     def _data(self, df: DataFrame) -> str:
         folder = f"data/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{folder}")
+        self._writer(df).parquet(f"{self.path}/{folder}")
         return folder
 
     def _commit(self, version: int, parts: dict[str, str], schema: T.StructType) -> int:
-        """Publishes the version whole, by a rename that fails if it is there already."""
-        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
-        fs, draft = self._file(f"_drafts/{uuid.uuid4().hex}")
-        out = fs.create(draft, False)
-        out.write(bytearray(json.dumps({"parts": parts, "schema": schema.jsonValue()}).encode()))
-        out.close()
-        _, final = self._file(f"_versions/{version:09d}.json")
-        fs.mkdirs(final.getParent())
-        option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        options = self.spark.sparkContext._gateway.new_array(option, 1)
-        options[0] = option.NONE
-        try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(final), options)
-        except Py4JJavaError as e:
-            fs.delete(draft, False)
-            if "FileAlreadyExists" in str(e.java_exception):
-                raise Conflict(f"another writer has published version {version} of {self.path}") from e
-            raise
+        """Publishes the version whole; of two writers of one version one gets a Conflict."""
+        publish(self.spark, f"{self.path}/_versions/{version:09d}.json", json.dumps({"parts": parts, "schema": schema.jsonValue()}))
         return version
 
     def _split(self, df: DataFrame) -> dict[str, str]:
@@ -101,34 +127,42 @@ class Table:
             return {"*": self._data(df)}
         folder = f"data/{uuid.uuid4().hex}"
         shadow = f"__{self.partition}"
-        df.withColumn(shadow, F.coalesce(F.col(self.partition).cast("string"), F.lit(NULL_VALUE))).write.partitionBy(shadow).parquet(f"{self.path}/{folder}")
+        named = df.withColumn(shadow, F.coalesce(F.col(self.partition).cast("string"), F.lit(NULL_VALUE)))
+        self._writer(named, shadow).partitionBy(shadow).parquet(f"{self.path}/{folder}")
         named = [n for n in self._names(folder) if n.startswith(f"{shadow}=")]
         return {unescaped(n.partition("=")[2]): f"{folder}/{n}" for n in named}
 
-    def write(self, df: DataFrame) -> int:
-        """The next version, with these rows alone."""
+    def write(self, df: DataFrame, check: Callable[[], None] = lambda: None) -> int:
+        """The next version, with these rows alone. `check` is called when they are written and may raise, which
+        leaves the table as it is."""
         with self.lock:
-            version = self.version() + 1
-            return self._commit(version, self._split(df), df.schema)
+            version, parts = self.version() + 1, self._split(df)
+            check()
+            return self._commit(version, parts, df.schema)
 
-    def replace_all(self, df: DataFrame) -> int:
-        return self.write(df)
+    def replace_all(self, df: DataFrame, check: Callable[[], None] = lambda: None) -> int:
+        return self.write(df, check)
 
-    def replace_partition(self, df: DataFrame, key: str, value) -> int:
+    def replace_partition(self, df: DataFrame, key: str, value, check: Callable[[], None] = lambda: None) -> int:
         """The rows of one partition are replaced; an empty frame clears it. A table that is
         partitioned by `key` keeps its other folders, unless a column changes its type."""
         with self.lock:
             if not self.exists():
-                return self.write(df)
+                return self.write(df, check)
             version = self.version()
             stored = self.read(version)
             old, df = align(stored, df)
             if self.partition == key and all(old.schema[c].dataType == t.dataType for c, t in ((f.name, f) for f in stored.schema.fields)):
                 parts = self.parts(version)
-                parts.pop(NULL_VALUE if value is None else str(value), None)
-                return self._commit(version + 1, parts | self._split(df.where(F.col(key).eqNullSafe(F.lit(value)))), old.schema)
+                named = self.spark.range(1).select(F.lit(value).cast(old.schema[key].dataType).cast("string")).first()[0]  # as Spark spells it
+                parts.pop(NULL_VALUE if named is None else named, None)
+                new = self._split(df.where(F.col(key).eqNullSafe(F.lit(value))))
+                check()
+                return self._commit(version + 1, parts | new, old.schema)
             rest = old.where(~F.col(key).eqNullSafe(F.lit(value))).unionByName(df)
-            return self._commit(version + 1, self._split(rest), rest.schema)
+            new = self._split(rest)
+            check()
+            return self._commit(version + 1, new, rest.schema)
 
     def merge_partitions(self, df: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
         """change(stored, incoming) over the partitions that the incoming rows touch; the other
