@@ -197,23 +197,24 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
     Null and empty texts are one piece of length 1; repeated rows are packed as often
     as they stand there; null ids are kept; ties in length are ranked by id and start;
     an empty table gives an empty result; other columns are dropped. A class that holds
-    a large share of the pieces is numbered in groups of about GROUP_ROWS; to the driver
+    a large share of the pieces is numbered in groups of about GROUP_ROWS, into which repeated rows are
+    dealt like any other, by their place in the stored pieces; to the driver
     comes one count per length class (at most 384).
     """
     spark = docs.sparkSession
-    pieces = stage(cut(docs, vocabulary, capacity).withColumn("cls", length_class(F.col("length"), capacity)), "pieces")
+    pieces = stage(cut(docs, vocabulary, capacity).withColumn("cls", length_class(F.col("length"), capacity)).withColumn("row", F.monotonically_increasing_id()), "pieces")
     hist = sorted((r.cls, r.n) for r in pieces.groupBy("cls").agg(F.count("*").alias("n")).collect())
     sizes = np.array([h[0] for h in hist], np.int64)
     where = places(sizes, solve(sizes, np.array([h[1] for h in hist], float), capacity))
     groups = 1 + sum(h[1] for h in hist) // GROUP_ROWS
-    ranked = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("int"))
+    ranked = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "row"), F.lit(groups)).cast("int"))
     before = Window.partitionBy("cls").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     first = (
         ranked.groupBy("cls", "grp")
         .agg(F.count("*").alias("n"))
         .select("cls", "grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     )
-    own = Window.partitionBy("cls", "grp").orderBy("doc_id", "start")
+    own = Window.partitionBy("cls", "grp").orderBy("doc_id", "start", "row")
     ranked = ranked.withColumn("nth", F.row_number().over(own) - 1).join(first, ["cls", "grp"])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

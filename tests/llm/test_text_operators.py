@@ -391,3 +391,10 @@ def test_empty_tables(spark):
     assert pii.find_personal_data(none).count() == tokens.count_tokens(none).count() == packing.pack(none).count() == sharding.shard_documents(none).count() == 0
     assert toxicity.score_toxicity(none, toxicity.train(*toxicity.training_texts(none, labels))).count() == quality.resample(none, labels).count() == 0
     assert quality.keep_good(none, labels).count() == pii.redact(none).count() == 0
+
+
+def test_packing_deals_a_repeated_row_over_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 10)
+    df = spark.createDataFrame([(7, "the same row")] * 400 + [(k, "x " * (k % 90)) for k in range(300)], DOCS).repartition(3)
+    got = packing.pack(df).toPandas().sort_values(["sequence_id", "offset"])
+    assert len(got) == 700 and (got.groupby("sequence_id").length.cumsum() - got.length == got.offset).all() and got.groupby("sequence_id").length.sum().max() <= 2048
