@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -300,6 +301,25 @@ def stints(t: Tables) -> DataFrame:
     return islands.stints(_seasons(t), ["season", "o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderstatus", "day")
 
 
+#: A third of the orders under one customer.
+HOT_SQL = "(SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END AS o_custkey) FROM orders)"
+
+
+def _hot(t: Tables) -> DataFrame:
+    return t.orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey")))
+
+
+@query("status_runs_split", f"SELECT o_orderkey, o_custkey, o_orderstatus, CAST(run_no AS BIGINT) AS run_no FROM ({RUNS_SQL.format(part='o_custkey', order='o_orderdate, o_orderkey', rows=HOT_SQL)})")
+def status_runs_split(t: Tables) -> DataFrame:
+    return islands.islands(_hot(t), ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderstatus", split=True).select("o_orderkey", "o_custkey", "o_orderstatus", "run_no")
+
+
+@query("stints_split", f"""SELECT o_custkey, o_orderstatus, CAST(run_no AS BIGINT) AS run_no, min(day) AS first_at, max(day) AS last_at, count(*) AS n, count(*) OVER (PARTITION BY o_custkey) AS stints
+  FROM (SELECT *, CAST(o_orderdate AS DATE) AS day FROM ({RUNS_SQL.format(part='o_custkey', order='o_orderdate, o_orderkey', rows=HOT_SQL)})) GROUP BY o_custkey, o_orderstatus, run_no""")
+def stints_split(t: Tables) -> DataFrame:
+    return islands.stints(_hot(t).withColumn("day", F.col("o_orderdate").cast("date")), ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderstatus", "day", split=True)
+
+
 ALL_RECORDED_SQL = f"""SELECT season, o_custkey, o_orderstatus, count(*) % 2 = 0 AS is_interim,
   CASE WHEN min(o_orderkey) % 3 = 0 THEN min(day) END AS start_date, CASE WHEN max(o_orderkey) % 5 = 0 THEN max(day) END AS end_date
   FROM ({SEASONS_SQL}) GROUP BY ALL"""
@@ -364,6 +384,29 @@ def tenure_collapse(t: Tables) -> DataFrame:
     return islands.collapse(_yearly(t), ["o_custkey", "o_orderstatus", "is_interim"], "season", F.lit(latest))
 
 
+DAILY_SQL = f"""SELECT o_custkey, CAST(datediff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS day_no, CAST(min(o_orderdate) AS DATE) AS start_date, 'log' AS start_source,
+  CAST(max(o_orderdate) AS DATE) AS end_date, 'log' AS end_source, bool_or(o_orderkey % 11 = 0) AS explicit_start, bool_or(o_orderkey % 7 = 0) AS explicit_end FROM {HOT_SQL} GROUP BY ALL"""
+
+
+@query(
+    "tenure_collapse_split",
+    f"""WITH r AS ({DAILY_SQL}), s AS (SELECT *, lag(day_no) OVER w AS prev, lag(explicit_end) OVER w AS ended FROM r WINDOW w AS (PARTITION BY o_custkey ORDER BY day_no)),
+    n AS (SELECT *, sum(CASE WHEN prev IS NULL OR prev <> day_no - 1 OR ended OR explicit_start THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY day_no ROWS UNBOUNDED PRECEDING) AS no FROM s),
+    g AS (SELECT o_custkey, min(day_no) AS first_period, max(day_no) AS last_period, min(start_date) AS start_date, max(end_date) AS e, arg_max(explicit_end, day_no) AS closed FROM n GROUP BY o_custkey, no)
+    SELECT o_custkey, first_period, last_period, start_date, 'log' AS start_source, CASE WHEN closed OR last_period < latest THEN e END AS end_date,
+    CASE WHEN closed OR last_period < latest THEN 'log' ELSE 'ongoing' END AS end_source FROM g, (SELECT max(day_no) AS latest FROM r)""",
+)
+def tenure_collapse_split(t: Tables) -> DataFrame:
+    """Days in a row on which a customer ordered, a third of the orders being one customer's."""
+    day = F.date_diff(F.col("o_orderdate").cast("date"), F.lit(dt.date(1990, 1, 1)))
+    days = _hot(t).groupBy("o_custkey", day.alias("day_no")).agg(
+        F.min("o_orderdate").cast("date").alias("start_date"), F.lit("log").alias("start_source"), F.max("o_orderdate").cast("date").alias("end_date"), F.lit("log").alias("end_source"),
+        F.bool_or(F.col("o_orderkey") % 11 == 0).alias("explicit_start"), F.bool_or(F.col("o_orderkey") % 7 == 0).alias("explicit_end"),
+    )
+    latest = t.orders.agg(F.max(day)).first()[0]
+    return islands.collapse(days, ["o_custkey"], "day_no", F.lit(latest), split=True)
+
+
 @query(
     "tenure_details",
     f"""SELECT c_name, n_name, o_orderstatus, first_period, last_period, start_date, end_date FROM ({TENURES_SQL}) JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""",
@@ -401,6 +444,42 @@ def bounded_mapping(t: Tables) -> DataFrame:
     return dimensions.bounded_mapping(_seasons(t).select("o_orderkey", "o_orderstatus", "season"), "o_orderstatus", "season", m)
 
 
+#: Overlapping validity: five sources with about five mappings each.
+OVERLAPPING = ("concat(1 + n_nationkey % 5, '-') AS source_value", "n_name AS canonical_value", "CAST(CASE WHEN n_nationkey % 4 <> 0 THEN 1991 + n_nationkey % 6 END AS INT) AS valid_from", "CAST(CASE WHEN n_nationkey % 3 <> 0 THEN 1993 + n_nationkey % 5 END AS INT) AS valid_to")
+OVERLAPPING_SQL = f"""SELECT o_orderkey, coalesce(canonical_value, o_orderpriority) AS o_orderpriority, season FROM (
+  SELECT o_orderkey, left(o_orderpriority, 2) AS o_orderpriority, canonical_value, CAST(year(o_orderdate) AS INTEGER) AS season,
+    row_number() OVER (PARTITION BY o_orderkey ORDER BY coalesce(valid_from, 0) DESC, canonical_value) AS r
+  FROM orders LEFT JOIN (SELECT {', '.join(OVERLAPPING)} FROM nation) ON left(o_orderpriority, 2) = source_value AND year(o_orderdate) BETWEEN coalesce(valid_from, 0) AND coalesce(valid_to, 9999)) WHERE r = 1"""
+
+
+def _overlapping(t: Tables, large: bool) -> DataFrame:
+    rows = t.orders.select("o_orderkey", F.substring("o_orderpriority", 1, 2).alias("o_orderpriority"), F.year("o_orderdate").alias("season"))
+    return dimensions.bounded_mapping(rows, "o_orderpriority", "season", t.nation.selectExpr(*OVERLAPPING), large)
+
+
+@query("bounded_mapping_overlapping", OVERLAPPING_SQL)
+def bounded_mapping_overlapping(t: Tables) -> DataFrame:
+    """Several mappings hold at once: the one that began last counts, and no row is multiplied."""
+    return _overlapping(t, False)
+
+
+@query("bounded_mapping_large", OVERLAPPING_SQL)
+def bounded_mapping_large(t: Tables) -> DataFrame:
+    """The same by bins of validity, for mappings beyond a broadcast."""
+    return _overlapping(t, True)
+
+
+@query(
+    "telling_or_mode_hot",
+    f"""SELECT o_custkey, CASE WHEN bool_or(p IN ('2-HIGH') AND o_custkey <> 0) THEN 'high once' ELSE mode() WITHIN GROUP (ORDER BY p) END AS p
+    FROM (SELECT o_custkey, CASE WHEN o_custkey = 0 AND o_orderpriority = '2-HIGH' THEN '3-MEDIUM' ELSE o_orderpriority END AS p FROM {HOT_SQL}) GROUP BY o_custkey""",
+)
+def telling_or_mode_hot(t: Tables) -> DataFrame:
+    """One customer has a third of the rows and none of the telling values."""
+    p = F.when((F.col("o_custkey") == 0) & (F.col("o_orderpriority") == "2-HIGH"), "3-MEDIUM").otherwise(F.col("o_orderpriority"))
+    return dimensions.roof_rule(_hot(t).select("o_custkey", p.alias("p")), "o_custkey", "p", ["2-HIGH"], "high once")
+
+
 @query(
     "majority_latest",
     """SELECT p_brand, l_returnflag FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY y DESC, n DESC, l_returnflag) AS r FROM (
@@ -570,6 +649,21 @@ def check_overlap(t: Tables) -> DataFrame:
     return quality.check_overlap(tenure_collapse(t).where("not is_interim"), ["o_custkey"], "first_period", "start_date", "end_date")
 
 
+SPANS_SQL = f"(SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS opens, CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 17 = 0 THEN 9 ELSE o_orderkey % 3 END AS INTEGER) END AS shuts FROM {HOT_SQL} WHERE o_custkey % 3 <> 1)"
+
+
+@query(
+    "check_overlap_split",
+    f"""SELECT a.o_custkey, a.o_orderkey AS earlier, b.o_orderkey AS later FROM {SPANS_SQL} a JOIN {SPANS_SQL} b ON a.o_custkey = b.o_custkey AND (a.opens, a.o_orderkey) < (b.opens, b.o_orderkey) AND b.opens <= a.shuts""",
+)
+def check_overlap_split(t: Tables) -> DataFrame:
+    """Short spans of time, most of them one customer's, some without an end: who overlaps whom."""
+    days = F.when(F.col("o_orderkey") % 17 == 0, F.lit(9)).otherwise(F.col("o_orderkey") % 3).cast("int")
+    opens = F.col("o_orderdate").cast("date")
+    rows = _hot(t).where("o_custkey % 3 <> 1").select("o_custkey", F.struct(opens.alias("d"), "o_orderkey").alias("at"), opens.alias("opens"), F.when(F.col("o_orderkey") % 50 != 0, F.date_add(opens, days)).alias("shuts"))
+    return quality.check_overlap(rows, ["o_custkey"], "at", "opens", "shuts").select("o_custkey", F.col("earlier.o_orderkey").alias("earlier"), F.col("later.o_orderkey").alias("later"))
+
+
 @query("check_order", "SELECT l_orderkey, l_linenumber, o_orderdate, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate > l_shipdate")
 def check_order(t: Tables) -> DataFrame:
     rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_orderdate", "l_shipdate")

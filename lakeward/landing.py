@@ -4,13 +4,14 @@ to a scratch folder of its own and has its SQL."""
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeward.catalog import Tables, query
 from lakeward.functions.expressions import kickoff
-from lakeward.operators import identity, merge, retype, staff
+from lakeward.operators import identity, merge, retype, serving, staff
 from lakeward.plans import build, runner
 from lakeward.sources import registry, snapshot
 from lakeward.sources.pages import Wiki, load_staff
@@ -96,6 +97,76 @@ def plan_results(t: Tables) -> DataFrame:
     return log.steps().select("dataset", "season", "status", "n_rows")
 
 
+YEARS_SQL = "(SELECT CAST(year(o_orderdate) AS INTEGER) AS season, count(*) AS n FROM orders GROUP BY 1)"
+RUN_SQL = f"""(SELECT 'refresh' AS kind, CASE WHEN season % 3 = 0 THEN 'failed' ELSE 'success' END AS status, CASE WHEN season % 3 = 0 THEN 'no rows of ' || season END AS error, season AS began,
+  season AS step, CASE WHEN season % 3 = 0 THEN 0 ELSE n END AS n_rows FROM {YEARS_SQL} UNION ALL SELECT 'backfill', 'running', NULL, 9999, NULL, NULL)"""
+
+
+def _history(t: Tables) -> runner.RunLog:
+    """One run a year of orders, in order; every third year fails, and a last run has begun and not ended."""
+    log, games = runner.RunLog(t.spark, build.scratch(t.spark)), registry.Dataset("orders", "orders", "mirror", first_season=1990)
+    per_year = {r.season: r.n for r in _yearly(t).groupBy("season").agg(F.count("*").alias("n")).collect()}
+
+    def load(step: runner.Step) -> int:
+        if step.season % 3 == 0:
+            raise ValueError(f"no rows of {step.season}")
+        return per_year[step.season]
+
+    history = runner.History(log.save, started=log.save)
+    for season in sorted(per_year):
+        runner.run_pipeline(runner.make_plan([games], season, season), load, lambda: 0, lambda _: None, history, retries=0)
+    history.begin("backfill", {})
+    return log
+
+
+@query("run_history", f"SELECT kind, status, error, step AS season, n_rows FROM {RUN_SQL} ORDER BY began DESC LIMIT 5")
+def run_history(t: Tables) -> DataFrame:
+    """The latest runs of the library's own log, with what their steps loaded."""
+    log = _history(t)
+    steps = log.steps().select("run_id", "season", "n_rows")
+    return serving.latest_runs(log.runs(), 5).join(steps, "run_id", "left").select("kind", "status", "error", "season", "n_rows")
+
+
+@query("run_health", f"""SELECT 'latest' AS which, kind, status FROM (SELECT * FROM {RUN_SQL} ORDER BY began DESC LIMIT 1)
+    UNION ALL SELECT 'latest_success', kind, status FROM (SELECT * FROM {RUN_SQL} WHERE status = 'success' ORDER BY began DESC LIMIT 1)""")
+def run_health(t: Tables) -> DataFrame:
+    told = serving.health(_history(t).runs().withColumnRenamed("kind", "of_kind"))
+    return told.select(F.col("kind").alias("which"), F.col("of_kind").alias("kind"), "status")
+
+
+@query("minted_by_two", """SELECT o_clerk AS name, CAST(row_number() OVER (ORDER BY o_orderpriority, o_clerk) AS INTEGER) AS id
+    FROM (SELECT DISTINCT concat(o_orderpriority, ' ', o_custkey % 700) AS o_clerk, left(o_orderpriority, 1) AS o_orderpriority FROM orders)""")
+def minted_by_two(t: Tables) -> DataFrame:
+    """Several builders that share the marks reserve their ids one after another."""
+    path, names = f"{build.scratch(t.spark)}/marks", t.orders.select(F.concat("o_orderpriority", F.lit(" "), F.col("o_custkey") % 700).alias("name"))
+    each = [identity.mint_ids(names.where(F.col("name").startswith(str(k))), lambda n: build.Marks(t.spark, path).reserve("clerk", n)) for k in range(1, 6)]
+    return reduce(DataFrame.unionByName, each)
+
+
+@query("merged_buckets", """SELECT o_orderkey, CASE WHEN o_orderkey % 40 = 0 THEN -1.0 ELSE o_totalprice END AS o_totalprice FROM orders
+    UNION ALL SELECT -1 - o_orderkey, 0.0 FROM orders WHERE o_orderkey % 90 = 0""")
+def merged_buckets(t: Tables) -> DataFrame:
+    """A second build merges changed and new rows into a model stored in buckets of its key."""
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    new = rows.where("o_orderkey % 40 = 0").withColumn("o_totalprice", F.lit(-1.0)).unionByName(rows.where("o_orderkey % 90 = 0").select((-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit(0.0).alias("o_totalprice")))
+    model = build.Model("prices", lambda own, _: own, ("source",), "merge", ("o_orderkey",), buckets=8)
+    root = build.scratch(t.spark)
+    build.Project(t.spark, root, [model], {"source": rows}).build()
+    second = build.Project(t.spark, root, [model], {"source": new})
+    second.build()
+    return second.frame("prices")
+
+
+@query("rows_by_id", f"SELECT o_orderkey, o_custkey, o_totalprice, season FROM {YEARLY_SQL} WHERE o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey = (SELECT min(o_custkey) FROM orders))")
+def rows_by_id(t: Tables) -> DataFrame:
+    """Single rows of a stored fact by their ids: files in order of it and Bloom filters spare the other row groups."""
+    table = snapshot.Table(t.spark, build.scratch(t.spark), "season", lookup=("o_orderkey",))
+    table.replace_all(_yearly(t))
+    first = t.orders.agg(F.min("o_custkey")).first()[0]
+    ids = [r[0] for r in t.orders.where(F.col("o_custkey") == first).select("o_orderkey").collect()]  # one customer's orders
+    return serving.of_ids(table.read(), "o_orderkey", ids)
+
+
 @query(
     "project_second_build",
     """WITH s AS (SELECT DISTINCT p_brand AS alias FROM part), o AS (SELECT alias, CAST(row_number() OVER (ORDER BY alias) AS INTEGER) AS id FROM s WHERE alias NOT LIKE '%5')

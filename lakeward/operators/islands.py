@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeward.functions.expressions import all_of
+from lakeward.sources.scratch import staged
 
-def islands(df: DataFrame, part: list[str], order: list[str], value: str, name: str = "run_no") -> DataFrame:
-    """Numbers the runs of equal values (null is a value) from 0 in each partition."""
+from .split import Split
+
+
+def islands(df: DataFrame, part: list[str], order: list[str], value: str, name: str = "run_no", split: bool = False) -> DataFrame:
+    """Numbers the runs of equal values (null is a value) from 0 in each partition. With `split` a
+    partition may hold a large share of the rows: it is dealt over several tasks."""
+    if split:
+        parts = Split(df, part, order)
+        rows = parts.before(parts.rows, "__before", F.col(value))
+        new = F.col("__before").isNull() | ~F.col("__before.v").eqNullSafe(F.col(value))
+        rows = parts.running_sum(rows.withColumn("__changed", new.cast("int")), "__sum", "__changed")
+        return rows.select(*df.columns, (F.col("__sum") - 1).alias(name))
     w = Window.partitionBy(*part).orderBy(*order)
     first = F.row_number().over(w) == 1
     step = (first | ~F.lag(value).over(w).eqNullSafe(F.col(value))).cast("int")
@@ -15,9 +27,13 @@ def islands(df: DataFrame, part: list[str], order: list[str], value: str, name:
     return changed.withColumn(name, F.sum("__changed").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("__changed")
 
 
-def stints(df: DataFrame, part: list[str], order: list[str], value: str, at: str) -> DataFrame:
+def stints(df: DataFrame, part: list[str], order: list[str], value: str, at: str, split: bool = False) -> DataFrame:
     """One row per run: its first and last moment, and how many runs its partition has."""
-    runs = islands(df, part, order, value).groupBy(*part, value, "run_no").agg(F.min(at).alias("first_at"), F.max(at).alias("last_at"), F.count("*").alias("n"))
+    runs = islands(df, part, order, value, split=split).groupBy(*part, value, "run_no").agg(F.min(at).alias("first_at"), F.max(at).alias("last_at"), F.count("*").alias("n"))
+    if split:
+        runs = staged(runs)
+        each = runs.groupBy(*(F.col(k).alias(f"__{k}") for k in part)).agg(F.count("*").alias("stints"))
+        return runs.join(each, all_of([F.col(k).eqNullSafe(F.col(f"__{k}")) for k in part])).drop(*(f"__{k}" for k in part))
     return runs.withColumn("stints", F.count("*").over(Window.partitionBy(*part)))
 
 
@@ -74,15 +90,23 @@ def recorded_rows(
     )
 
 
-def collapse(df: DataFrame, keys: list[str], period: str, latest: Column | int) -> DataFrame:
+def collapse(df: DataFrame, keys: list[str], period: str, latest: Column | int, split: bool = False) -> DataFrame:
     """Joins rows of consecutive periods to tenures. A tenure starts where there is no
     row before, a period is missing, the row before ended explicitly or this one
-    starts so; one that reaches the latest period without an explicit end in it is ongoing."""
+    starts so; one that reaches the latest period without an explicit end in it is ongoing. With
+    `split` a key may hold a large share of the rows."""
     latest = latest if isinstance(latest, Column) else F.lit(latest)
-    w = Window.partitionBy(*keys).orderBy(period, F.col("start_date").asc_nulls_first())
-    seq = df.withColumn("__prev", F.lag(period).over(w)).withColumn("__ended", F.lag("explicit_end").over(w))
+    order = [F.col(period), F.col("start_date").asc_nulls_first()]
     new = F.col("__prev").isNull() | (F.col("__prev") != F.col(period) - 1) | F.coalesce("__ended", F.lit(False)) | F.col("explicit_start")
-    numbered = seq.withColumn("tenure_no", F.sum(new.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    if split:
+        parts = Split(df, keys, order)
+        seq = parts.before(parts.rows, "__before", F.struct(F.col(period).alias("p"), F.col("explicit_end").alias("e")))
+        seq = seq.withColumn("__prev", F.col("__before.v.p")).withColumn("__ended", F.col("__before.v.e"))
+        numbered = parts.running_sum(seq.withColumn("__new", new.cast("int")), "tenure_no", "__new")
+    else:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        seq = df.withColumn("__prev", F.lag(period).over(w)).withColumn("__ended", F.lag("explicit_end").over(w))
+        numbered = seq.withColumn("tenure_no", F.sum(new.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     # the greatest (period, ended) tells whether any row of the last period ended
     grouped = numbered.groupBy(*keys, "tenure_no").agg(
         F.min(period).alias("first_period"),
