@@ -179,9 +179,7 @@ def project_second_build(t: Tables) -> DataFrame:
 
     def rows(brands: DataFrame, held: DataFrame | None) -> DataFrame:
         known = spark.createDataFrame([], identity.IDENTITY) if held is None else held
-        new = identity.identity_rows(brands, spark.createDataFrame([], "source_value string, canonical_value string"), known, marks.get("brand"))
-        marks.raise_to("brand", identity.next_high_water(new, marks.get("brand")))
-        return new
+        return identity.identity_rows(brands, spark.createDataFrame([], "source_value string, canonical_value string"), known, lambda n: marks.reserve("brand", n))
 
     models = [
         build.Model("brand_ids", rows, ("brands",), "merge", ("alias",), layer="reference", kept=True),

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from lakeward.catalog import Tables, query
 from lakeward.functions import staff_text
 from lakeward.operators import identity, serving
-from lakeward.plans import marts
+from lakeward.plans import league_project, marts
+from lakeward.plans.build import Project
+from lakeward.sources.scratch import scratch
 
 NOW = dt.datetime(2024, 6, 1, 12)
 NOW_SQL = "TIMESTAMP '2024-06-01 12:00:00'"
@@ -78,6 +80,10 @@ class League:
         self.officials = t.supplier.selectExpr("concat('Ref ', s_suppkey % 45) AS official_name", "CASE WHEN s_suppkey % 2 = 0 THEN 'Referee' ELSE 'Umpire' END AS position")
         self.none = spark.createDataFrame([], identity.IDENTITY)
 
+    def sources(self) -> dict[str, DataFrame]:
+        """What a project of the league builds on."""
+        return {"schedules_source": self.schedules, "staff": self.staff, "teams_source": self.teams, "officials": self.officials, "mappings": self.mappings, "roles": self.roles}
+
     def team_ids(self) -> DataFrame:
         return marts.team_identities(self.schedules, self.teams, self.mappings)
 
@@ -283,9 +289,26 @@ GAMES = serving.Surface(
 )
 
 
+_projects: dict[tuple[str, str], Project] = {}
+
+
+def stored(t: Tables) -> Project:
+    """The league's marts, built once a session and folder of tables; the pages read what is stored."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _projects:
+        made = league_project.project(t.spark, scratch(t.spark), League(t).sources(), NOW)
+        made.build()
+        _projects[key] = made
+    return _projects[key]
+
+
+def stored_fact(t: Tables) -> DataFrame:
+    return stored(t).frame("schedules").drop("created_at", "updated_at")
+
+
 def _games_page(name: str, where: str, order: str, q: serving.PageQuery) -> None:
-    query(f"games_{name}", f"SELECT * FROM {FACT_SQL} WHERE {where} ORDER BY {order} LIMIT {q.limit} OFFSET {q.offset}")(lambda t: serving.page(_fact(t), GAMES, q))
-    query(f"games_{name}_total", f"SELECT count(*) AS total FROM {FACT_SQL} WHERE {where}")(lambda t: serving.total(_fact(t), GAMES, q))
+    query(f"games_{name}", f"SELECT * FROM {FACT_SQL} WHERE {where} ORDER BY {order} LIMIT {q.limit} OFFSET {q.offset}")(lambda t: serving.page(stored_fact(t), GAMES, q))
+    query(f"games_{name}_total", f"SELECT count(*) AS total FROM {FACT_SQL} WHERE {where}")(lambda t: serving.total(stored_fact(t), GAMES, q))
 
 
 _games_page(
@@ -302,6 +325,22 @@ _games_page(
 _games_page("of_team_and_coach", "(home_team_id = 3 OR away_team_id = 3) AND (home_coach_id = 30 OR away_coach_id = 30) AND away_team_id = 3", "spread_line NULLS LAST, game_id", serving.PageQuery({"team_id": 3, "coach_id": 30, "away_team_id": 3}, "spread_line", False, 500))
 
 
+@query("games_by_id", f"SELECT * FROM {FACT_SQL} WHERE game_id IN (SELECT 1 + 40 * range FROM range(25))")
+def games_by_id(t: Tables) -> DataFrame:
+    """Single games of the stored fact."""
+    return serving.of_ids(stored_fact(t), "game_id", [1 + 40 * k for k in range(25)])
+
+
+@query("stored_tenures", TENURES_SQL)
+def stored_tenures(t: Tables) -> DataFrame:
+    return stored(t).frame("coaching_tenures").drop("created_at", "updated_at")
+
+
+@query("stored_stadiums", PLACES_SQL)
+def stored_stadiums(t: Tables) -> DataFrame:
+    return stored(t).frame("stadiums").drop("created_at", "updated_at")
+
+
 @query("runs_of_ids", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_orderkey DESC LIMIT 25)")
 def runs_of_ids(t: Tables) -> DataFrame:
     """The steps of the latest runs, by a list of ids."""
