@@ -33,7 +33,8 @@ TOXIC_ROWS, CLEAN_ROWS = 900, 1600
 #: Landmarks from toxic and from clean sentences.
 LANDMARKS, CLEAN_LANDMARKS = 32, 16
 DECAY = 0.6
-#: The normalised kernel is raised to this power.
+#: The normalised kernel is raised to this power. POWER and SHARE are the best of five settings in a four-fold
+#: cross-validation on labelled rows that are not held out.
 POWER = 3
 THRESHOLD = 0.7
 #: Longer words are read in windows of this many characters, half overlapping.

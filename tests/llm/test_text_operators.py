@@ -220,6 +220,42 @@ def planted(n, seed):
     return out
 
 
+def test_score_against_its_definition(spark):
+    """From the weights of all subsequences of three characters to the score of a text."""
+    from collections import Counter
+    from itertools import combinations
+
+    def spread(w):
+        out = Counter()
+        for x in combinations(range(len(w)), 3):
+            out["".join(w[i] for i in x)] += toxicity.DECAY ** (x[2] - x[0] + 1)
+        return out
+
+    dot = lambda a, b: sum(v * b[k] for k, v in a.items())
+
+    def alike(a, b):
+        a, b = spread(a), spread(b)
+        return (dot(a, b) / (dot(a, a) * dot(b, b)) ** 0.5 if a and b else 0.0) ** toxicity.POWER
+
+    landmarks, weights, bias, curve = ("^snerk$", "^blort$", "^sneeze$"), (1.5, 1.1, -0.9), -0.15, (2.5, -0.4, -0.3)
+    own = tuple(float(v) for v in toxicity.paired(list(landmarks)))
+    model = toxicity.Model(landmarks, weights, bias, own, curve)
+
+    def worth(word):
+        plain = "".join(c for c in word if c.isalnum())
+        plain = "^" + (plain if plain.isdigit() or word.isalpha() else plain.translate(str.maketrans("013457", "oieast"))) + "$"
+        parts = [plain] if len(plain) <= 24 else [plain[i : i + 24] for i in range(0, len(plain) - 12, 12)]
+        return max(min(1.0, max(0.0, sum(w * alike(x, m) for w, m in zip(weights, landmarks, strict=True)) + bias)) for x in parts)
+
+    texts = ["You sn-erk, you bl0rt!", "a fine day", "s n e r k", "snerk snerk SNERK", "xx" * 30 + "blort" + "y" * 15, "sneeze", "12345 s.n.e.r.k", "", None]
+    rows = toxicity.score_toxicity(spark.createDataFrame([*enumerate(texts)], DOCS), model).orderBy("doc_id").collect()
+    for r, t in zip(rows, texts, strict=True):
+        words = toxicity.words_of(t or "")
+        at = curve[0] * np.log1p(sum(map(worth, words))) + curve[1] * np.log1p(len(words)) + curve[2]
+        assert abs(r.score - 1 / (1 + np.exp(-at))) < 1e-4 and r.predicted == (r.score >= 0.7), t
+    assert rows[0].score > rows[1].score and rows[4].score > rows[1].score
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows = planted(900, 5)
     docs = spark.createDataFrame([r[:2] for r in rows] + [(5000, None), (5001, ""), (None, "x"), (5002, "the " * 50000)], DOCS)
