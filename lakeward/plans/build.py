@@ -101,9 +101,10 @@ BUCKET = "__bucket"
 
 
 class Project:
-    """Models in the order of their inputs, each a snapshot table under `root`/layer/name."""
+    """Models in the order of their inputs, each a snapshot table under `root`/layer/name. A source may be a
+    function, which is asked when a build needs it."""
 
-    def __init__(self, spark: SparkSession, root: str, models: list[Model], sources: dict[str, Table | DataFrame]):
+    def __init__(self, spark: SparkSession, root: str, models: list[Model], sources: dict[str, Table | DataFrame | Callable[[], DataFrame]]):
         self.spark, self.root, self.sources = spark, root.rstrip("/"), sources
         self.models = {m.name: m for m in models}
         self.views: dict[str, DataFrame] = {}
@@ -122,6 +123,8 @@ class Project:
         if name in self.models:
             return self.table(name).read().drop(BUCKET)
         held = self.sources[name]
+        if callable(held):
+            return held()
         return held.read() if isinstance(held, Table) else held
 
     def build(self, full_refresh: bool = False, only: tuple[str, ...] = ()) -> dict[str, int]:

@@ -74,7 +74,7 @@ def models(spark: SparkSession, marks: Marks, now: dt.datetime) -> list[Model]:
     ]
 
 
-def project(spark: SparkSession, root: str, sources: dict[str, DataFrame | Table], now: dt.datetime | None = None) -> Project:
+def project(spark: SparkSession, root: str, sources: dict, now: dt.datetime | None = None) -> Project:
     return Project(spark, root, models(spark, Marks(spark, f"{root.rstrip('/')}/marks"), now or dt.datetime.now()), sources)
 
 
@@ -83,9 +83,10 @@ def of_settings(spark: SparkSession, settings) -> Project:
     seeds/coach_roles.csv beside them."""
     held = lambda name: Table(spark, f"{settings.root}/staging/{name}").read()
     typed = lambda df, kinds: retype.typed_copy(df, {c: kinds.get(c, t) for c, t in df.dtypes})
+    seeds = f"{settings.root}/seeds"
     sources = {
-        "schedules_source": typed(held("schedules").drop("_loaded_at"), GAME_TYPES), "staff": typed(held("coaching_staff").withColumnRenamed("person", "coach"), STAFF_TYPES),
-        "teams_source": held("teams"), "officials": held("officials"), "mappings": registry.seed(spark, f"{settings.root}/seeds/reference_mappings.csv", MAPPINGS),
-        "roles": registry.seed(spark, f"{settings.root}/seeds/coach_roles.csv", ROLES),
+        "schedules_source": lambda: typed(held("schedules").drop("_loaded_at"), GAME_TYPES), "staff": lambda: typed(held("coaching_staff").withColumnRenamed("person", "coach"), STAFF_TYPES),
+        "teams_source": lambda: held("teams"), "officials": lambda: held("officials"), "mappings": lambda: registry.seed(spark, f"{seeds}/reference_mappings.csv", MAPPINGS),
+        "roles": lambda: registry.seed(spark, f"{seeds}/coach_roles.csv", ROLES),
     }
     return project(spark, f"{settings.root}/warehouse", sources)

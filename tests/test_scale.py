@@ -1,5 +1,6 @@
 """Hot keys, intervals, concurrent drivers, and reads that spare what they do not need."""
 
+import datetime as dt
 import random
 from concurrent.futures import ThreadPoolExecutor
 
@@ -255,3 +256,71 @@ def test_reads_by_id_skip_row_groups(spark, tmp_path):
 
 def test_scratch_needs_a_shared_folder(spark):
     assert scratch.scratch(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# -- the league's project
+
+
+def test_the_league_is_built_merged_and_served(spark, tmp_path):
+    from lakeward import league
+    from lakeward.catalog import Tables
+    from lakeward.operators.serving import PageQuery, page, total
+    from lakeward.plans import league_project
+
+    whole = league.League(Tables(spark, "/root/testdata/sf0.001"))
+    first = whole.sources() | {"schedules_source": whole.schedules.where("season < 1997"), "staff": whole.staff.where("season < 1997")}
+    early = dt.datetime(2020, 1, 1)
+    p = league_project.project(spark, str(tmp_path), first, early)
+    p.build()
+    ids = {n: {r.alias: r.id for r in p.frame(n).collect()} for n in ("coach_ids", "referee_ids", "place_ids", "game_ids")}
+    games = {r.game_id: r for r in p.frame("schedules").collect()}
+    folders = p.table("schedules").parts()
+
+    # a season is added and one game of the stored ones gets another total
+    moved = min(k for k, r in games.items() if r.season == 1995)
+    one = next(a for a, i in ids["game_ids"].items() if i == moved and a.startswith("G"))
+    changed = F.when(F.col("game_id") == one, F.lit(99).cast("smallint")).otherwise(F.col("total"))
+    late = dt.datetime(2021, 1, 1)
+    p = league_project.project(spark, str(tmp_path), whole.sources() | {"schedules_source": whole.schedules.where("season < 1998").withColumn("total", changed)}, late)
+    p.build()
+    for n, held in ids.items():
+        now = {r.alias: r.id for r in p.frame(n).collect()}
+        minted = set(now.values()) - set(held.values())  # the others took over a spelling's id
+        assert held.items() <= now.items() and (minted or n in ("place_ids", "referee_ids")) and min(minted, default=10**9) > max(held.values())
+    after = p.table("schedules").parts()
+    assert {k for k in after if after[k] != folders.get(k)} == {"1995", "1997"}
+    now = {r.game_id: r for r in p.frame("schedules").collect()}
+    assert games.keys() < now.keys() and all(r == now[k] for k, r in games.items() if k != moved)
+    assert (now[moved].total, now[moved].created_at, now[moved].updated_at) == (99, early, late)
+
+    # a third build finds nothing new
+    versions = p.table("schedules").version()
+    p.build()
+    assert rows(p.frame("schedules")) == sorted(map(tuple, now.values()), key=repr) and p.table("schedules").version() <= versions + 1
+    assert all(p.table("schedules").parts()[k] == f for k, f in after.items())
+
+    # pages read the stored fact with their filters pushed to the files
+    q = PageQuery({"season": 1997, "played": True}, "gameday", limit=5)
+    shown = page(p.frame("schedules"), league.GAMES, q)
+    assert len(shown.collect()) == 5 and "EqualTo(season,1997)" in shown._jdf.queryExecution().toString()
+    assert total(p.frame("schedules"), league.GAMES, q).first().total == sum(r.season == 1997 and r.result is not None for r in now.values())
+
+
+def test_the_command_line_builds_the_league(spark, tmp_path):
+    from lakeward import cli, league
+    from lakeward.catalog import Tables
+
+    have, mirror = league.League(Tables(spark, "/root/testdata/sf0.001")), f"{tmp_path}/mirror"
+    have.schedules.write.parquet(f"{mirror}/schedules.parquet")
+    have.teams.write.parquet(f"{mirror}/teams.parquet")
+    have.staff.where("season = 1996").withColumnRenamed("coach", "person").drop("season").write.parquet(f"{mirror}/coaching_staff/1996.parquet")
+    have.officials.withColumn("season", F.lit(2016)).write.parquet(f"{mirror}/officials/2016.parquet")
+    have.mappings.coalesce(1).write.csv(f"{tmp_path}/root/seeds/reference_mappings.csv", header=True)
+    have.roles.coalesce(1).write.csv(f"{tmp_path}/root/seeds/coach_roles.csv", header=True)
+    app = cli.App(spark, cli.Settings(f"{tmp_path}/root", mirror, 1990, project="lakeward.plans.league_project.of_settings"), lambda _: None)
+    for name, season in (("schedules", None), ("teams", None), ("coaching_staff", 1996), ("officials", 2016)):
+        app.load(runner.Step(name, season))
+    assert app.run(["transform"]) == 0
+    fact = app.project.frame("schedules")
+    codes = [r.alias for r in have.team_ids().collect()]
+    assert fact.count() == have.schedules.where(F.col("home_team").isin(codes) & F.col("away_team").isin(codes)).count() > 1000 and dict(fact.dtypes)["gameday"] == "date" and app.project.frame("coaching_tenures").count() > 0
