@@ -62,6 +62,22 @@ def landing_types(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(sorted(table.schema().items()), "name string, kind string")
 
 
+@query(
+    "landing_widened",
+    """SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS wider, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS unlike, CAST(o_custkey AS VARCHAR) AS text, o_totalprice > 1000 AS same, CAST(NULL AS DATE) AS added, year(o_orderdate) AS season
+    FROM orders WHERE year(o_orderdate) = 1996 UNION ALL SELECT o_orderkey, o_custkey / 2.0, CAST(o_custkey AS VARCHAR), concat('c', o_custkey), o_totalprice > 2000, CAST(o_orderdate AS DATE), 1997 FROM orders WHERE year(o_orderdate) = 1997""",
+)
+def landing_widened(t: Tables) -> DataFrame:
+    """A season of other types is landed beside one that is there: values in types that hold both."""
+    table, day, key = snapshot.Table(t.spark, build.scratch(t.spark), "season"), F.col("o_orderdate").cast("date"), F.col("o_custkey").cast("bigint")
+    rows = t.orders.withColumn("season", F.year("o_orderdate").cast("bigint"))
+    one = rows.select("o_orderkey", key.alias("wider"), day.alias("unlike"), key.alias("text"), (F.col("o_totalprice") > 1000).alias("same"), "season")
+    two = rows.select("o_orderkey", (F.col("o_custkey") / 2).alias("wider"), key.alias("unlike"), F.concat(F.lit("c"), "o_custkey").alias("text"), (F.col("o_totalprice") > 2000).alias("same"), day.alias("added"), "season")
+    table.replace_partition(one.where("season = 1996"), "season", 1996)
+    table.replace_partition(two.where("season = 1997"), "season", 1997)
+    return table.read()
+
+
 @query("load_step", "SELECT o_orderkey, o_orderstatus, year(o_orderdate) AS season FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998")
 def load_step(t: Tables) -> DataFrame:
     """Three of four planned seasons exist at the source; each is fetched, stamped and landed."""

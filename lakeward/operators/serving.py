@@ -5,6 +5,7 @@ from __future__ import annotations
 import hmac
 import threading
 import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -159,6 +160,33 @@ def rows_within(df: DataFrame, seconds: float) -> list:
         context.removeJobTag(tag)
 
 
+class Reader:
+    """What a service may do with stored tables: read them, each time within `seconds`. It holds a function from
+    names to frames, such as `Project.frame`, and the names that are served; it has no way to write,
+    and what is not on the list is Invalid."""
+
+    def __init__(self, frame: Callable[[str], DataFrame], served: Iterable[str], seconds: float = 15.0):
+        self._frame, self._served, self._seconds = frame, frozenset(served), seconds
+
+    def _of(self, name: str) -> DataFrame:
+        if name not in self._served:
+            raise Invalid(f"{name} is not served")
+        return self._frame(name)
+
+    def page(self, name: str, surface: Surface, q: PageQuery) -> tuple[list, int]:
+        """(the page's rows, the number of all rows that pass its filters)."""
+        df = self._of(name)
+        return rows_within(page(df, surface, q), self._seconds), rows_within(total(df, surface, q), self._seconds)[0][0]
+
+    def dimension(self, name: str, order: str) -> list:
+        return rows_within(dimension(self._of(name), order), self._seconds)
+
+    def one(self, name: str, key: str, value: Any):
+        """The row, or None."""
+        rows = rows_within(self._of(name).where(F.col(key) == F.lit(value)).limit(1), self._seconds)
+        return rows[0] if rows else None
+
+
 def status_of(error: Exception | None) -> int:
     """The HTTP status that tells what a read ended with; None stands for a missing row."""
     if error is None:

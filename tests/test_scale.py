@@ -258,6 +258,17 @@ def test_scratch_needs_a_shared_folder(spark):
     assert scratch.scratch(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_a_reader_reads_what_is_served(spark):
+    frames = {"games": spark.range(9).withColumnRenamed("id", "game_id"), "secret": spark.range(3)}
+    surface = serving.Surface({"game_id": "game_id"}, {"from": "game_id"}, {}, {}, {}, {}, "game_id")
+    reader = serving.Reader(frames.__getitem__, ["games"], 60)
+    assert reader.page("games", surface, serving.PageQuery({"from": 4}, limit=2)) == ([(4,), (5,)], 5)
+    assert reader.one("games", "game_id", 7).game_id == 7 and reader.one("games", "game_id", 70) is None and len(reader.dimension("games", "game_id")) == 9
+    with pytest.raises(serving.Invalid):
+        reader.one("secret", "id", 1)
+    assert not [n for n in dir(reader) if "write" in n]
+
+
 # -- the league's project
 
 
