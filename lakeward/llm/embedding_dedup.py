@@ -10,13 +10,15 @@ cut off: every two of its windows meet in a task of their own.
 
 Products are taken in single precision; those within its error of the threshold are taken
 again in double precision, so no link is invented. A pair is counted in the first pass in
-which its vectors share a run, which either of them tells from its keys: no pairs are sent.
+which its vectors share a run, which its vectors' keys tell, made anew where a pair is found: neither pairs nor
+keys of other passes are sent.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -62,10 +64,10 @@ def near(x: np.ndarray, y: np.ndarray, x32: np.ndarray, y32: np.ndarray) -> np.n
     return found
 
 
-def compare(ids: np.ndarray, mult: np.ndarray, x: np.ndarray, seen: np.ndarray, first: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the number of other vectors with COSINE or more that share no column of
-    `seen` with it, and the smallest id it is joined with. `first` marks the rows of one of
-    two windows that meet; rows of one window alone (None) meet each other."""
+def compare(ids: np.ndarray, mult: np.ndarray, x: np.ndarray, keys: Callable[[np.ndarray], np.ndarray], first: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the number of other vectors with COSINE or more that share none of their `keys`, of the
+    passes before, with it, and the smallest id it is joined with. Keys are made anew for those that are
+    that near alone. `first` marks the rows of one of two windows that meet; rows of one window alone (None) meet each other."""
     n, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
     rows, columns = (np.arange(len(ids)),) * 2 if first is None else (np.flatnonzero(first), np.flatnonzero(~first))
     x32 = x.astype(np.float32)
@@ -79,9 +81,11 @@ def compare(ids: np.ndarray, mult: np.ndarray, x: np.ndarray, seen: np.ndarray,
         if not len(i):
             continue
         i, j = own[i], columns[j]
+        some, at_some = np.unique(np.concatenate([i, j]), return_inverse=True)
+        seen, a, b = keys(x[some]), at_some[: len(i)], at_some[len(i) :]
         new = np.ones(len(i), bool)
         for q in range(seen.shape[1]):
-            new &= seen[i, q] != seen[j, q]
+            new &= seen[a, q] != seen[b, q]
         np.add.at(n, i[new], mult[j[new]])
         if first is not None:
             np.add.at(n, j[new], mult[i[new]])
@@ -102,14 +106,19 @@ def passes_for(bits: int) -> int:
     return 1 if same == 1 else math.ceil(math.log(MISS) / math.log1p(-same))
 
 
+@lru_cache(maxsize=MOST_PASSES)
+def directions(dim: int, p: int) -> np.ndarray:
+    """BITS random directions of one pass, in whole numbers."""
+    return np.rint(np.random.default_rng([dim, p]).standard_normal((BITS, dim)) * 2.0**10)
+
+
 def keys_of(x: np.ndarray, passes: int, bits: int) -> np.ndarray:
     """Per row and pass the signs of its projections on the pass's directions, as a number.
-    The directions follow from the length of the vectors, the pass and the bit."""
-    out = np.zeros((len(x), passes), np.int32)
-    for p in range(passes):
-        if bits:
-            directions = np.random.default_rng([x.shape[1], p]).standard_normal((BITS, x.shape[1]))[:bits]
-            out[:, p] = (x @ directions.T > 0) @ (1 << np.arange(bits)[::-1])
+    The directions follow from the length of the vectors, the pass and the bit. Projections are sums of
+    whole numbers below 2^53, so a vector has the same keys wherever they are made."""
+    out, whole = np.zeros((len(x), passes), np.int32), np.rint(x * 2.0**20)
+    for p in range(passes if bits else 0):
+        out[:, p] = (whole @ directions(x.shape[1], p)[:bits].T > 0) @ (1 << np.arange(bits)[::-1])
     return out
 
 
@@ -159,16 +168,15 @@ def links(nodes: DataFrame, bits: int | None = None) -> DataFrame:
         rows.join(large, ["dim", "pass", "key"], "left")
         .withColumn("window", F.pmod(F.xxhash64("rep"), k).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), k - 1)))
-        .select("dim", "pass", "key", F.least("window", "other").alias("i"), F.greatest("window", "other").alias("j"), "window", "rep", "mult", F.slice("keys", F.lit(1), F.col("pass")).alias("seen"), "v")
+        .select("dim", "pass", "key", F.least("window", "other").alias("i"), F.greatest("window", "other").alias("j"), "window", "rep", "mult", "v")
     )
 
     def met(t: pa.Table) -> pa.RecordBatch | None:
         if len(t) < 2:
             return None
-        rep, v, mult, window, i, j, seen = (t.column(c).combine_chunks() for c in ("rep", "v", "mult", "window", "i", "j", "seen"))
-        ids, i, j = rep.to_numpy(), i[0].as_py(), j[0].as_py()
-        before = seen.flatten().to_numpy().reshape(len(ids), -1) if t.column("pass")[0].as_py() else np.zeros((len(ids), 0), np.int32)
-        n, low = compare(ids, mult.to_numpy(), unit(v), before, None if i == j else window.to_numpy() == i)
+        rep, v, mult, window, i, j, passed = (t.column(c).combine_chunks() for c in ("rep", "v", "mult", "window", "i", "j", "pass"))
+        ids, i, j, passed = rep.to_numpy(), i[0].as_py(), j[0].as_py(), passed[0].as_py()
+        n, low = compare(ids, mult.to_numpy(), unit(v), lambda x: keys_of(x, passed, bits), None if i == j else window.to_numpy() == i)
         keep = (n > 0) | (low < ids)
         return pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(low[keep]), pa.array(n[keep])], ["rep", "low", "n"]) if keep.any() else None
 
