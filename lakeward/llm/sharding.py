@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import heapq
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stage, table
+from .common import shared_dir, stage, table, unstage
 
 SLOTS = 8192
 SHARDS = 40
@@ -23,7 +24,7 @@ MAP_FIELDS = "version int, virtual_slot int, shard int, slot_bytes bigint"
 
 
 def virtual_slot(*record: Column, slots: int = SLOTS) -> Column:
-    """Depends on the record alone; nulls have a slot too."""
+    """Depends on the given columns alone; nulls have a slot too."""
     return F.pmod(F.xxhash64(*record), F.lit(slots)).cast("int")
 
 
@@ -101,9 +102,9 @@ def shard_documents(
     The map is stored under `map_path` (a folder in the shared one by default); given
     the `previous` version's rows, it is edited instead of built. A null text has no
     bytes and the checksum of the empty text. A record's slot follows from its id, checksum and
-    size, and for rows that repeat all three from how often a task has met them, so neither
-    null ids nor rows that repeat an id or a text gather in a slot; an empty table gives an
-    empty result; other columns are dropped.
+    size; rows that repeat all three are numbered and their number counts too, so neither null ids nor rows
+    that repeat an id or a text gather in a slot, and the slots that such rows fill do not depend on how the
+    table is read; an empty table gives an empty result; other columns are dropped.
     """
     spark = docs.sparkSession
     text = F.col("text").cast("string")
@@ -114,8 +115,16 @@ def shard_documents(
         F.spark_partition_id().alias("task"),
     )
     record = ["doc_id", "text_crc32", "size"]
+    # copies are numbered task by task, from how many the tasks before have, so no task holds all of them
+    held = stage(plain, "rows")
+    each = held.groupBy(*record, "task").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*record).orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    later = each.withColumn("before", before).where("before > 0").select(*(F.col(c).alias(f"__{c}") for c in (*record, "task")), "before")
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*record, "task")))
     met = F.row_number().over(Window.partitionBy(*record, "task").orderBy(F.lit(0)))
-    records = stage(plain.withColumn("copy", met - 1).withColumn("virtual_slot", virtual_slot(*map(F.col, record), F.col("copy"), slots=slots)).drop("task"), "records")
+    numbered = held.join(later, same, "left").withColumn("copy", met - 1 + F.coalesce("before", F.lit(0)))
+    records = stage(numbered.withColumn("virtual_slot", virtual_slot(*map(F.col, record), F.col("copy"), slots=slots)).select(*record, "copy", "virtual_slot"), "records")
+    unstage(held)
     per_slot = {r.virtual_slot: (r.b, r.n) for r in records.groupBy("virtual_slot").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()}
     slot_bytes = {k: v[0] for k, v in per_slot.items()}
     if previous is None:

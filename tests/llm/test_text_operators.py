@@ -434,3 +434,12 @@ def test_packing_deals_a_repeated_row_over_groups(spark, monkeypatch):
     df = spark.createDataFrame([(7, "the same row")] * 400 + [(k, "x " * (k % 90)) for k in range(300)], DOCS).repartition(3)
     got = packing.pack(df).toPandas().sort_values(["sequence_id", "offset"])
     assert len(got) == 700 and (got.groupby("sequence_id").length.cumsum() - got.length == got.offset).all() and got.groupby("sequence_id").length.sum().max() <= 2048
+
+
+def test_slots_do_not_depend_on_how_the_table_is_read(spark):
+    from collections import Counter
+
+    rows = [(7, "the same row")] * 500 + [(None, "x")] * 60 + [(k, "y" * (k % 9)) for k in range(200)]
+    df = spark.createDataFrame(rows, DOCS)
+    held = [Counter((r.doc_id, r.size, r.virtual_slot) for r in sharding.shard_documents(df.repartition(n)).collect()) for n in (1, 5)]
+    assert held[0] == held[1] and sum(held[0].values()) == len(rows) and len([k for k in held[0] if k[0] == 7]) > 400
