@@ -17,12 +17,14 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,8 @@ MAGIC = b"PFR1"
 BLOCK, PERCENTILE = 128, 90
 #: A segment is closed after the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 16
+#: Texts that go to a Python worker at once, and characters that are cut into chunks at once.
+TEXTS_AT_ONCE, TOGETHER = 1024, 1 << 23
 #: Segments that go to a Python worker at once.
 SEGMENTS_AT_ONCE = 16
 HEADER = struct.Struct("<4sIQI")
@@ -130,43 +134,77 @@ class Words:
         self._library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._plain = bytes([*range(128), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
-        self._lower = bytes(range(256)).decode("latin-1").replace("\xb5", "u").lower().encode("latin-1")
         self._words = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\t-\r 0-9a-z\xdf-\xf6\xf8-\xff]+").findall
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self._spelled = lambda w: w if w.isalnum() and w.isascii() else spell(w)[0][0]
         self._tokens = self._library.model.tokenize
-        self._known: dict[bytes, bytes] = {}
+        self._known: dict[str, bytes] = {}
         self._known_words: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        out = np.array([t.id for t in self._tokens(self._spelled(word))], "<u4").tobytes()
-        if len(word) <= LONG:
-            if len(self._known_words) >= REMEMBERED // 2:
-                self._known_words.clear()
-            self._known_words[word] = out
+        out = self._known_words.get(word)
+        if out is None:
+            out = array("I", [t.id for t in self._tokens(self._spelled(word))]).tobytes()
+            if len(word) <= LONG:
+                if len(self._known_words) >= REMEMBERED // 2:
+                    self._known_words.clear()
+                self._known_words[word] = out
         return out
 
-    def _chunk(self, chunk: bytes) -> bytes:
-        known, new = self._known_words.get, self._word
-        return b"".join([known(w) or new(w) for w in self._words(chunk.decode("latin-1"))])
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            out = self._word(chunk)
+        elif chunk[:-1].isalpha() and chunk[-1].isascii():  # letters and one other sign
+            out = self._word(chunk[:-1]) + self._word(chunk[-1])
+        else:
+            out = b"".join([self._word(w) for w in self._words(chunk)])
+        if len(chunk) <= LONG:
+            if len(self._known) >= REMEMBERED:
+                self._known.clear()
+            self._known[chunk] = out
+        return out
+
+    def _simple(self, text: str) -> bool:
+        try:
+            plain = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return not plain.translate(None, self._plain) and not any(s in text for s in self._special)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """Ids of simple texts: their chunks are told apart by Arrow, and each distinct one is looked up once."""
+        chunks = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts]))
+        told = chunks.flatten().dictionary_encode()
+        at, known, new = told.indices.to_numpy(), self._known.get, self._chunk
+        held = [known(c) or new(c) for c in told.dictionary.to_pylist()]
+        flat, size = np.frombuffer(b"".join(held), "<u4"), np.array([*map(len, held)], np.int64) // 4
+        n = size[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat((np.cumsum(size) - size)[at] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[chunks.offsets.to_numpy()]).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        out: list[bytes] = [b""] * len(texts)
+        groups: list[list[int]] = [[]]
+        room = TOGETHER
+        for k, text in enumerate(texts):
+            if not self._simple(text):
+                out[k] = array("I", self._library.encode(text, add_special_tokens=False).ids).tobytes()
+                continue
+            groups[-1].append(k)
+            room -= len(text)
+            if room < 0:
+                groups.append([])
+                room = TOGETHER
+        for some in filter(None, groups):
+            for k, ids in zip(some, self._together([texts[k] for k in some]), strict=True):
+                out[k] = ids
+        return out
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        plain = text.encode("latin-1", "replace") if text.isascii() or ord(max(text)) < 256 else b"\x80"
-        if plain.translate(None, self._plain) or any(s in text for s in self._special):
-            return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        chunks = plain.translate(self._lower).split()
-        out = [*map(self._known.get, chunks)]
-        if None in out:
-            for k, x in enumerate(out):
-                if x is None:
-                    c = chunks[k]
-                    out[k] = self._known.get(c) or self._chunk(c)
-                    if len(c) <= LONG:
-                        if len(self._known) >= REMEMBERED:
-                            self._known.clear()
-                        self._known[c] = out[k]
-        return b"".join(out)
+        return self.batch([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -234,7 +272,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, vocabulary: str = VOC
     path = path or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = words_of(vocabulary).ids, np.array([end_id], "<u4").tobytes()
+        ids_of, end = words_of(vocabulary).batch, np.array([end_id], "<u4").tobytes()
         part, segment, first = TaskContext.get().partitionId(), 0, 0
         docs, sizes, held, n = [], [], [], 0
 
@@ -246,8 +284,8 @@ def write_tokens(docs: DataFrame, path: str | None = None, vocabulary: str = VOC
             return pa.RecordBatch.from_arrays([pa.array(*x) for x in row], ["part", "segment", "first", "n_ids", "doc_ids", "doc_tokens", "payload"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = ids_of(text.as_py() or "") + end
+            for doc, ids in zip(batch.column(0).to_pylist(), ids_of([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+                ids += end
                 docs.append(doc)
                 sizes.append(len(ids) // 4)
                 held.append(ids)
@@ -261,7 +299,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, vocabulary: str = VOC
     order = [F.asc_nulls_first("doc_id"), F.asc("digest"), F.asc("copy")]
     dealt = own.withColumn("digest", F.xxhash64("text")).withColumn("copy", F.monotonically_increasing_id())
     dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
-    write(dealt.mapInArrow(run, SEGMENT), f"{path}/segments")
+    write(dealt.mapInArrow(run, SEGMENT), f"{path}/segments", TEXTS_AT_ONCE)
     parts = spark.read.schema(SEGMENT).parquet(f"{path}/segments").groupBy("part").agg(F.sum("n_ids").alias("n"))
     starts, before = [], 0
     for r in sorted(parts.collect()):
