@@ -98,17 +98,14 @@ def summarise(results: list[Result]) -> dict[str, int]:
     return {"success": by["success"], "skipped": by["skipped"], "failed": by["failed"], "rows": sum(r.rows for r in results)}
 
 
-def new_run_id(last: list[str] = []) -> str:  # noqa: B006  one memory a process
-    """Ids that follow each other as their runs begin: microseconds since 1970, then a suffix that no other driver has."""
-    with _ids:
-        now = f"{time.time_ns() // 1000:018d}"
-        if last and last[0] >= now:
-            now = f"{int(last[0]) + 1:018d}"
-        last[:] = [now]
-    return f"{now}-{uuid.uuid4().hex[:8]}"
+_ids, _latest = threading.Lock(), [0]
 
 
-_ids = threading.Lock()
+def new_run_id() -> str:
+    """Ids that follow each other as their runs begin: microseconds since 1970, then a suffix that no other driver has."""
+    with _ids:
+        _latest[0] = max(_latest[0] + 1, time.time_ns() // 1000)
+        return f"{_latest[0]:018d}-{uuid.uuid4().hex[:8]}"
 
 
 @dataclass
