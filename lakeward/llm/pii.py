@@ -396,7 +396,7 @@ def swept(base: Column, scored: Column) -> Column:
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret,
     secret_spans, cuts, text); spans are of KINDS, secrets such as access keys stand apart, cuts
-    are all of them as (start, end) in order.
+    are all of them as (start, end) in order, those that overlap or touch as one.
 
     Null and empty texts have no spans (the digest of the empty string); repeated rows and
     null ids are rows like any other; an added span stands unless another span covers it, so
@@ -425,7 +425,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
         F.array_join(F.concat(*(told(k, both(i, k)) for i, k in enumerate(KINDS))), ",").alias("spans"),
         F.size(own(len(KINDS))).cast("bigint").alias("n_secret"),
         F.array_join(told("secret", own(len(KINDS))), ",").alias("secret_spans"),
-        F.array_sort(F.concat("all_base", ends("added"))).alias("cuts"),
+        cut_out(F.array_sort(F.concat("all_base", ends("added")))).alias("cuts"),
         F.col("text"),
     )
 
@@ -447,6 +447,11 @@ def merged(cuts: Column) -> Column:
     return F.aggregate(blocks, F.struct(none.alias("out"), nothing.alias("last")), block, lambda a: F.array_append(a["out"], a["last"]))
 
 
+def cut_out(spans: Column) -> Column:
+    """Sorted spans, merged if there are any."""
+    return F.when(F.size(spans) > 0, merged(spans)).otherwise(spans)
+
+
 def without_spans(text: Column, cuts: Column, mark: str) -> Column:
     """The text with each of the merged cuts replaced. What is kept is cut out in regions of
     SWEEP pieces, so no piece is counted from the text's start."""
@@ -473,9 +478,9 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     names; repeated rows are redacted alike; an empty table gives an empty result."""
     columns = docs.columns
     packed = docs.select(F.struct(*columns).alias("doc_id"), F.col("text"))
-    got = find_personal_data(packed).withColumn("merged", F.when(F.size("cuts") > 0, merged(F.col("cuts"))))
+    got = find_personal_data(packed)
     whole = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    clean = F.when(F.col("merged").isNotNull(), without_spans(whole, F.col("merged"), mark)).otherwise(F.col("text"))
+    clean = F.when(F.size("cuts") > 0, without_spans(whole, F.col("cuts"), mark)).otherwise(F.col("text"))
     return got.select("doc_id.*", clean.alias("__clean")).select(*(F.col("__clean").alias("text") if c == "text" else F.col(c) for c in columns))
 
 
