@@ -332,15 +332,29 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     )
 
 
+def plain_scan(docs: DataFrame) -> bool:
+    """Whether every row is one of a file's, at most filtered and with other columns: then its place tells it apart."""
+    todo = [docs._jdf.queryExecution().analyzed()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() not in ("Project", "Filter", "SubqueryAlias", "LogicalRelation"):
+            return False
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return True
+
+
 def numbered_rows(docs: DataFrame) -> DataFrame:
     """`docs` with `__row`, a number of each row that stays the same whenever it is read. Rows of Parquet
     files are numbered by file and place, without being copied; others are written first."""
     spark = docs.sparkSession
     try:
-        meta = docs.metadataColumn("_metadata")
-        placed = docs.withColumns({"__in": meta["file_path"], "__at": meta["row_index"]})
-    except AnalysisException:  # no plain scan
+        meta = docs.metadataColumn("_metadata") if plain_scan(docs) else None
+    except AnalysisException:  # a scan of something else than files
+        meta = None
+    if meta is None:
         return stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    placed = docs.withColumns({"__in": meta["file_path"], "__at": meta["row_index"]})
     files = [r[0] for r in placed.select("__in").distinct().sort("__in").collect()]  # one name a file
     numbers = spark.createDataFrame([*enumerate(files)], "__number long, __in string")
     row = F.col("__number") * F.lit(1 << 40) + F.col("__at")

@@ -61,6 +61,15 @@ def test_jaccard_ids_with_two_texts(spark):
     assert sorted(map(tuple, jaccard.keep_one(spark.createDataFrame(rows, DOCS), 3, 90).collect())) == want
 
 
+def test_rows_are_numbered_whatever_they_come_from(spark, tmp_path):
+    spark.createDataFrame([(k, f"t{k}") for k in range(40)], DOCS).repartition(3).write.parquet(str(tmp_path / "d"))
+    scan = spark.read.parquet(str(tmp_path / "d"))
+    assert jaccard.plain_scan(scan.where("doc_id > 3").select("text", "doc_id")) and not jaccard.plain_scan(scan.selectExpr("doc_id", "explode(array(1, 2)) as text"))
+    for df, n in ((scan, 40), (scan.selectExpr("doc_id", "explode(array(text, 'b')) as text"), 80), (scan.unionByName(scan), 80), (spark.createDataFrame([(1, "a"), (1, "a")], DOCS), 2)):
+        numbered = jaccard.numbered_rows(df)
+        assert numbered.select("__row").distinct().count() == n and sorted(numbered.collect(), key=str) == sorted(numbered.collect(), key=str)
+
+
 @pytest.mark.parametrize("stored", [False, True])
 def test_keep_one_keeps_every_text(spark, tmp_path, stored):
     """Against all pairs of texts: one row of each group of near copies, whatever the ids and columns."""
