@@ -509,6 +509,21 @@ def part_of_day_query(t: Tables) -> DataFrame:
     return t.events.select("event_id", part_of_day(F.when(F.col("event_id") % 9 != 0, F.col("ts"))).alias("part"))
 
 
+@query(
+    "part_of_day_all_year",
+    """WITH o AS (SELECT o_orderkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS ts FROM orders),
+    y AS (SELECT *, make_date(year(ts), 4, 1) AS april, make_date(year(ts), 10, 31) AS october FROM o),
+    s AS (SELECT o_orderkey, ts, ts >= april + CAST((7 - dayofweek(april)) % 7 AS INTEGER) + INTERVAL 8 HOUR AND ts < october - CAST(dayofweek(october) AS INTEGER) + INTERVAL 7 HOUR AS summer FROM y),
+    h AS (SELECT o_orderkey, summer, hour(ts - CASE WHEN summer THEN INTERVAL 5 HOUR ELSE INTERVAL 6 HOUR END) AS h FROM s)
+    SELECT o_orderkey, summer, CASE WHEN h < 12 THEN 'morning' WHEN h < 14 THEN 'noon' WHEN h < 17 THEN 'afternoon' ELSE 'night' END AS part FROM h""",
+)
+def part_of_day_all_year(t: Tables) -> DataFrame:
+    """Hours of all days of the years from 1995 to 2006, told where summer time holds from April's first Sunday to October's last."""
+    ts = (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("o_orderkey") % 24)).cast("timestamp_ntz")
+    local = F.convert_timezone(F.lit("UTC"), F.lit("America/Chicago"), ts)
+    return t.orders.select("o_orderkey", (F.timestamp_diff("HOUR", local, ts) == 5).alias("summer"), part_of_day(ts, "UTC").alias("part"))
+
+
 SIDES_SQL = """SELECT o_orderkey, CASE WHEN r > 0 THEN o_custkey WHEN r < 0 THEN s END AS winner, CASE WHEN r > 0 THEN s WHEN r < 0 THEN o_custkey END AS loser FROM (
     SELECT o_orderkey, o_custkey, o_custkey + 1 AS s, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN 0 ELSE o_totalprice - 150000 END AS r FROM orders)"""
 
