@@ -125,19 +125,31 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
 FILTER_BITS = 1 << 23
 
 
+def _spotted(docs: DataFrame, known: DataFrame, keys: dict[str, Column]) -> tuple[DataFrame, Column]:
+    """docs with helper columns, and whether a row's key values may be among those of known(__key, ...): a bit filter of
+    fixed size, made from known and broadcast, lets all others be told without a shuffle."""
+    spot = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(FILTER_BITS))
+    own = known.withColumn("__spot", spot([F.col(f"__{n}") for n in keys]))
+    bits = own.groupBy(F.shiftright("__spot", 6).cast("int").alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__spot & 63 as int))")).alias("__mask"))
+    marked = docs.withColumn("__at", spot([*keys.values()])).join(F.broadcast(bits), F.shiftright("__at", 6).cast("int") == F.col("__word"), "left")
+    return marked, F.coalesce(F.expr("(shiftright(__mask, cast(__at & 63 as int)) & 1) = 1"), F.lit(False))
+
+
+def within(docs: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows of docs whose `key` is in known(key); null is in nothing. Only rows that may be are joined, so
+    the other texts are not shuffled."""
+    ids = known.select(F.col(key).cast(docs.schema[key].dataType).alias(f"__{key}")).where(f"__{key} is not null")
+    marked, maybe = _spotted(docs, ids, {key: F.col(key)})
+    return marked.where(maybe).select(*docs.columns).join(ids, F.col(key) == F.col(f"__{key}"), "left_semi")
+
+
 def without(docs: DataFrame, bad: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """Rows of docs whose key values are not in bad; `keys` maps columns of bad to
     expressions on docs. Nulls equal each other.
 
-    A bit filter of fixed size, made from bad and broadcast, lets through every row that
-    surely is not in it; only the others are joined, so texts are hardly shuffled.
+    Only rows that pass a bit filter are joined, so texts are hardly shuffled.
     """
-    names = [*keys]
-    spot = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(FILTER_BITS))
-    bad = bad.select(*(F.col(n).alias(f"__{n}") for n in names)).distinct()
-    own = bad.withColumn("__spot", spot([F.col(f"__{n}") for n in names]))
-    bits = own.groupBy(F.shiftright("__spot", 6).cast("int").alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__spot & 63 as int))")).alias("__mask"))
-    marked = docs.withColumn("__at", spot([*keys.values()])).join(F.broadcast(bits), F.shiftright("__at", 6).cast("int") == F.col("__word"), "left")
-    maybe = F.coalesce(F.expr("(shiftright(__mask, cast(__at & 63 as int)) & 1) = 1"), F.lit(False))
+    bad = bad.select(*(F.col(n).alias(f"__{n}") for n in keys)).distinct()
+    marked, maybe = _spotted(docs, bad, keys)
     same = [e.eqNullSafe(F.col(f"__{n}")) for n, e in keys.items()]
     return marked.where(~maybe).select(*docs.columns).unionByName(marked.where(maybe).select(*docs.columns).join(bad, same, "left_anti"))

@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stage, table
+from .common import stage, table, unstage, within
 
 BUCKETS = 1 << 16
-#: Labelled good rows of the target model, at most, and labelled rows that set k.
-TARGET_ROWS, CUT_ROWS = 4000, 1000
+#: Bounds on the labelled good rows of the target model and on those that set k; None: all of them.
+TARGET_ROWS = CUT_ROWS = None
 #: Share of labelled good rows that the cut behind k keeps.
 KEEP_GOOD = 0.998
 TEMPERATURE = 0.005
@@ -134,31 +134,39 @@ def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 2048) -> float
     return high if k == above + 1 else low
 
 
-def sampled_labels(labels: DataFrame, quality: int, most: int, for_cut: bool = False) -> DataFrame:
-    """Ids of at most `most` rows of one label, those with the smallest checksums. A fifth
+def sampled_labels(labels: DataFrame, quality: int, most: int | None = None, for_cut: bool = False) -> DataFrame:
+    """Ids of the rows of one label; with `most`, of so many with the smallest checksums. A fifth
     of the labelled rows is for the cut, the others for the model."""
     mine = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sum_ = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     part = (sum_ % 5 == 0) if for_cut else (sum_ % 5 != 0)
-    return mine.where((F.col("quality") == quality) & part).select("doc_id").orderBy(sum_, "doc_id").limit(most)
+    ids = mine.where((F.col("quality") == quality) & part).select("doc_id")
+    return ids if most is None else ids.orderBy(sum_, "doc_id").limit(most)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Log ratios of the target model, from labelled good rows, and the raw model, from all rows."""
-    target = count_ngrams(docs.join(F.broadcast(sampled_labels(labels, 1, TARGET_ROWS)), "doc_id", "left_semi"))
+    own = docs.select("doc_id", "text")
+    target = count_ngrams(within(own, sampled_labels(labels, 1, TARGET_ROWS), "doc_id"))
     return log_ratio(target, count_ngrams(docs))
 
 
+def good_cut(rows: DataFrame, labels: DataFrame) -> float:
+    """The weight that KEEP_GOOD of labelled good rows reach that the target model has not seen; one weight an id,
+    the least of its rows. They are ranked by counting, so none of them reaches the driver."""
+    mine = rows.select("doc_id", "log_weight").join(sampled_labels(labels, 1, CUT_ROWS, for_cut=True), "doc_id", "left_semi")
+    good = stage(mine.groupBy("doc_id").agg(F.min("log_weight").alias("log_weight")), "cut")
+    n = good.count()
+    cut = kth_largest(good, "log_weight", n - int((1 - KEEP_GOOD) * n)) if n else None
+    unstage(good)
+    return cut if cut is not None else float("-inf")
+
+
 def least_key(rows: DataFrame, labels: DataFrame, keep: int | None = None) -> float:
     """The key of the last row sampled from rows(doc_id, log_weight, key). Without `keep`, k is
-    the number of rows whose weight passes the cut that keeps KEEP_GOOD of labelled good
-    rows that the target model has not seen."""
+    the number of rows whose weight passes `good_cut`."""
     if keep is None:
-        some = F.broadcast(sampled_labels(labels, 1, CUT_ROWS, for_cut=True))
-        # one weight an id, the least of its rows, so CUT_ROWS bounds what is collected
-        good = sorted(r.log_weight for r in rows.join(some, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("log_weight").alias("log_weight")).collect())
-        cut = good[int((1 - KEEP_GOOD) * len(good))] if good else float("-inf")
-        keep = rows.where(F.col("log_weight") >= cut).count()
+        keep = rows.where(F.col("log_weight") >= good_cut(rows, labels)).count()
     least = kth_largest(rows, "key", keep)
     return least if least is not None else float("-inf") if keep > 0 else float("inf")
 

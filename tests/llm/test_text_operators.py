@@ -340,6 +340,22 @@ def test_cut_does_not_follow_a_hot_id(spark):
     assert len(cut_ids) > 2 and least == -39.0  # every labelled row passes the cut, so all are kept
 
 
+def test_all_labelled_rows_make_the_model_and_the_cut(spark):
+    """6,000 good labels: every one of a model row's words counts, and the cut is the exact rank among all rows for it."""
+    import zlib
+
+    n = 6000
+    docs, labels = spark.range(n).selectExpr("id as doc_id", "concat('w', id, ' of ', id % 90) as text"), spark.range(n).selectExpr("id as doc_id", "1 as quality")
+    count = lambda ids: np.bincount(np.concatenate([quality.ngrams(f"w{i} of {i % 90}") for i in ids]), minlength=quality.BUCKETS).astype(float)
+    for_cut = [i for i in range(n) if zlib.crc32(str(i).encode()) % 5 == 0]
+    want = quality.log_ratio(count(sorted({*range(n)} - {*for_cut})), count(range(n)))
+    assert np.allclose(quality.fit(docs, labels), want)
+    rows = spark.range(n).selectExpr("id as doc_id", "cast(pmod(hash(id), 10007) as double) as log_weight", "cast(id as double) as key")
+    weight = {x.doc_id: x.log_weight for x in rows.collect()}
+    assert len(for_cut) > 1000 and quality.good_cut(rows, labels) == sorted(weight[i] for i in for_cut)[int((1 - quality.KEEP_GOOD) * len(for_cut))]
+    assert quality.good_cut(rows, labels.limit(0)) == float("-inf")
+
+
 # -- decontamination
 
 
