@@ -71,6 +71,12 @@ def test_overlaps_against_all_pairs(spark, order):
     assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 20
 
 
+def test_overlaps_have_no_frame_that_is_computed_anew_for_each_row(spark):
+    """A frame that ends with a key's last row takes time with the square of the rows in one range."""
+    spans = spark.range(500).selectExpr("id % 2 as k", "id as o", "id as s", "id + id % 3 as e")
+    assert "unboundedfollowing" not in quality.check_overlap(spans, ["k"], "o", "s", "e")._jdf.queryExecution().toString().lower()
+
+
 def test_overlapping_mappings_multiply_no_row(spark):
     m = [("x", "early", None, 2005), ("x", "late", 2003, None), ("x", "later", 2003, 2004), ("x", "never", 2009, 2001), ("y", None, 2000, 2000), (None, "n", None, None)]
     mapping = spark.createDataFrame(m, "source_value string, canonical_value string, valid_from int, valid_to int")
