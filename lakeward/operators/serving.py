@@ -10,10 +10,14 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.functions.expressions import all_of
+from lakeward.sources.scratch import staged
+
+#: A page that begins after so many rows is sought by ranges of the order.
+DEEP = 10_000
 
 
 class Invalid(ValueError):
@@ -86,8 +90,26 @@ def page(df: DataFrame, surface: Surface, q: PageQuery) -> DataFrame:
     if q.sort is not None and q.sort not in surface.sorts:
         raise Invalid(f"unknown sort {q.sort}")
     turn = (lambda c: F.col(c).desc_nulls_last()) if q.descending else (lambda c: F.col(c).asc_nulls_last())
-    order = [turn(surface.sorts[q.sort])] if q.sort else []
-    return df.where(where).orderBy(*order, turn(surface.key)).offset(q.offset).limit(q.limit)
+    order = [*([turn(surface.sorts[q.sort])] if q.sort else []), turn(surface.key)]
+    rows = df.where(where)
+    return rows.orderBy(*order).offset(q.offset).limit(q.limit) if q.offset < DEEP else deep_page(rows, order, q)
+
+
+def deep_page(df: DataFrame, order: list[Column], q: PageQuery) -> DataFrame:
+    """A page far from the start: rows are dealt by ranges of the order and written, the ranges' sizes, one number each, say
+    which of them hold the page, and only those are numbered. So no task gets all rows that come before."""
+    own = staged(staged(df).repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    first, starts = 0, []
+    for r in sorted(own.groupBy("__range").agg(F.count("*").alias("n")).collect(), key=lambda r: r["__range"]):
+        if first < q.offset + q.limit and first + r.n > q.offset:
+            starts.append((r["__range"], first))
+        first += r.n
+    if not starts:
+        return own.limit(0).drop("__range")
+    begin = F.element_at(F.create_map(*(F.lit(x) for pair in starts for x in pair)), F.col("__range"))
+    at = begin + F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    held = own.where(F.col("__range").isin(*(r for r, _ in starts))).withColumn("__at", at)
+    return held.where((F.col("__at") > q.offset) & (F.col("__at") <= q.offset + q.limit)).orderBy("__at").select(*df.columns)
 
 
 def total(df: DataFrame, surface: Surface, q: PageQuery) -> DataFrame:

@@ -77,6 +77,20 @@ def test_overlaps_have_no_frame_that_is_computed_anew_for_each_row(spark):
     assert "unboundedfollowing" not in quality.check_overlap(spans, ["k"], "o", "s", "e")._jdf.queryExecution().toString().lower()
 
 
+def test_a_page_far_from_the_start_is_sought_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(serving, "DEEP", 50, raising=False)
+    df = spark.range(1000).selectExpr("(id * 37) % 1000 as k", "if(id % 9 = 0, null, id % 40) as b")
+    held = [(r.k, r.b) for r in df.collect()]
+    for down in (False, True):
+        turn = -1 if down else 1
+        want = sorted(held, key=lambda r: (r[1] is None, turn * (r[1] or 0), turn * r[0]))
+        for at, limit in ((49, 10), (50, 10), (123, 100), (850, 100), (995, 10), (1000, 10), (10_000_000, 10)):
+            got = serving.page(df, serving.Surface({}, {}, {}, {}, {}, {"b": "b"}, "k"), serving.PageQuery({}, "b", down, limit, at))
+            assert [(r.k, r.b) for r in got.collect()] == want[at : at + limit]
+    plain = serving.page(df, serving.Surface({}, {}, {}, {}, {}, {}, "k"), serving.PageQuery(offset=500))
+    assert "Offset" not in plain._jdf.queryExecution().toString()  # no task is sent all rows before the page
+
+
 def test_overlapping_mappings_multiply_no_row(spark):
     m = [("x", "early", None, 2005), ("x", "late", 2003, None), ("x", "later", 2003, 2004), ("x", "never", 2009, 2001), ("y", None, 2000, 2000), (None, "n", None, None)]
     mapping = spark.createDataFrame(m, "source_value string, canonical_value string, valid_from int, valid_to int")
