@@ -13,7 +13,7 @@ from lakeward.functions import staff_text
 from lakeward.operators import identity, serving
 from lakeward.plans import league_project, marts
 from lakeward.plans.build import Project
-from lakeward.sources.scratch import scratch
+from lakeward.sources.scratch import scratch, staged
 
 NOW = dt.datetime(2024, 6, 1, 12)
 NOW_SQL = "TIMESTAMP '2024-06-01 12:00:00'"
@@ -66,9 +66,11 @@ MAPPINGS_SQL = _values(MAPPINGS, "domain, source_value, canonical_value, valid_f
 class League:
     """The frames that the marts take."""
 
-    def __init__(self, t: Tables):
+    def __init__(self, t: Tables, written: bool = False):
+        """`written`: the games are written first, for those who read them many times."""
         self.t, spark = t, t.spark
-        self.schedules = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).selectExpr(*GAME)
+        games = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).selectExpr(*GAME)
+        self.schedules = staged(games) if written else games
         years = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).where("c_nationkey <> 24").selectExpr("CAST(year(o_orderdate) AS SMALLINT) AS season", "c_nationkey AS k").distinct()
         self.staff = years.withColumn("r", F.explode(F.array(*map(F.lit, (0, 1, 2))))).selectExpr(*STAFF_ROWS).selectExpr(*STAFF)
         self.teams = t.nation.selectExpr(
@@ -194,7 +196,7 @@ FACT_SQL = f"""(SELECT gi.id AS game_id, g.* EXCLUDE (game_id, home_team, away_t
 
 
 def _fact(t: Tables) -> DataFrame:
-    league = League(t)
+    league = League(t, written=True)
     return marts.games(league.schedules, league.game_ids(), league.team_ids(), league.coach_ids(), league.referee_ids(), league.place_ids())
 
 
@@ -296,7 +298,7 @@ def stored(t: Tables) -> Project:
     """The league's marts, built once a session and folder of tables; the pages read what is stored."""
     key = (t.spark.sparkContext.applicationId, t.sf_dir)
     if key not in _projects:
-        made = league_project.project(t.spark, scratch(t.spark), League(t).sources(), NOW)
+        made = league_project.project(t.spark, scratch(t.spark), League(t, written=True).sources(), NOW)
         made.build()
         _projects[key] = made
     return _projects[key]

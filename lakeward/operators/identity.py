@@ -85,19 +85,20 @@ def next_high_water(rows: DataFrame, high_water: int) -> int:
 
 def alias_pairs(keys: DataFrame, key: str, other: str) -> DataFrame:
     """(alias, name): each key for itself, and its other name where only one key has it
-    and it differs."""
+    and it differs. There may be as many keys as facts, so they are never broadcast."""
     unique = keys.groupBy(other).agg(F.count("*").alias("n")).where("n = 1").select(other)
     own = keys.select(F.col(key).cast("string").alias("alias"), F.col(key).cast("string").alias("name"))
-    old = keys.join(unique, other, "left_semi").where(F.col(other).cast("string") != F.col(key).cast("string"))
+    old = keys.join(unique.hint("merge"), other, "left_semi").where(F.col(other).cast("string") != F.col(key).cast("string"))
     return own.unionByName(old.select(F.col(other).cast("string").alias("alias"), F.col(key).cast("string").alias("name")))
 
 
 def alias_identities(pairs: DataFrame, existing: DataFrame, high_water: Mark) -> DataFrame:
-    """(alias, id, name, source) of pairs(alias, name); one id per name in name order."""
+    """(alias, id, name, source) of pairs(alias, name); one id per name in name order. There may be as many
+    names as facts, so they are never broadcast."""
     known = existing.groupBy("name").agg(F.min("id").alias("id"))
-    fresh = pairs.select("name").join(known, "name", "left_anti")
+    fresh = pairs.select("name").join(known.hint("merge"), "name", "left_anti")
     ids = known.unionByName(mint_ids(fresh, high_water))
-    return pairs.join(ids, "name").select("alias", "id", "name", F.when(F.col("alias") == F.col("name"), "canonical").otherwise("alias").alias("source"))
+    return pairs.join(ids.hint("merge"), "name").select("alias", "id", "name", F.when(F.col("alias") == F.col("name"), "canonical").otherwise("alias").alias("source"))
 
 
 def current_set(facts: DataFrame, period: str, name: str, mappings: DataFrame) -> DataFrame:

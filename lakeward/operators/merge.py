@@ -36,11 +36,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
 
 def changed_only(candidates: DataFrame, existing: DataFrame, keys: list[str], columns: list[str], now) -> DataFrame:
     """Candidates that are new or differ in `columns`; created_at is the existing row's,
-    updated_at is `now`, one value for the run."""
+    updated_at is `now`, one value for the run. What exists grows with the facts and is never broadcast, however
+    small its files are."""
     c, e = candidates.alias("c"), existing.withColumn("__hit", F.lit(True)).alias("e")
     differs = distinct_from([F.col(f"e.{x}") for x in columns], [F.col(f"c.{x}") for x in columns])
     return (
-        c.join(e, same_key("c", "e", keys), "left")
+        c.join(e.hint("merge"), same_key("c", "e", keys), "left")
         .where(F.col("e.__hit").isNull() | differs)
         .select("c.*", F.coalesce(F.col("e.created_at"), F.lit(now)).alias("created_at"), F.lit(now).alias("updated_at"))
     )

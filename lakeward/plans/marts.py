@@ -2,7 +2,7 @@
 
 Each function puts operators together and returns the rows to merge: those that are new or
 have changed. Dimensions and identities are small and meet the games in joins that Spark
-broadcasts by their size.
+broadcasts by their size, but for the ids of games, which are as many as the games.
 """
 
 from __future__ import annotations
@@ -104,7 +104,7 @@ def games(schedules: DataFrame, game_ids: DataFrame, team_ids: DataFrame, coach_
     are known, and the labels that follow from its result and kickoff."""
     have = set(schedules.columns)
     rows = schedules.withColumnRenamed("game_id", "game_code").withColumnRenamed("stadium_id", "place_code")
-    rows = resolved(rows, game_ids.where("source = 'canonical'"), "game_code", "game_id", needed=True)
+    rows = resolved(rows, game_ids.where("source = 'canonical'").hint("merge"), "game_code", "game_id", needed=True)
     for side in ("away", "home"):
         rows = resolved(rows, team_ids, f"{side}_team", f"{side}_team_id", needed=True)
         rows = resolved(rows, coach_ids, f"{side}_coach", f"{side}_coach_id")

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from lakeward.operators import dimensions, identity, intervals, islands, quality, serving
+from lakeward.operators import dimensions, identity, intervals, islands, merge, quality, serving
 from lakeward.operators.split import RANGE, Split
 from lakeward.plans import build, runner
 from lakeward.sources import registry, scratch, snapshot
@@ -125,6 +125,22 @@ def test_minting_stages_names_once(spark):
     assert [r.id for r in got.orderBy("name").collect()] == [*range(11, 512)] and seen.value == before == 2001
 
 
+def test_what_grows_with_the_facts_is_not_broadcast(spark):
+    """Files of a few MB may hold rows of many times that, all of which a broadcast would send through the driver."""
+    from lakeward.plans import marts
+
+    games = spark.range(60).selectExpr("id as game_id", "cast(id + 100 as string) as old", "cast(id as int) as v")
+    held = games.withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
+    none = spark.createDataFrame([], identity.IDENTITY)
+    pairs = identity.alias_pairs(games, "game_id", "old")
+    ids = spark.range(60).selectExpr("cast(id as string) as alias", "cast(id as int) as id", "'canonical' as source")
+    for df in (pairs, merge.changed_only(games, held, ["game_id"], ["v"], F.current_timestamp()), marts.resolved(games, ids.hint("merge"), "old", "x")):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().toString()
+    plan = identity.alias_identities(pairs, none, 0)._jdf.queryExecution().toString()
+    assert plan.count("BroadcastHashJoin") <= plan.count("__start")  # the ranges' starts alone
+    assert identity.alias_identities(pairs, none, 0).count() == 120
+
+
 def test_marks_are_reserved_by_one_driver_each(spark, tmp_path):
     taken = []
 
