@@ -212,7 +212,7 @@ def schedules_fact(t: Tables) -> DataFrame:
 )
 def schedules_changed(t: Tables) -> DataFrame:
     """A second run: a fifth of the games is new, some lack their referee, some have another total."""
-    fact = _fact(t)
+    fact = staged(_fact(t))  # it is both the new rows and what the old ones are made of
     old = fact.where("game_id % 5 <> 0").withColumns(
         {
             "referee_id": F.when(F.col("game_id") % 7 != 0, F.col("referee_id")),
