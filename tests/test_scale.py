@@ -77,6 +77,45 @@ def test_overlaps_have_no_frame_that_is_computed_anew_for_each_row(spark):
     assert "unboundedfollowing" not in quality.check_overlap(spans, ["k"], "o", "s", "e")._jdf.queryExecution().toString().lower()
 
 
+@pytest.mark.parametrize("few", [0, 60, 10_000])
+@pytest.mark.parametrize("order", ["o", "s", "at", "late"])
+def test_overlaps_of_keys_with_few_and_with_many_rows(spark, monkeypatch, order, few):
+    monkeypatch.setattr(quality, "FEW", few, raising=False)
+    r = random.Random(5)
+    spans = [(r.choice(["a", "a", "a", "b", "c", None]), r.randrange(150), s := r.randrange(300), s + r.choice([0, 0, 1, 2, 9, 9, 70, -2])) for _ in range(250)]
+    spans += [("a", 5, None, 40), ("a", 6, 30, None), ("a", None, 1, 900), ("b", 300, 2, 3), ("b", -4, 500, 900)]
+    spans = list(dict.fromkeys(spans))
+    df = spark.createDataFrame(spans, "k string, o long, s long, e long").withColumn("at", F.struct("s", "o")).withColumn("late", F.struct((F.col("s") - F.col("o") % 3).alias("s"), "o"))
+    low = lambda v: (v is not None, v or 0)  # noqa: E731 nulls of a struct come first
+    of = {"o": lambda x: x[1], "s": lambda x: x[2], "at": lambda x: (low(x[2]), low(x[1])), "late": lambda x: (low(None if None in x[1:3] else x[2] - x[1] % 3), low(x[1]))}[order]
+    held = [(x, of(x)) for x in spans if x[0] and of(x) is not None]
+    want = [(x[1:], y[1:]) for x, a in held for y, b in held if x[0] == y[0] and None not in (y[2], x[3]) and a < b and y[2] <= x[3]]
+    got = quality.check_overlap(df, ["k"], order, "s", "e")
+    if order in ("o", "s"):
+        at = {"o": 0, "s": 1}[order]
+        assert sorted(map(tuple, got.select("earlier", "later").collect())) == sorted((x[at], y[at]) for x, y in want)
+    else:
+        ends = got.select(*(F.expr(f"coalesce(string({c}.s), '-')") for c in ("earlier", "later")), "earlier.o", "later.o").collect()
+        told = lambda x: "-" if None in ((x[1], x[0]) if order == "late" else (x[1],)) else str(x[1] - x[0] % 3 if order == "late" else x[1])
+        assert sorted(map(tuple, ends), key=repr) == sorted(((told(x), told(y), x[0], y[0]) for x, y in want), key=repr)
+    assert len(want) > 500
+
+
+def test_overlaps_shuffle_no_more_than_the_join_needs(spark):
+    """Copies for every bin and ranges of the order are only made for keys with many rows, and ranges only where starts may fall along the order."""
+    spans = spark.range(1000).selectExpr("if(id % 2 = 0, 0, id) as k", "struct(id div 3 as s, id as o) as at", "id div 3 as s", "id div 3 + if(id % 34 = 0, 9, 0) as e")
+    plan = quality.check_overlap(spans, ["k"], "at", "s", "e")._jdf.queryExecution().toString()
+    assert "Window" not in plan and RANGE not in plan
+    few = quality.check_overlap(spans.where("k > 0"), ["k"], "at", "s", "e")
+    assert "Generate" not in few._jdf.queryExecution().toString()
+
+
+def test_few_longer_intervals_add_no_level_for_all_points(spark):
+    spans = [("a", 2 * i, 2 * i + (9 if i % 17 == 0 else 0)) for i in range(340)] + [("b", i, i + (0 if i % 2 else 1000)) for i in range(100)] + [("c", 5, 4), ("d", 3, None)]
+    got = intervals.few_levels(spark.createDataFrame(spans, "k string, low long, high long"), ["k"], "low", "high")
+    assert rows(got) == [("a", [0]), ("b", [0, 10])]
+
+
 def test_a_page_far_from_the_start_is_sought_by_ranges(spark, monkeypatch):
     monkeypatch.setattr(serving, "DEEP", 50, raising=False)
     df = spark.range(1000).selectExpr("(id * 37) % 1000 as k", "if(id % 9 = 0, null, id % 40) as b")
